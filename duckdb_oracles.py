@@ -227,6 +227,176 @@ _CTES["issues"] = """
          NULL, outcome_at FROM ends ANTI JOIN starts USING (stay_key)"""
 
 
+# --- features, labels, windows ----------------------------------------------------------
+
+_CTES["census"] = """
+  SELECT animal_type, event_date, net_change,
+         coalesce(cast(sum(net_change) OVER (PARTITION BY animal_type ORDER BY event_date
+                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS BIGINT), 0) AS census_morning
+  FROM (SELECT animal_type, event_date, cast(sum(delta) AS BIGINT) AS net_change
+        FROM (SELECT animal_type, intake_date AS event_date, 1 AS delta FROM fact
+              UNION ALL SELECT animal_type, outcome_date, -1 FROM fact WHERE outcome_date IS NOT NULL)
+        GROUP BY animal_type, event_date)"""
+_CTES["frame"] = """
+  SELECT stay_key, animal_id, stay_sequence, intake_at, outcome_at, is_open_stay, length_of_stay_days,
+         fact.animal_type, intake_type, intake_condition, sex_upon_intake, outcome_subtype, breed, color,
+         found_location, age_at_intake_days, census_morning AS census_same_type
+  FROM fact LEFT JOIN census ON census.animal_type = fact.animal_type AND event_date = intake_date"""
+_CTES["horizon"] = """
+  SELECT as_of, cast(cast(as_of - INTERVAL 30 DAY AS DATE) AS TIMESTAMP) AS label_cutoff, feed_start
+  FROM (SELECT greatest(max(intake_at), max(outcome_at)) AS as_of, min(intake_at) AS feed_start FROM fact)"""
+_CTES["eligible"] = """
+  SELECT frame.*, intake_at < label_cutoff AS mature, intake_at >= feed_start + INTERVAL 180 DAY AS warmed_up,
+         is_open_stay AND intake_at < as_of - INTERVAL 365 DAY AS implausible, as_of
+  FROM frame, horizon
+  WHERE animal_type IN ('Dog', 'Cat') AND (intake_type IS NULL OR intake_type NOT IN ('Euthanasia Request', 'Wildlife'))"""
+_CTES["labelled"] = """
+  SELECT *, cast(is_open_stay OR length_of_stay_days >= 30 AS INTEGER) AS is_long_stay
+  FROM eligible WHERE mature AND warmed_up AND NOT implausible"""
+_CTES["features"] = """
+  SELECT stay_key, intake_at, is_long_stay, coalesce(animal_type, 'Unknown') AS animal_type,
+         coalesce(intake_type, 'Unknown') AS intake_type, coalesce(intake_condition, 'Unknown') AS intake_condition,
+         CASE WHEN contains(sex_upon_intake, 'Intact') THEN 'Intact'
+              WHEN regexp_matches(sex_upon_intake, 'Neutered|Spayed') THEN 'Altered' ELSE 'Unknown' END
+           AS reproductive_status,
+         CASE WHEN regexp_matches(breed, 'Mix|/') THEN 'Mix' ELSE 'Single' END AS is_mix,
+         coalesce(nullif(trim(replace(string_split(breed, '/')[1], ' Mix', '')), ''), 'Unknown') AS primary_breed,
+         coalesce(nullif(trim(replace(string_split(color, '/')[1], ' Mix', '')), ''), 'Unknown') AS primary_color,
+         CASE WHEN contains(found_location, 'Outside Jurisdiction') THEN 'Outside Jurisdiction'
+              ELSE coalesce(nullif(trim(string_split(string_split(found_location, ' in ')[-1], '(')[1]), ''), 'Unknown') END
+           AS jurisdiction,
+         cast(month(intake_at) AS VARCHAR) AS intake_month, dayname(intake_at) AS intake_weekday,
+         cast(age_at_intake_days AS DOUBLE) AS age_at_intake_days,
+         cast(least(stay_sequence, 3) AS DOUBLE) AS stay_sequence, cast(census_same_type AS DOUBLE) AS census_same_type
+  FROM labelled"""
+_CTES["holdout"] = """
+  SELECT train_end - INTERVAL 4 YEAR - INTERVAL 0 DAY AS train_start, train_end - INTERVAL 6 MONTH AS calibration_start,
+         train_end, score_start, score_end
+  FROM (SELECT score_start - INTERVAL 30 DAY AS train_end, score_start, score_end
+        FROM (SELECT label_cutoff - INTERVAL 365 DAY AS score_start, label_cutoff AS score_end FROM horizon))"""
+_CTES["months"] = """
+  SELECT train_end - INTERVAL 4 YEAR AS train_start, train_end - INTERVAL 6 MONTH AS calibration_start, train_end,
+         score_start, score_start + INTERVAL 1 MONTH AS score_end
+  FROM (SELECT score_start, score_start - INTERVAL 30 DAY AS train_end
+        FROM (SELECT cast(date_trunc('month', label_cutoff) AS TIMESTAMP) - to_months(cast(i AS INTEGER)) AS score_start
+              FROM horizon, range(1, 13) t(i)))"""
+
+# --- metrics on the pseudo-score -------------------------------------------------------
+
+_CTES["scored"] = """
+  SELECT stay_key, is_long_stay AS y, cast('0x' || substr(stay_key, 1, 3) AS BIGINT) / 4096.0::DOUBLE AS p,
+         outcome_subtype FROM labelled, holdout WHERE intake_at >= score_start AND intake_at < score_end"""
+_CTES["slices"] = """
+  SELECT 'all' AS slice, stay_key, y, p FROM scored
+  UNION ALL SELECT 'excluding_snr', stay_key, y, p FROM scored WHERE coalesce(outcome_subtype, '') <> 'Snr'"""
+_CTES["month_scores"] = """
+  SELECT score_start AS slice, stay_key, is_long_stay AS y,
+         cast('0x' || substr(stay_key, 1, 3) AS BIGINT) / 4096.0::DOUBLE AS p
+  FROM labelled JOIN months ON intake_at >= score_start AND intake_at < score_end"""
+_CTES["whole_holdout"] = "SELECT 'holdout' AS slice, stay_key, y, p FROM scored"
+
+
+def _metrics(source: str) -> str:
+    return f"""
+  SELECT slice, n, positives / n AS base_rate, mean_predicted,
+         CASE WHEN positives > 0 AND positives < n THEN
+           (rank_sum - positives * (positives + 1) / 2) / (positives * (n - positives)) END AS roc_auc,
+         CASE WHEN positives > 0 THEN average_precision END AS average_precision, brier,
+         top_positives / top_n AS top_decile_precision,
+         CASE WHEN positives > 0 THEN (top_positives / top_n) / (positives / n) END AS top_decile_lift
+  FROM (SELECT slice, count(*) AS n, cast(sum(y) AS DOUBLE) AS positives, avg(p) AS mean_predicted,
+               avg((p - y) * (p - y)) AS brier, sum(mean_rank * y) AS rank_sum,
+               sum(y * positives_from / rows_from) / nullif(sum(y), 0) AS average_precision,
+               cast(sum(y) FILTER (place > n_rows - top_n) AS DOUBLE) AS top_positives, max(top_n) AS top_n
+        FROM (SELECT *, greatest(1, cast(round_even(n_rows * 0.1::DOUBLE, 0) AS BIGINT)) AS top_n
+              FROM (SELECT slice, y, p, count(*) OVER (PARTITION BY slice) AS n_rows,
+                           row_number() OVER (PARTITION BY slice ORDER BY p, stay_key) AS place,
+                           rank() OVER (PARTITION BY slice ORDER BY p)
+                             + (count(*) OVER (PARTITION BY slice, p) - 1) / 2 AS mean_rank,
+                           cast(sum(y) OVER (PARTITION BY slice ORDER BY p DESC
+                                RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS positives_from,
+                           count(*) OVER (PARTITION BY slice ORDER BY p DESC
+                                RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS rows_from
+                    FROM {source}))
+        GROUP BY slice)"""
+
+
+_CTES["holdout_metrics"] = _metrics("whole_holdout")
+_CTES["slice_metrics"] = _metrics("slices")
+_CTES["month_metrics"] = _metrics("month_scores")
+_CTES["places"] = """
+  SELECT *, row_number() OVER (ORDER BY p, stay_key) AS position, count(*) OVER () AS n FROM whole_holdout"""
+
+# --- drift ------------------------------------------------------------------------------
+
+_CTES["members"] = """
+  SELECT features.*, score_start AS backtest_month, intake_at >= score_start AND intake_at < score_end AS actual,
+         intake_at >= train_start AND intake_at < train_end AS expected
+  FROM features JOIN months ON month(features.intake_at) = month(score_start)
+    AND ((intake_at >= score_start AND intake_at < score_end) OR (intake_at >= train_start AND intake_at < train_end))"""
+_CTES["edges"] = """
+  SELECT backtest_month, animal_type, list_sort(list_distinct(quantile_cont(census_same_type, [0.2, 0.4, 0.6, 0.8]))) AS edges
+  FROM members WHERE expected AND census_same_type IS NOT NULL GROUP BY backtest_month, animal_type"""
+_CTES["view_rows"] = """
+  SELECT backtest_month, expected, actual, intake_type, intake_condition, animal_type,
+         CASE WHEN age_at_intake_days IS NULL OR age_at_intake_days <= -1 THEN 'nan' WHEN age_at_intake_days <= 180 THEN '<6m'
+              WHEN age_at_intake_days <= 365 THEN '6-12m' WHEN age_at_intake_days <= 1095 THEN '1-3y'
+              WHEN age_at_intake_days <= 2555 THEN '3-7y' ELSE '7y+' END AS age_band,
+         CASE WHEN edges IS NULL THEN 'unknown'
+              ELSE cast(len([e FOR e IN edges IF e <= coalesce(census_same_type, -1)]) AS VARCHAR) END AS census_band
+  FROM members LEFT JOIN edges USING (backtest_month, animal_type)"""
+_CTES["shifts"] = """
+  SELECT backtest_month AS intake_month, feature, category, count_if(expected) AS expected, count_if(actual) AS actual
+  FROM (UNPIVOT view_rows ON intake_type, intake_condition, animal_type, age_band, census_band
+        INTO NAME feature VALUE category)
+  GROUP BY backtest_month, feature, category"""
+_CTES["psi"] = """
+  SELECT intake_month, feature, sum((a - e) * ln(a / e)) AS psi
+  FROM (SELECT intake_month, feature,
+               greatest(0.005::DOUBLE, coalesce(expected / nullif(sum(expected) OVER w, 0), 0)) AS e,
+               greatest(0.005::DOUBLE, coalesce(actual / nullif(sum(actual) OVER w, 0), 0)) AS a
+        FROM shifts WINDOW w AS (PARTITION BY intake_month, feature))
+  GROUP BY intake_month, feature"""
+
+# --- checks -----------------------------------------------------------------------------
+
+_TABLES = {
+    "raw_intakes": "raw_starts", "raw_outcomes": "raw_ends", "staged_intakes": "starts",
+    "staged_outcomes": "ends", "episode_fact": "fact", "entity_dimension": "dimension",
+    "monthly_outcomes": "mart", "quality_issues": "issues",
+}
+
+
+def _results(*checks: tuple[str, str, str, str, str]) -> str:
+    """(kind, table, column, severity, failing predicate) as one row each."""
+    return "\nUNION ALL ".join(
+        f"SELECT '{kind}' AS check_name, '{table}' AS table_name, '{column}' AS column_name, "
+        f"'{severity}' AS severity, count(*) AS failing_rows FROM {_TABLES[table]} WHERE {failing}"
+        for kind, table, column, severity, failing in checks
+    )
+
+
+def _not_null(table: str, *columns: str):
+    return [("not_null", table, c, "error", f"{c} IS NULL") for c in columns]
+
+
+def _accepted(table: str, column: str, severity: str, *values: str):
+    listed = ", ".join(f"'{v}'" for v in values)
+    return ("accepted_values", table, column, severity, f"{column} NOT IN ({listed})")
+
+
+def _in_range(table: str, column: str, severity: str, inside: str):
+    return ("accepted_range", table, column, severity, f"NOT ({inside.replace('#', column)})")
+
+
+def _unique(table: str, column: str) -> str:
+    return (
+        f"SELECT 'unique' AS check_name, '{table}' AS table_name, '{column}' AS column_name, 'error' AS severity, "
+        f"count(*) AS failing_rows FROM (SELECT {column} FROM {_TABLES[table]} WHERE {column} IS NOT NULL "
+        f"GROUP BY {column} HAVING count(*) > 1)"
+    )
+
+
 def statement(final: str) -> str:
     """The final SELECT behind every CTE it can reach."""
     needed, todo = set(), [final]
@@ -237,7 +407,18 @@ def statement(final: str) -> str:
                 needed.add(name)
                 todo.append(_CTES[name])
     body = ",\n".join(f"{name} AS ({_CTES[name]})" for name in _CTES if name in needed)
-    return (f"WITH {body}\n" if body else "") + final
+    return f"WITH RECURSIVE {body}\n{final}"
+
+
+_ROUNDED = "n, " + ", ".join(
+    f"round({m}, 6) AS {m}"
+    for m in ("base_rate", "mean_predicted", "roc_auc", "average_precision", "brier", "top_decile_precision",
+              "top_decile_lift")
+)
+
+
+def _rounded_metrics(source: str) -> str:
+    return f"SELECT slice, {_ROUNDED} FROM {source}"
 
 
 ORACLES: dict[str, str] = {
@@ -279,6 +460,173 @@ ORACLES: dict[str, str] = {
     "monthly_outcomes": "SELECT * FROM mart",
     "quality_issues": "SELECT * FROM issues",
     "quality_issue_counts": "SELECT issue_type, count(*) AS issues FROM issues GROUP BY issue_type",
+    "check_not_null": _results(
+        *_not_null("raw_intakes", "animal_id", "datetime"),
+        *_not_null("raw_outcomes", "animal_id", "datetime"),
+        *_not_null("staged_intakes", "stay_key", "animal_id", "stay_sequence", "intake_at"),
+        *_not_null("staged_outcomes", "stay_key", "animal_id", "stay_sequence", "outcome_at"),
+        *_not_null("episode_fact", "stay_key", "animal_id", "is_return_stay", "is_open_stay",
+                   "is_owner_requested_euthanasia"),
+        *_not_null("entity_dimension", "animal_id", "stay_count", "has_returned", "is_currently_in_care"),
+        *_not_null("monthly_outcomes", "outcome_month", "outcomes_total"),
+        *_not_null("quality_issues", "stay_key", "issue_type"),
+    ),
+    "check_unique": " UNION ALL ".join([
+        _unique("staged_intakes", "stay_key"), _unique("staged_outcomes", "stay_key"),
+        _unique("episode_fact", "stay_key"), _unique("entity_dimension", "animal_id"),
+    ]),
+    "check_accepted_values": _results(
+        _accepted("staged_intakes", "intake_type", "warn", "Stray", "Owner Surrender", "Public Assist",
+                  "Wildlife", "Abandoned", "Euthanasia Request"),
+        _accepted("staged_outcomes", "outcome_type", "warn", "Adoption", "Transfer", "Return To Owner",
+                  "Rto-Adopt", "Euthanasia", "Died", "Disposal", "Missing"),
+        _accepted("episode_fact", "outcome_class", "error", "Live", "Non-Live", "Unknown"),
+        _accepted("episode_fact", "age_band_at_intake", "warn", "Under 6 months", "6 to 12 months",
+                  "1 to 3 years", "3 to 7 years", "7 years and over"),
+        _accepted("quality_issues", "issue_type", "error", "outcome_before_intake",
+                  "unrecognised_outcome_type", "unusable_age_at_intake", "outcome_without_intake"),
+    ),
+    "check_accepted_range": _results(
+        _in_range("staged_intakes", "stay_sequence", "error", "# >= 1"),
+        _in_range("staged_intakes", "age_at_intake_days", "warn", "# BETWEEN 0 AND 10950"),
+        _in_range("episode_fact", "length_of_stay_days", "error", "# >= 0"),
+        _in_range("entity_dimension", "stay_count", "error", "# >= 1"),
+        _in_range("monthly_outcomes", "outcomes_total", "error", "# >= 1"),
+        _in_range("monthly_outcomes", "live_release_rate_pct", "error", "# BETWEEN 0 AND 100"),
+        _in_range("monthly_outcomes", "live_release_rate_adjusted_pct", "error", "# BETWEEN 0 AND 100"),
+        _in_range("monthly_outcomes", "median_length_of_stay_days", "error", "# >= 0"),
+    ),
+    "check_relationships": """
+        SELECT 'relationships' AS check_name, 'episode_fact' AS table_name, 'animal_id' AS column_name,
+               'error' AS severity, count(DISTINCT animal_id) AS failing_rows
+        FROM fact WHERE animal_id NOT IN (SELECT animal_id FROM dimension)""",
+    "failing_outcome_types": """
+        SELECT outcome_type AS failing_value, count(*) AS failing_rows FROM ends
+        WHERE outcome_type NOT IN ('Adoption', 'Transfer', 'Return To Owner', 'Rto-Adopt', 'Euthanasia', 'Died',
+                                   'Disposal', 'Missing')
+        GROUP BY outcome_type""",
+    "failing_ages": """
+        SELECT age_at_intake_days AS failing_value, count(*) AS failing_rows FROM starts
+        WHERE age_at_intake_days <= 30 OR age_at_intake_days >= 730 GROUP BY age_at_intake_days""",
+    "assert_warehouse": """
+        SELECT 'no_negative_duration' AS check_name, 'episode_fact' AS table_name,
+               'length_of_stay_days' AS column_name, 'error' AS severity, count(*) AS failing_rows
+        FROM fact WHERE length_of_stay_days < 0
+        UNION ALL SELECT 'open_flag_agrees', 'episode_fact', 'is_open_stay', 'error', count(*) FROM fact
+        WHERE (is_open_stay AND outcome_at IS NOT NULL) OR (NOT is_open_stay AND outcome_at IS NULL)
+        UNION ALL SELECT 'monthly_counts_reconcile', 'monthly_outcomes', 'outcomes_total', 'error', count(*)
+        FROM (SELECT sum(outcomes_total) AS n FROM mart) m, (SELECT count(*) AS n FROM fact WHERE NOT is_open_stay) f
+        WHERE m.n <> f.n
+        UNION ALL SELECT 'live_rate_matches_components', 'monthly_outcomes', 'live_release_rate_pct', 'error', count(*)
+        FROM mart WHERE outcomes_live + outcomes_non_live > 0
+          AND abs(live_release_rate_pct - round(100.0 * outcomes_live / (outcomes_live + outcomes_non_live), 2)) > 0.01
+        UNION ALL SELECT 'outcomes_accounted', 'staged_outcomes', 'stay_key', 'error', count(*)
+        FROM (SELECT (SELECT count(*) FROM ends) AS staged,
+                     (SELECT count(*) FROM fact WHERE NOT is_open_stay)
+                     + (SELECT count(DISTINCT stay_key) FROM issues
+                        WHERE issue_type IN ('outcome_without_intake', 'outcome_before_intake')) AS accounted)
+        WHERE staged <> accounted""",
+    "trend_adoption_median": """
+        SELECT cast(year(outcome_date) AS INTEGER) AS outcome_year, animal_type, count(*) AS stays,
+               cast(median(length_of_stay_days) AS DOUBLE) AS median_days
+        FROM fact WHERE NOT is_open_stay AND outcome_type = 'Adoption' AND animal_type IN ('Dog', 'Cat')
+          AND year(outcome_date) BETWEEN 1995 AND 2000 GROUP BY 1, 2""",
+    "trend_median_by_exit": """
+        SELECT cast(year(outcome_date) AS INTEGER) AS outcome_year, outcome_type, count(*) AS stays,
+               cast(median(length_of_stay_days) AS DOUBLE) AS median_days
+        FROM fact WHERE NOT is_open_stay AND animal_type = 'Dog' AND year(outcome_date) BETWEEN 1995 AND 2000
+        GROUP BY 1, 2""",
+    "trend_live_rate": f"""
+        SELECT cast(year(outcome_date) AS INTEGER) AS outcome_year, count(*) AS stays,
+               {_pct("count_if(outcome_class = 'Live')", "count_if(outcome_class IN ('Live', 'Non-Live'))")}
+                 AS live_release_rate_pct
+        FROM fact WHERE NOT is_open_stay AND animal_type IN ('Dog', 'Cat') AND year(outcome_date) BETWEEN 1995 AND 2000
+        GROUP BY 1""",
+    "trend_exit_mix": """
+        SELECT outcome_year, outcome_type, stays,
+               round(100.0 * stays / sum(stays) OVER (PARTITION BY outcome_year), 2) AS share_pct
+        FROM (SELECT cast(year(outcome_date) AS INTEGER) AS outcome_year, outcome_type, count(*) AS stays FROM fact
+              WHERE NOT is_open_stay AND animal_type IN ('Dog', 'Cat') AND year(outcome_date) BETWEEN 1995 AND 2000
+              GROUP BY 1, 2)""",
+    "trend_adoption_p90": """
+        SELECT cast(year(outcome_date) AS INTEGER) AS outcome_year, animal_type, count(*) AS stays,
+               cast(quantile_cont(length_of_stay_days, 0.9) AS DOUBLE) AS p90_days
+        FROM fact WHERE NOT is_open_stay AND outcome_type = 'Adoption' AND animal_type IN ('Dog', 'Cat')
+          AND year(outcome_date) BETWEEN 1995 AND 2000 GROUP BY 1, 2""",
+    "trend_adjusted_gap": """
+        SELECT count(live_release_rate_adjusted_pct - live_release_rate_pct) AS groups,
+               round(avg(live_release_rate_adjusted_pct - live_release_rate_pct), 6) AS mean_gap_points FROM mart""",
+    "trend_longest_history": """
+        SELECT max(stays) AS most_stays, count(*) AS animals
+        FROM (SELECT animal_id, count(*) AS stays FROM fact GROUP BY animal_id)""",
+    "trend_start_volume": "SELECT intake_month, animal_type, count(*) AS intakes FROM fact GROUP BY 1, 2",
+    "daily_census": "SELECT * FROM census",
+    "training_frame": "SELECT * FROM frame",
+    "population_horizon": """
+        SELECT as_of, label_cutoff, feed_start,
+               (SELECT count(*) FROM eligible WHERE implausible) AS excluded_implausible_open FROM horizon""",
+    "labels": "SELECT stay_key, intake_at, is_long_stay FROM labelled",
+    "feature_frame": "SELECT * FROM features",
+    "scoring_population": """
+        SELECT stay_key, animal_id, animal_type, intake_at, days_in_care
+        FROM (SELECT *, cast(floor(epoch(as_of - intake_at) / 86400) AS BIGINT) AS days_in_care
+              FROM eligible WHERE NOT mature AND is_open_stay)
+        WHERE days_in_care < 30""",
+    "rare_category_map": """
+        SELECT feature, category, n,
+               CASE WHEN n_categories <= 40 OR place <= 39 THEN category ELSE 'infrequent' END AS grouped
+        FROM (SELECT *, row_number() OVER (PARTITION BY feature ORDER BY n DESC, category) AS place,
+                     count(*) OVER (PARTITION BY feature) AS n_categories
+              FROM (SELECT feature, category, count(*) AS n
+                    FROM (UNPIVOT (SELECT features.* FROM features, holdout
+                                   WHERE intake_at >= train_start AND intake_at < train_end)
+                          ON animal_type, intake_type, intake_condition, reproductive_status, is_mix, primary_breed,
+                             primary_color, jurisdiction, intake_month, intake_weekday
+                          INTO NAME feature VALUE category)
+                    GROUP BY feature, category))""",
+    "holdout_calendar": "SELECT * FROM holdout",
+    "backtest_calendar": "SELECT * FROM months",
+    "model_metrics": _rounded_metrics("holdout_metrics"),
+    "sensitivity_slice": _rounded_metrics("slice_metrics"),
+    "calibration_deciles": """
+        SELECT slice, decile, count(*) AS n, round(avg(p), 6) AS mean_predicted, round(avg(y), 6) AS observed_rate
+        FROM (SELECT *, greatest(1, (10 * (position - 1) + n - 2) // (n - 1)) AS decile FROM places)
+        GROUP BY slice, decile""",
+    "top_decile": """
+        SELECT stay_key, p, cast(y AS BIGINT) AS y, position FROM places
+        WHERE position > n - greatest(1, cast(round_even(n * 0.1::DOUBLE, 0) AS BIGINT))""",
+    "recalibrated_scores": """
+        SELECT stay_key, round(1 / (1 + exp(-(0.8::DOUBLE * ln(q / (1 - q)) - 0.25::DOUBLE))), 6) AS probability
+        FROM (SELECT stay_key, greatest(1e-6::DOUBLE, least(1 - 1e-6::DOUBLE, p)) AS q FROM scored)""",
+    "level_shift": """
+        , z_rows AS (SELECT ln(q / (1 - q)) AS z, y
+                     FROM (SELECT y, greatest(1e-6::DOUBLE, least(1 - 1e-6::DOUBLE, p)) AS q FROM scored)),
+        halving AS (
+          SELECT 0 AS step, -20::DOUBLE AS low, 20::DOUBLE AS high
+          UNION ALL
+          SELECT step + 1, CASE WHEN gap > 0 THEN low ELSE middle END, CASE WHEN gap > 0 THEN middle ELSE high END
+          FROM (SELECT step, low, high, (low + high) / 2 AS middle,
+                       (SELECT avg(1 / (1 + exp(-(z + (h.low + h.high) / 2))) - y) FROM z_rows) AS gap
+                FROM halving h WHERE step < 60)),
+        found AS (SELECT low AS b FROM halving WHERE step = 60)
+        SELECT count(*) AS n, round(avg(y), 6) AS target_rate,
+               round(avg(1 / (1 + exp(-(z + b)))), 6) AS shifted_mean, round(max(b), 4) AS shift
+        FROM z_rows, found""",
+    "drift_bands": "SELECT * FROM shifts",
+    "psi_by_month": "SELECT intake_month, feature, round(psi, 6) AS psi FROM psi",
+    "month_status": f"""
+        SELECT slice AS intake_month, {_ROUNDED}, round(mean_predicted - base_rate, 6) AS calibration_gap,
+               CASE WHEN n < 200 THEN 'insufficient_data'
+                    WHEN roc_auc < 0.65 OR abs(mean_predicted - base_rate) > 0.05 THEN 'review' ELSE 'ok' END AS status,
+               nullif(concat_ws(', ', CASE WHEN roc_auc < 0.65 THEN 'auc_below_floor' END,
+                                CASE WHEN abs(mean_predicted - base_rate) > 0.05 THEN 'calibration_gap' END), '')
+                 AS review_reasons,
+               round(max_feature_psi, 6) AS max_feature_psi, drifted_features
+        FROM month_metrics JOIN (
+          SELECT intake_month, max(psi) AS max_feature_psi,
+                 string_agg(feature, ', ' ORDER BY list_position(['intake_type', 'intake_condition', 'animal_type',
+                            'age_band', 'census_band'], feature)) FILTER (psi > 0.25) AS drifted_features
+          FROM psi GROUP BY intake_month) d ON d.intake_month = slice""",
 }
 
 

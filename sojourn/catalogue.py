@@ -8,14 +8,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sojourn.functions.keys import surrogate_key
+from sojourn.functions.numbers import logit, recalibrated, round_half_away, sigmoid
+from sojourn.functions.rates import LIVE_OUTCOMES, NON_LIVE_OUTCOMES
 from sojourn.functions.text import age_text_to_days, clean_label
+from sojourn.functions.time import month_start
+from sojourn.operators import metrics
+from sojourn.operators.categories import category_counts, category_map
+from sojourn.operators.checks import accepted_range, accepted_values, failing_values
 from sojourn.operators.pairing import unmatched
-from sojourn.plans import marts
+from sojourn.plans import drift, features, marts, model, trends, windows
+from sojourn.plans.assertions import model_assertions, warehouse_assertions
+from sojourn.plans.contracts import KINDS, MODEL_TABLES, check_results, model_contracts, warehouse_contracts
+from sojourn.plans.encoding import MAX_CATEGORIES
 from sojourn.plans.episodes import RawFeeds
-from sojourn.plans.staging import collapse_repeats, with_required_keys
+from sojourn.plans.pipeline import build_warehouse
+from sojourn.plans.staging import with_required_keys
+from sojourn.plans.training import run_model
 from sojourn.sources import landing
 from sojourn.sources.feeds import end_feed, start_feed
-from sojourn.sources.scratch import scratch_path
+from sojourn.sources.scratch import materialize, scratch_path
 
 CATALOGUE: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -183,3 +194,316 @@ def quality_issues(spark, sf_dir):
 @query
 def quality_issue_counts(spark, sf_dir):
     return marts.issue_counts(marts.quality_issues(feeds(spark, sf_dir).episodes(keep_orphans=True)))
+
+
+# --- checks ----------------------------------------------------------------------------
+
+
+def warehouse(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """All warehouse tables; the pairing is stored once because five of them read it."""
+    raw = feeds(spark, sf_dir)
+    return build_warehouse(raw, start_feed(spark, sf_dir), end_feed(spark, sf_dir))
+
+
+def _checks(kind: str):
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return check_results(warehouse(spark, sf_dir), warehouse_contracts(), [kind])
+
+    build.__name__ = f"check_{kind}"
+    return query(build)
+
+
+for _kind in KINDS:
+    _checks(_kind)
+
+
+@query
+def failing_outcome_types(spark, sf_dir):
+    """The offending values behind one accepted-values check."""
+    staged = feeds(spark, sf_dir).staged_ends()
+    return failing_values(staged, accepted_values("outcome_type", LIVE_OUTCOMES + NON_LIVE_OUTCOMES))
+
+
+@query
+def failing_ages(spark, sf_dir):
+    """The offending values behind a range check without its bounds: 30 < age < 730."""
+    staged = feeds(spark, sf_dir).staged_starts()
+    return failing_values(staged, accepted_range("age_at_intake_days", 30, 730, inclusive=False))
+
+
+@query
+def assert_warehouse(spark, sf_dir):
+    tables = warehouse(spark, sf_dir)
+    return warehouse_assertions(
+        tables["staged_outcomes"],
+        tables["episode_fact"],
+        tables["monthly_outcomes"],
+        tables["quality_issues"],
+    )
+
+
+# --- trends ----------------------------------------------------------------------------
+
+# The derived feed starts on 1995-01-01 and was taken on 2001-08-02, so 2001 is partial.
+FULL_YEARS = (1995, 2000)
+
+
+@query
+def trend_adoption_median(spark, sf_dir):
+    return trends.adoption_median(fact(spark, sf_dir), FULL_YEARS)
+
+
+@query
+def trend_median_by_exit(spark, sf_dir):
+    return trends.median_by_exit(fact(spark, sf_dir), FULL_YEARS)
+
+
+@query
+def trend_live_rate(spark, sf_dir):
+    return trends.live_rate(fact(spark, sf_dir), FULL_YEARS)
+
+
+@query
+def trend_exit_mix(spark, sf_dir):
+    return trends.exit_mix(fact(spark, sf_dir), FULL_YEARS)
+
+
+@query
+def trend_adoption_p90(spark, sf_dir):
+    return trends.adoption_p90(fact(spark, sf_dir), FULL_YEARS)
+
+
+@query
+def trend_adjusted_gap(spark, sf_dir):
+    return trends.adjusted_gap(marts.monthly_outcomes(fact(spark, sf_dir)))
+
+
+@query
+def trend_longest_history(spark, sf_dir):
+    return trends.longest_history(fact(spark, sf_dir))
+
+
+@query
+def trend_start_volume(spark, sf_dir):
+    return trends.start_volume(fact(spark, sf_dir))
+
+
+# --- features, labels, populations ------------------------------------------------------
+
+
+def stored_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return materialize(fact(spark, sf_dir), "episode-fact")
+
+
+@query
+def daily_census(spark, sf_dir):
+    return features.census(fact(spark, sf_dir))
+
+
+@query
+def training_frame(spark, sf_dir):
+    return features.training_frame(stored_fact(spark, sf_dir))
+
+
+@query
+def population_horizon(spark, sf_dir):
+    stored = stored_fact(spark, sf_dir)
+    horizon = features.horizon_of(stored)
+    excluded = features.excluded_implausible_open(stored, horizon)
+    return features.horizon_frame(stored).withColumn(
+        "excluded_implausible_open", F.lit(excluded).cast("long")
+    )
+
+
+@query
+def labels(spark, sf_dir):
+    stored = stored_fact(spark, sf_dir)
+    return features.labelled(stored, features.horizon_of(stored)).select("stay_key", "intake_at", "is_long_stay")
+
+
+@query
+def feature_frame(spark, sf_dir):
+    stored = stored_fact(spark, sf_dir)
+    frame = features.labelled(features.training_frame(stored), features.horizon_of(stored))
+    return features.derive(frame, "stay_key", "intake_at", "is_long_stay")
+
+
+@query
+def scoring_population(spark, sf_dir):
+    stored = stored_fact(spark, sf_dir)
+    return features.scoring_population(stored, features.horizon_of(stored)).select(
+        "stay_key", "animal_id", "animal_type", "intake_at", "days_in_care"
+    )
+
+
+def labelled_features(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(stored features with label, one-row horizon)."""
+    stored = stored_fact(spark, sf_dir)
+    frame = features.labelled(features.training_frame(stored), features.horizon_of(stored))
+    derived = features.derive(frame, "stay_key", "intake_at", "outcome_subtype", "is_long_stay")
+    return materialize(derived, "features"), features.horizon_frame(stored)
+
+
+@query
+def rare_category_map(spark, sf_dir):
+    rows, horizon = labelled_features(spark, sf_dir)
+    window = windows.collect_windows(windows.holdout_calendar(horizon))[0]
+    train = rows.where(windows.within(window.train_start, window.train_end))
+    return category_map(category_counts(train, features.CATEGORICAL), MAX_CATEGORIES)
+
+
+@query
+def holdout_calendar(spark, sf_dir):
+    return windows.holdout_calendar(features.horizon_frame(fact(spark, sf_dir)))
+
+
+@query
+def backtest_calendar(spark, sf_dir):
+    return windows.backtest_calendar(features.horizon_frame(fact(spark, sf_dir)))
+
+
+# --- metrics, on a score that is a fixed function of the key ------------------------------
+
+
+def pseudo_score(key: str = "stay_key"):
+    """Unrelated to the label and coarse enough to hold many ties."""
+    return F.conv(F.substring(key, 1, 3), 16, 10).cast("double") / F.lit(4096.0)
+
+
+def scored_holdout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = stored_fact(spark, sf_dir)
+    horizon = features.horizon_of(stored)
+    window = windows.collect_windows(windows.holdout_calendar(features.horizon_frame(stored)))[0]
+    held_out = features.labelled(stored, horizon).where(windows.within(window.score_start, window.score_end))
+    return held_out.select(
+        "stay_key",
+        F.col("is_long_stay").alias("y"),
+        pseudo_score().alias("p"),
+        F.lit("holdout").alias("slice"),
+        "outcome_subtype",
+    )
+
+
+def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
+    """Doubles to a fixed number of digits, so that summation order cannot show."""
+    doubles = [f.name for f in df.schema if f.dataType.simpleString() == "double"]
+    return df.withColumns({c: round_half_away(F.col(c), digits) for c in doubles})
+
+
+@query
+def model_metrics(spark, sf_dir):
+    ranked = metrics.rank_scores(scored_holdout(spark, sf_dir), ["slice"], "stay_key")
+    return rounded(metrics.evaluate(ranked, ["slice"]))
+
+
+@query
+def calibration_deciles(spark, sf_dir):
+    ranked = metrics.rank_scores(scored_holdout(spark, sf_dir), ["slice"], "stay_key")
+    return rounded(metrics.calibration_table(ranked, ["slice"]))
+
+
+@query
+def top_decile(spark, sf_dir):
+    ranked = metrics.rank_scores(scored_holdout(spark, sf_dir), ["slice"], "stay_key")
+    return ranked.where(metrics.in_top()).select("stay_key", "p", "y", "position")
+
+
+@query
+def sensitivity_slice(spark, sf_dir):
+    sliced = model.with_sensitivity_slice(scored_holdout(spark, sf_dir))
+    ranked = metrics.rank_scores(sliced, ["slice"], "stay_key")
+    return rounded(metrics.evaluate(ranked, ["slice"]))
+
+
+@query
+def recalibrated_scores(spark, sf_dir):
+    scored = scored_holdout(spark, sf_dir)
+    return rounded(scored.select("stay_key", recalibrated(F.col("p"), 0.8, -0.25).alias("probability")))
+
+
+@query
+def level_shift(spark, sf_dir):
+    """The shift in log-odds that brings the mean score to the observed rate."""
+    stored = materialize(
+        scored_holdout(spark, sf_dir).select(logit(F.col("p")).alias("z"), "y"), "level-shift"
+    )
+    shift = model.level_shift(stored)
+    return stored.agg(
+        F.count(F.lit(1)).alias("n"),
+        round_half_away(F.avg("y"), 6).alias("target_rate"),
+        round_half_away(F.avg(sigmoid(F.col("z") + F.lit(shift))), 6).alias("shifted_mean"),
+        round_half_away(F.lit(shift), 4).alias("shift"),
+    )
+
+
+@query
+def drift_bands(spark, sf_dir):
+    rows, horizon = labelled_features(spark, sf_dir)
+    members = drift.month_members(rows, windows.backtest_calendar(horizon))
+    return drift.category_shifts(drift.drift_view(members, drift.census_edges(members)))
+
+
+@query
+def psi_by_month(spark, sf_dir):
+    rows, horizon = labelled_features(spark, sf_dir)
+    return rounded(drift.feature_drift(rows, windows.backtest_calendar(horizon)))
+
+
+@query
+def month_status(spark, sf_dir):
+    rows, horizon = labelled_features(spark, sf_dir)
+    calendar = windows.backtest_calendar(horizon)
+    months = calendar.select("score_start", "score_end")
+    scored = (
+        rows.withColumn("score_start", month_start(F.col("intake_at")))
+        .join(F.broadcast(months), "score_start")
+        .select(
+            F.col("score_start").alias("backtest_month"),
+            "stay_key",
+            F.col("is_long_stay").alias("y"),
+            pseudo_score().alias("p"),
+        )
+    )
+    ranked = metrics.rank_scores(scored, ["backtest_month"], "stay_key")
+    per_month = metrics.evaluate(ranked, ["backtest_month"]).withColumnRenamed("backtest_month", "intake_month")
+    summary = drift.drift_summary(drift.feature_drift(rows, calendar))
+    return rounded(drift.month_status(per_month.join(summary, "intake_month")))
+
+
+# --- the model run -----------------------------------------------------------------------
+
+_RUNS: dict[tuple[str, str], dict[str, DataFrame]] = {}
+
+
+def model_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """One training run per application and table directory; its six outputs share it."""
+    run = (spark.sparkContext.applicationId, sf_dir)
+    if run not in _RUNS:
+        _RUNS[run] = run_model(stored_fact(spark, sf_dir))
+    return _RUNS[run]
+
+
+def _model_table(name: str):
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return model_tables(spark, sf_dir)[name]
+
+    build.__name__ = name
+    return query(build)
+
+
+for _name in MODEL_TABLES:
+    _model_table(_name)
+
+
+@query
+def check_model_outputs(spark, sf_dir):
+    tables = model_tables(spark, sf_dir) | {"episode_fact": stored_fact(spark, sf_dir)}
+    declared = check_results(tables, model_contracts())
+    return declared.unionByName(
+        model_assertions(
+            tables["model_evaluation"],
+            tables["monthly_performance"],
+            tables["stay_scores"],
+            tables["episode_fact"],
+        )
+    )
