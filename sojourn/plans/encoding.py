@@ -43,17 +43,14 @@ class Categories:
         A category first seen after training joins the infrequent bucket where the column has
         one; elsewhere it gets the index past the last, which no training row carries.
         """
-        grouped = df.withColumns({f"{c}_grouped": self._grouped(c) for c in CATEGORICAL})
-        labels = [
-            self.kept[c] + ([INFREQUENT] if c in self.bucketed else []) for c in CATEGORICAL
-        ]
-        indexer = StringIndexerModel.from_arrays_of_labels(
-            labels,
-            inputCols=[f"{c}_grouped" for c in CATEGORICAL],
-            outputCols=[f"{c}_index" for c in CATEGORICAL],
-            handleInvalid="keep",
-        )
-        return indexer.transform(grouped).drop(*[f"{c}_grouped" for c in CATEGORICAL])
+        indexed = df.withColumns({f"{c}_grouped": self._grouped(c) for c in CATEGORICAL})
+        for c in CATEGORICAL:
+            labels = self.kept[c] + ([INFREQUENT] if c in self.bucketed else [])
+            # One model per column: the many-column constructor pads short label lists.
+            indexed = StringIndexerModel.from_labels(
+                labels, inputCol=f"{c}_grouped", outputCol=f"{c}_index", handleInvalid="keep"
+            ).transform(indexed)
+        return indexed.drop(*[f"{c}_grouped" for c in CATEGORICAL])
 
 
 @dataclass(frozen=True)

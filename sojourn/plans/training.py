@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -99,7 +99,7 @@ def evaluate_holdout(inputs: Inputs, config: ModelConfig) -> Holdout:
         "gradient_boosting": lambda: fit_boosted(train, config),
         RECALIBRATED: lambda: fit_recalibrated(inputs.labelled, window, config),
     }
-    scorers = dict(zip(fits, _in_parallel(list(fits.values()), config)))
+    scorers = dict(zip(fits, _in_parallel(train.sparkSession, list(fits.values()), config)))
     main = scorers[RECALIBRATED]
     scored = reduce(
         DataFrame.unionByName, [_scores(s, test, model=F.lit(name)) for name, s in scorers.items()]
@@ -145,10 +145,11 @@ def evaluate_holdout(inputs: Inputs, config: ModelConfig) -> Holdout:
     return Holdout(window, main, materialize(main_ranked, "main-ranked"), evaluation)
 
 
-def _in_parallel(jobs: list, config: ModelConfig) -> list:
+def _in_parallel(spark: SparkSession, jobs: list, config: ModelConfig) -> list:
     """Independent fits from a few driver threads; each fit is itself a set of Spark jobs."""
+    inherit = inheritable_thread_target(spark)
     with ThreadPoolExecutor(max_workers=config.concurrent_fits) as pool:
-        return list(pool.map(lambda job: inheritable_thread_target(job)(), jobs))
+        return list(pool.map(lambda job: inherit(job)(), jobs))
 
 
 def permutation_importance(holdout: Holdout, inputs: Inputs, config: ModelConfig) -> DataFrame:
@@ -253,7 +254,7 @@ def backtest(inputs: Inputs, config: ModelConfig) -> tuple[DataFrame, DataFrame]
         empty = {c: F.lit(None).cast("double") for c in metrics.METRICS}
         measured = months.select("intake_month", *[v.alias(c) for c, v in empty.items()])
     else:
-        parts = _in_parallel([lambda w=w: run(w) for w in usable], config)
+        parts = _in_parallel(spark, [lambda w=w: run(w) for w in usable], config)
         scored = reduce(DataFrame.unionByName, parts)
         ranked = metrics.rank_scores(scored, ["intake_month"], KEY)
         measured = metrics.evaluate(ranked, ["intake_month"])
