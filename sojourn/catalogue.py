@@ -20,7 +20,7 @@ from sojourn.plans import drift, features, marts, model, trends, windows
 from sojourn.plans.assertions import model_assertions, warehouse_assertions
 from sojourn.plans.contracts import KINDS, MODEL_TABLES, check_results, model_contracts, warehouse_contracts
 from sojourn.plans.encoding import MAX_CATEGORIES
-from sojourn.plans.episodes import RawFeeds
+from sojourn.plans.episodes import RawFeeds, heavy_entities
 from sojourn.plans.pipeline import build_warehouse
 from sojourn.plans.staging import with_required_keys
 from sojourn.plans.training import run_model
@@ -36,8 +36,17 @@ def query(build: Callable[[SparkSession, str], DataFrame]):
     return build
 
 
+_HEAVY: dict[tuple[str, str], DataFrame | None] = {}
+
+
 def feeds(spark: SparkSession, sf_dir: str) -> RawFeeds:
-    return RawFeeds.of(start_feed(spark, sf_dir), end_feed(spark, sf_dir))
+    """Both feeds. Which entities are heavy is looked up once per application and directory;
+    it decides how rows are spread, never what comes out."""
+    starts, ends = start_feed(spark, sf_dir), end_feed(spark, sf_dir)
+    asked = (spark.sparkContext.applicationId, sf_dir)
+    if asked not in _HEAVY:
+        _HEAVY[asked] = heavy_entities(starts, ends)
+    return RawFeeds.split(starts, ends, _HEAVY[asked])
 
 
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -54,6 +54,13 @@ def pair_events(starts: DataFrame, ends: DataFrame, keep_orphans: bool = False)
     return paired.select(*EPISODE_COLUMNS, *(["has_start"] if keep_orphans else []))
 
 
+def heavy_entities(
+    starts: DataFrame, ends: DataFrame, max_rows: int = MAX_ROWS_PER_KEY
+) -> DataFrame | None:
+    """Entities with too many raw events, repeats included, for one task."""
+    return heavy_keys(starts.select(ENTITY).unionAll(ends.select(ENTITY)).dropna(), ENTITY, max_rows)
+
+
 @dataclass(frozen=True)
 class RawFeeds:
     """Both raw feeds, split once into ordinary entities and those too big for one task."""
@@ -65,8 +72,10 @@ class RawFeeds:
 
     @classmethod
     def of(cls, starts: DataFrame, ends: DataFrame, max_rows: int = MAX_ROWS_PER_KEY) -> RawFeeds:
-        entities = starts.select(ENTITY).unionAll(ends.select(ENTITY)).dropna()
-        heavy = heavy_keys(entities, ENTITY, max_rows)
+        return cls.split(starts, ends, heavy_entities(starts, ends, max_rows))
+
+    @classmethod
+    def split(cls, starts: DataFrame, ends: DataFrame, heavy: DataFrame | None) -> RawFeeds:
         if heavy is None:
             return cls(starts, ends)
         (cold_starts, hot_starts) = split_heavy(starts, ENTITY, heavy)

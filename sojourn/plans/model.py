@@ -40,7 +40,8 @@ class ModelConfig:
     calibration_c: float = 100.0
     importance_rows: int = 15_000
     importance_repeats: int = 5
-    concurrent_fits: int = 3
+    concurrent_fits: int = 4
+    rows_per_task: int = 50_000
     seed: int = 20261005
 
     def version(self) -> str:
@@ -96,11 +97,20 @@ def fit_baseline(train: DataFrame, config: ModelConfig) -> Scorer:
     return Scorer(encoder, learner.fit(_labelled(encoder.transform(train)).select(VECTOR, "label")))
 
 
+def _right_sized(rows: DataFrame, n: int, config: ModelConfig) -> DataFrame:
+    """Merge partitions holding few rows: a fit runs hundreds of short jobs over them.
+
+    coalesce never adds partitions, so a large training set keeps all of its own.
+    """
+    return rows.coalesce(max(2, -(-n // config.rows_per_task)))
+
+
 def fit_boosted(train: DataFrame, config: ModelConfig) -> Scorer:
     """Boosted trees, stopped once the held-back tenth of the rows gets worse.
 
     The tenth is chosen by a hash of the key: the same rows on every run and any partitioning.
     """
+    train = _right_sized(train, train.count(), config)
     encoder = TreeEncoder.fit(train)
     held_back = F.pmod(F.xxhash64(F.col(KEY), F.lit(config.seed)), F.lit(config.validation_share)) == 0
     rows = (
@@ -119,7 +129,12 @@ def fit_boosted(train: DataFrame, config: ModelConfig) -> Scorer:
         validationIndicatorCol="is_validation",
         validationTol=0.0,
     )
-    return Scorer(encoder, learner.fit(rows))
+    # Every tree level reads the rows again; kept encoded, they spill to disk if they must.
+    rows.persist()
+    try:
+        return Scorer(encoder, learner.fit(rows))
+    finally:
+        rows.unpersist()
 
 
 def level_shift(log_odds: DataFrame, tolerance: float = 1e-10, max_steps: int = 100) -> float:

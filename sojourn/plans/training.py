@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
@@ -90,16 +91,20 @@ class Holdout:
     evaluation: DataFrame
 
 
-def evaluate_holdout(inputs: Inputs, config: ModelConfig) -> Holdout:
-    window = windows.collect_windows(windows.holdout_calendar(inputs.horizon_row))[0]
+def holdout_fits(inputs: Inputs, window: Window, config: ModelConfig) -> dict[str, Callable[[], Scorer]]:
     train = inputs.labelled.where(within(window.train_start, window.train_end))
-    test = inputs.labelled.where(within(window.score_start, window.score_end))
-    fits = {
+    return {
         "logistic_baseline": lambda: fit_baseline(train, config),
         "gradient_boosting": lambda: fit_boosted(train, config),
         RECALIBRATED: lambda: fit_recalibrated(inputs.labelled, window, config),
     }
-    scorers = dict(zip(fits, _in_parallel(train.sparkSession, list(fits.values()), config)))
+
+
+def evaluate_holdout(
+    inputs: Inputs, window: Window, scorers: dict[str, Scorer], config: ModelConfig
+) -> Holdout:
+    """The three models side by side on the last year of settled labels."""
+    test = inputs.labelled.where(within(window.score_start, window.score_end))
     main = scorers[RECALIBRATED]
     scored = reduce(
         DataFrame.unionByName, [_scores(s, test, model=F.lit(name)) for name, s in scorers.items()]
@@ -145,11 +150,11 @@ def evaluate_holdout(inputs: Inputs, config: ModelConfig) -> Holdout:
     return Holdout(window, main, materialize(main_ranked, "main-ranked"), evaluation)
 
 
-def _in_parallel(spark: SparkSession, jobs: list, config: ModelConfig) -> list:
+def in_parallel(spark: SparkSession, jobs: dict, config: ModelConfig) -> dict:
     """Independent fits from a few driver threads; each fit is itself a set of Spark jobs."""
     inherit = inheritable_thread_target(spark)
     with ThreadPoolExecutor(max_workers=config.concurrent_fits) as pool:
-        return list(pool.map(lambda job: inherit(job)(), jobs))
+        return dict(zip(jobs, pool.map(lambda job: inherit(job)(), jobs.values())))
 
 
 def permutation_importance(holdout: Holdout, inputs: Inputs, config: ModelConfig) -> DataFrame:
@@ -214,7 +219,7 @@ def permutation_importance(holdout: Holdout, inputs: Inputs, config: ModelConfig
     )
 
 
-def _usable_months(inputs: Inputs, calendar: list[Window]) -> dict[Window, int]:
+def usable_months(inputs: Inputs, calendar: list[Window]) -> dict[Window, int]:
     """Training rows of each month that has rows to score and both classes to learn from.
 
     One pass with a few conditional sums per window.
@@ -235,49 +240,47 @@ def _usable_months(inputs: Inputs, calendar: list[Window]) -> dict[Window, int]:
     }
 
 
-def backtest(inputs: Inputs, config: ModelConfig) -> tuple[DataFrame, DataFrame]:
-    """(monthly_performance, feature_drift): each month scored by the model of its time."""
-    spark = inputs.labelled.sparkSession
-    calendar_rows = materialize(windows.backtest_calendar(inputs.horizon_row), "calendar")
-    usable = _usable_months(inputs, windows.collect_windows(calendar_rows))
+def backtest_month(inputs: Inputs, window: Window, config: ModelConfig) -> DataFrame:
+    """One month's rows, scored by the model staff would have had on its first day."""
+    scorer = fit_recalibrated(inputs.labelled, window, config)
+    rows = inputs.labelled.where(within(window.score_start, window.score_end))
+    return _scores(scorer, rows, intake_month=ntz(window.score_start))
 
-    def run(window: Window) -> DataFrame:
-        scorer = fit_recalibrated(inputs.labelled, window, config)
-        rows = inputs.labelled.where(within(window.score_start, window.score_end))
-        return _scores(scorer, rows, intake_month=ntz(window.score_start))
 
-    months = spark.createDataFrame(
-        [(w.score_start, n) for w, n in usable.items()], "intake_month timestamp_ntz, train_rows long"
+def monthly_performance(
+    inputs: Inputs, usable: dict[Window, int], month_scores: list[DataFrame]
+) -> tuple[DataFrame, DataFrame]:
+    """(monthly_performance, feature_drift) over all usable months, ranked and measured together."""
+    spark = inputs.labelled.sparkSession
+    calendar = spark.createDataFrame(
+        [(w.score_start, w.score_end, w.train_start, w.calibration_start, w.train_end, n) for w, n in usable.items()],
+        "score_start timestamp_ntz, score_end timestamp_ntz, train_start timestamp_ntz, "
+        "calibration_start timestamp_ntz, train_end timestamp_ntz, train_rows long",
     )
-    kept = calendar_rows.join(F.broadcast(months), F.col("score_start") == F.col("intake_month"))
-    if not usable:
-        empty = {c: F.lit(None).cast("double") for c in metrics.METRICS}
-        measured = months.select("intake_month", *[v.alias(c) for c, v in empty.items()])
-    else:
-        parts = _in_parallel(spark, [lambda w=w: run(w) for w in usable], config)
-        scored = reduce(DataFrame.unionByName, parts)
-        ranked = metrics.rank_scores(scored, ["intake_month"], KEY)
+    if month_scores:
+        ranked = metrics.rank_scores(reduce(DataFrame.unionByName, month_scores), ["intake_month"], KEY)
         measured = metrics.evaluate(ranked, ["intake_month"])
-    shifts = materialize(
-        drift.feature_drift(inputs.labelled, kept.select(*calendar_rows.columns)), "drift"
-    )
+    else:
+        measured = spark.createDataFrame(
+            [], "intake_month timestamp_ntz, n long, " + ", ".join(f"{c} double" for c in metrics.METRICS[1:])
+        )
+    shifts = materialize(drift.feature_drift(inputs.labelled, calendar), "drift")
+    windows_by_month = calendar.withColumnRenamed("score_start", "intake_month").drop("score_end")
     performance = (
         drift.month_status(measured)
         .join(F.broadcast(drift.drift_summary(shifts)), "intake_month")
-        .join(F.broadcast(kept), "intake_month")
+        .join(F.broadcast(windows_by_month), "intake_month")
         .select(*PERFORMANCE_COLUMNS)
     )
     return performance, shifts
 
 
-def score_open(holdout: Holdout, inputs: Inputs, config: ModelConfig) -> DataFrame:
+def score_open(holdout: Holdout, inputs: Inputs, final: Scorer) -> DataFrame:
     """Current open episodes by a model refitted up to the cutoff.
 
     The bands are cut where the holdout's scores were, so 'High' is the top tenth of what the
     model usually sees. Nobody waiting gives an empty table with the same columns.
     """
-    window = windows.collect_windows(windows.final_calendar(inputs.horizon_row))[0]
-    final = fit_recalibrated(inputs.labelled, window, config)
     high, elevated = metrics.score_quantiles(holdout.ranked, [0.9, 0.7])
     return final.score(inputs.open_now).select(
         KEY,
@@ -294,15 +297,29 @@ def score_open(holdout: Holdout, inputs: Inputs, config: ModelConfig) -> DataFra
 def run_model(fact: DataFrame, config: ModelConfig = ModelConfig()) -> dict[str, DataFrame]:
     """The six model tables, each stored, from a stored episode fact."""
     inputs = prepare(fact)
-    holdout = evaluate_holdout(inputs, config)
-    performance, shifts = backtest(inputs, config)
+    spark = fact.sparkSession
+    (holdout_window,) = windows.collect_windows(windows.holdout_calendar(inputs.horizon_row))
+    (final_window,) = windows.collect_windows(windows.final_calendar(inputs.horizon_row))
+    usable = usable_months(
+        inputs, windows.collect_windows(windows.backtest_calendar(inputs.horizon_row))
+    )
+    # No fit needs another, so all of them share one pool; the slow ones do not queue up last.
+    fits = holdout_fits(inputs, holdout_window, config)
+    jobs = {
+        "final": lambda: fit_recalibrated(inputs.labelled, final_window, config),
+        **fits,
+        **{w: lambda w=w: backtest_month(inputs, w, config) for w in usable},
+    }
+    done = in_parallel(spark, jobs, config)
+    holdout = evaluate_holdout(inputs, holdout_window, {name: done[name] for name in fits}, config)
+    performance, shifts = monthly_performance(inputs, usable, [done[w] for w in usable])
     tables = {
         "model_evaluation": holdout.evaluation,
         "calibration": metrics.calibration_table(holdout.ranked),
         "feature_importance": permutation_importance(holdout, inputs, config),
         "monthly_performance": performance,
         "feature_drift": shifts,
-        "stay_scores": score_open(holdout, inputs, config),
+        "stay_scores": score_open(holdout, inputs, done["final"]),
     }
     return {name: materialize(stamp(df, config.version()), name) for name, df in tables.items()}
 
