@@ -457,7 +457,9 @@ ORACLES: dict[str, str] = {
     "orphan_ends": "SELECT stay_key, animal_id, stay_sequence, outcome_at, outcome_type FROM ends ANTI JOIN starts USING (stay_key)",
     "episode_fact": "SELECT * FROM fact",
     "entity_dimension": "SELECT * FROM dimension",
-    "monthly_outcomes": "SELECT * FROM mart",
+    "monthly_outcomes": """
+        SELECT * REPLACE (round(median_length_of_stay_days, 6) AS median_length_of_stay_days,
+                          round(p90_length_of_stay_days, 6) AS p90_length_of_stay_days) FROM mart""",
     "quality_issues": "SELECT * FROM issues",
     "quality_issue_counts": "SELECT issue_type, count(*) AS issues FROM issues GROUP BY issue_type",
     "check_not_null": _results(
@@ -550,7 +552,7 @@ ORACLES: dict[str, str] = {
               GROUP BY 1, 2)""",
     "trend_adoption_p90": """
         SELECT cast(year(outcome_date) AS INTEGER) AS outcome_year, animal_type, count(*) AS stays,
-               cast(quantile_cont(length_of_stay_days, 0.9) AS DOUBLE) AS p90_days
+               round(cast(quantile_cont(length_of_stay_days, 0.9) AS DOUBLE), 6) AS p90_days
         FROM fact WHERE NOT is_open_stay AND outcome_type = 'Adoption' AND animal_type IN ('Dog', 'Cat')
           AND year(outcome_date) BETWEEN 1995 AND 2000 GROUP BY 1, 2""",
     "trend_adjusted_gap": """

@@ -57,6 +57,12 @@ def count_rows(df: DataFrame, name: str):
     return df.agg(F.count(F.lit(1)).alias(name))
 
 
+def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
+    """Doubles to a fixed number of digits: summation order and fused multiply-adds cannot show."""
+    doubles = [f.name for f in df.schema if f.dataType.simpleString() == "double"]
+    return df.withColumns({c: round_half_away(F.col(c), digits) for c in doubles})
+
+
 # --- landing ---------------------------------------------------------------------------
 
 
@@ -192,7 +198,7 @@ def entity_dimension(spark, sf_dir):
 
 @query
 def monthly_outcomes(spark, sf_dir):
-    return marts.in_reading_order(marts.monthly_outcomes(fact(spark, sf_dir)))
+    return marts.in_reading_order(rounded(marts.monthly_outcomes(fact(spark, sf_dir))))
 
 
 @query
@@ -279,7 +285,7 @@ def trend_exit_mix(spark, sf_dir):
 
 @query
 def trend_adoption_p90(spark, sf_dir):
-    return trends.adoption_p90(fact(spark, sf_dir), FULL_YEARS)
+    return rounded(trends.adoption_p90(fact(spark, sf_dir), FULL_YEARS))
 
 
 @query
@@ -393,12 +399,6 @@ def scored_holdout(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Doubles to a fixed number of digits, so that summation order cannot show."""
-    doubles = [f.name for f in df.schema if f.dataType.simpleString() == "double"]
-    return df.withColumns({c: round_half_away(F.col(c), digits) for c in doubles})
-
-
 @query
 def model_metrics(spark, sf_dir):
     ranked = metrics.rank_scores(scored_holdout(spark, sf_dir), ["slice"], "stay_key")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sojourn.functions.bands import band_index, drift_age_band
 from sojourn.operators.categories import long_form
 from sojourn.operators.metrics import stability_index
+from sojourn.operators.quantiles import percentile_of, with_ranks
 
 # Monitored features in reporting order, quantiles, alert levels.
 DRIFT_FEATURES = ["intake_type", "intake_condition", "animal_type", "age_band", "census_band"]
@@ -52,9 +53,12 @@ def census_edges(members: DataFrame) -> DataFrame:
         .groupBy("backtest_month", "animal_type", "census_same_type")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    quantiles = F.percentile("census_same_type", F.array(*[F.lit(q) for q in CENSUS_QUANTILES]), F.col("n"))
-    return weighted.groupBy("backtest_month", "animal_type").agg(
-        F.array_distinct(quantiles).alias("edges")
+    group = ["backtest_month", "animal_type"]
+    quantiles = [percentile_of("census_same_type", q) for q in CENSUS_QUANTILES]
+    return (
+        with_ranks(weighted, group, "census_same_type")
+        .groupBy(*group)
+        .agg(F.array_distinct(F.array(*quantiles)).alias("edges"))
     )
 
 

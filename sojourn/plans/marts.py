@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sojourn.functions.bands import age_band
 from sojourn.functions.numbers import round_half_away
 from sojourn.functions.rates import rate_pct
 from sojourn.functions.time import month_start
+from sojourn.operators.quantiles import percentile_of, with_ranks
 from sojourn.plans.staging import ENTITY, KEY, SEQUENCE
 
 FACT_COLUMNS = [
@@ -100,16 +101,11 @@ def entity_dimension(fact: DataFrame) -> DataFrame:
     )
 
 
-def duration_percentile(share: float, weight: str = "n") -> Column:
-    """Exact interpolated percentile over (duration, weight) rows."""
-    return F.percentile("length_of_stay_days", share, F.col(weight))
-
-
 def monthly_outcomes(fact: DataFrame) -> DataFrame:
     """Counts, rates and durations per end month and type.
 
-    Grouped by duration first: that aggregate is plain codegen with map-side combine, and the
-    exact percentiles then see one weighted row per distinct duration, not every episode.
+    Grouped by duration first: that aggregate is plain codegen with map-side combine, and all
+    that follows sees one weighted row per distinct duration, not every episode.
     """
     kind, cls = F.col("outcome_type"), F.col("outcome_class")
     not_requested = ~F.col("is_owner_requested_euthanasia")
@@ -135,12 +131,13 @@ def monthly_outcomes(fact: DataFrame) -> DataFrame:
         )
     )
     days = F.sum(F.col("length_of_stay_days") * F.col("n")).cast("double")
-    monthly = by_duration.groupBy("outcome_month", "animal_type").agg(
+    group = ["outcome_month", "animal_type"]
+    monthly = with_ranks(by_duration, group, "length_of_stay_days").groupBy(*group).agg(
         F.sum("n").alias("outcomes_total"),
         *[F.sum(name).alias(name) for name in counts],
         round_half_away(days / F.sum("n"), 1).alias("avg_length_of_stay_days"),
-        duration_percentile(0.5).alias("median_length_of_stay_days"),
-        duration_percentile(0.9).alias("p90_length_of_stay_days"),
+        percentile_of("length_of_stay_days", 0.5).alias("median_length_of_stay_days"),
+        percentile_of("length_of_stay_days", 0.9).alias("p90_length_of_stay_days"),
     )
     live, non_live = F.col("outcomes_live"), F.col("outcomes_non_live")
     return monthly.select(

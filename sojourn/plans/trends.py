@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from sojourn.functions.numbers import round_half_away
 from sojourn.functions.rates import live_release_rate, rate_pct
-from sojourn.plans.marts import closed, duration_percentile
+from sojourn.operators.quantiles import percentile_of, with_ranks
+from sojourn.plans.marts import closed
 from sojourn.plans.staging import ENTITY
 
 SPECIES = ["Dog", "Cat"]
@@ -23,8 +24,8 @@ def closed_in(fact: DataFrame, years: Years) -> DataFrame:
 def _duration_by(df: DataFrame, group: list[str], share: float, name: str) -> DataFrame:
     """Exact percentile per group, from one weighted row per distinct duration."""
     weighted = df.groupBy(*group, "length_of_stay_days").agg(F.count(F.lit(1)).alias("n"))
-    return weighted.groupBy(*group).agg(
-        F.sum("n").alias("stays"), duration_percentile(share).alias(name)
+    return with_ranks(weighted, group, "length_of_stay_days").groupBy(*group).agg(
+        F.sum("n").alias("stays"), percentile_of("length_of_stay_days", share).alias(name)
     )
 
 

@@ -137,3 +137,20 @@ def test_drift_summary_keeps_reporting_order(spark):
     )
     rows = {r["intake_month"]: (r["max_feature_psi"], r["drifted_features"]) for r in drift.drift_summary(df).collect()}
     assert rows == {"m": (0.9, "intake_type, census_band"), "q": (0.2, None)}
+
+
+def test_weighted_percentiles(spark):
+    from sojourn.operators.quantiles import percentile_of, with_ranks
+
+    rng = random.Random(3)
+    values = {g: [rng.randrange(40) for _ in range(n)] for g, n in (("a", 1), ("b", 8), ("c", 333))}
+    df = spark.createDataFrame([(g, v) for g, vs in values.items() for v in vs], "g string, v long")
+    weighted = df.groupBy("g", "v").agg(F.count(F.lit(1)).alias("n"))
+    ranked = with_ranks(weighted, ["g"], "v")
+    for share in (0.0, 0.2, 0.5, 0.9, 1.0):
+        got = {r["g"]: r["q"] for r in ranked.groupBy("g").agg(percentile_of("v", share).alias("q")).collect()}
+        for g, vs in values.items():
+            ordered, at = sorted(vs), (len(vs) - 1) * share
+            low, high = ordered[int(at)], ordered[math.ceil(at)]
+            fraction = at - int(at)
+            assert got[g] == low * (1.0 - fraction) + high * fraction
