@@ -23,7 +23,7 @@ from sojourn.plans.encoding import MAX_CATEGORIES
 from sojourn.plans.episodes import RawFeeds, heavy_entities
 from sojourn.plans.pipeline import build_warehouse
 from sojourn.plans.staging import with_required_keys
-from sojourn.plans.training import run_model
+from sojourn.plans.training import prepare, run_model
 from sojourn.sources import landing
 from sojourn.sources.feeds import end_feed, start_feed
 from sojourn.sources.scratch import materialize, scratch_path
@@ -36,25 +36,41 @@ def query(build: Callable[[SparkSession, str], DataFrame]):
     return build
 
 
-_HEAVY: dict[tuple[str, str], DataFrame | None] = {}
+# Stored once per application and table directory, as a warehouse stores them: the raw
+# snapshots, the episode fact and the model tables. The given tables are snapshots too, so
+# nothing kept here goes stale while an application runs.
+_KEPT: dict[tuple, object] = {}
+
+
+def kept(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], object]):
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _KEPT:
+        _KEPT[key] = build()
+    return _KEPT[key]
+
+
+def raw_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kept(spark, sf_dir, "starts", lambda: materialize(start_feed(spark, sf_dir), "raw-starts"))
+
+
+def raw_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kept(spark, sf_dir, "ends", lambda: materialize(end_feed(spark, sf_dir), "raw-ends"))
 
 
 def feeds(spark: SparkSession, sf_dir: str) -> RawFeeds:
-    """Both feeds. Which entities are heavy is looked up once per application and directory;
-    it decides how rows are spread, never what comes out."""
-    starts, ends = start_feed(spark, sf_dir), end_feed(spark, sf_dir)
-    asked = (spark.sparkContext.applicationId, sf_dir)
-    if asked not in _HEAVY:
-        _HEAVY[asked] = heavy_entities(starts, ends)
-    return RawFeeds.split(starts, ends, _HEAVY[asked])
+    """Both raw snapshots. Which entities are heavy decides how rows are spread, never what
+    comes out."""
+    starts, ends = raw_starts(spark, sf_dir), raw_ends(spark, sf_dir)
+    heavy = kept(spark, sf_dir, "heavy", lambda: heavy_entities(starts, ends))
+    return RawFeeds.split(starts, ends, heavy)
 
 
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.episode_fact(feeds(spark, sf_dir).episodes())
 
 
-def count_rows(df: DataFrame, name: str):
-    return df.agg(F.count(F.lit(1)).alias(name))
+def stored_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kept(spark, sf_dir, "fact", lambda: materialize(fact(spark, sf_dir), "episode-fact"))
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -75,13 +91,13 @@ def _landed(spark: SparkSession, feed: DataFrame, label: str) -> str:
 
 @query
 def landed_starts(spark, sf_dir):
-    path = _landed(spark, start_feed(spark, sf_dir), "landed-starts")
+    path = _landed(spark, raw_starts(spark, sf_dir), "landed-starts")
     return landing.read_landed(spark, path, landing.START_COLUMNS)
 
 
 @query
 def landed_ends(spark, sf_dir):
-    path = _landed(spark, end_feed(spark, sf_dir), "landed-ends")
+    path = _landed(spark, raw_ends(spark, sf_dir), "landed-ends")
     return landing.read_landed(spark, path, landing.END_COLUMNS)
 
 
@@ -89,8 +105,8 @@ def landed_ends(spark, sf_dir):
 def load_reconciliation(spark, sf_dir):
     rows = []
     for name, feed, columns in (
-        ("intakes", start_feed(spark, sf_dir), landing.START_COLUMNS),
-        ("outcomes", end_feed(spark, sf_dir), landing.END_COLUMNS),
+        ("intakes", raw_starts(spark, sf_dir), landing.START_COLUMNS),
+        ("outcomes", raw_ends(spark, sf_dir), landing.END_COLUMNS),
     ):
         report = landing.replace_snapshot(
             spark, _landed(spark, feed, name), scratch_path(spark, f"raw-{name}"), columns
@@ -102,7 +118,7 @@ def load_reconciliation(spark, sf_dir):
 @query
 def absent_columns(spark, sf_dir):
     """A column no landed object carries is loaded as null and reported."""
-    feed = start_feed(spark, sf_dir).drop("found_location")
+    feed = raw_starts(spark, sf_dir).drop("found_location")
     report = landing.replace_snapshot(
         spark, _landed(spark, feed, "partial"), scratch_path(spark, "raw-partial"), landing.START_COLUMNS
     )
@@ -115,7 +131,7 @@ def absent_columns(spark, sf_dir):
 
 @query
 def required_keys(spark, sf_dir):
-    both = (("intakes", start_feed(spark, sf_dir)), ("outcomes", end_feed(spark, sf_dir)))
+    both = (("intakes", raw_starts(spark, sf_dir)), ("outcomes", raw_ends(spark, sf_dir)))
     keyed = F.col("animal_id").isNotNull() & F.col("datetime").isNotNull()
     parts = [
         feed.agg(F.count(F.lit(1)).alias("raw_rows"), F.count_if(keyed).alias("kept_rows")).select(
@@ -129,7 +145,7 @@ def required_keys(spark, sf_dir):
 @query
 def dedupe_exact(spark, sf_dir):
     parts = []
-    for name, feed in (("intakes", start_feed(spark, sf_dir)), ("outcomes", end_feed(spark, sf_dir))):
+    for name, feed in (("intakes", raw_starts(spark, sf_dir)), ("outcomes", raw_ends(spark, sf_dir))):
         keyed = with_required_keys(feed)
         copies = keyed.groupBy(*keyed.columns).agg(F.count(F.lit(1)).alias("copies"))
         parts.append(
@@ -142,22 +158,22 @@ def dedupe_exact(spark, sf_dir):
 
 @query
 def clean_label_values(spark, sf_dir):
-    starts = start_feed(spark, sf_dir).select(F.explode(F.array("intake_type", "intake_condition")).alias("raw_value"))
-    ends = end_feed(spark, sf_dir).select(F.explode(F.array("outcome_type", "outcome_subtype")).alias("raw_value"))
+    starts = raw_starts(spark, sf_dir).select(F.explode(F.array("intake_type", "intake_condition")).alias("raw_value"))
+    ends = raw_ends(spark, sf_dir).select(F.explode(F.array("outcome_type", "outcome_subtype")).alias("raw_value"))
     return starts.unionAll(ends).distinct().withColumn("label", clean_label(F.col("raw_value")))
 
 
 @query
 def age_text_days(spark, sf_dir):
-    ages = start_feed(spark, sf_dir).select(F.col("age_upon_intake").alias("age_text")).unionAll(
-        end_feed(spark, sf_dir).select("age_upon_outcome")
+    ages = raw_starts(spark, sf_dir).select(F.col("age_upon_intake").alias("age_text")).unionAll(
+        raw_ends(spark, sf_dir).select("age_upon_outcome")
     )
     return ages.distinct().withColumn("age_days", age_text_to_days(F.col("age_text")))
 
 
 @query
 def surrogate_keys(spark, sf_dir):
-    pairs = start_feed(spark, sf_dir).select("animal_id", "name").distinct()
+    pairs = raw_starts(spark, sf_dir).select("animal_id", "name").distinct()
     return pairs.withColumn("digest", surrogate_key(F.col("animal_id"), F.col("name")))
 
 
@@ -215,9 +231,13 @@ def quality_issue_counts(spark, sf_dir):
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All warehouse tables; the pairing is stored once because five of them read it."""
-    raw = feeds(spark, sf_dir)
-    return build_warehouse(raw, start_feed(spark, sf_dir), end_feed(spark, sf_dir))
+    """All warehouse tables; the pairing is stored because most of them read it."""
+    return kept(
+        spark,
+        sf_dir,
+        "warehouse",
+        lambda: build_warehouse(feeds(spark, sf_dir), raw_starts(spark, sf_dir), raw_ends(spark, sf_dir)),
+    )
 
 
 def _checks(kind: str):
@@ -265,54 +285,50 @@ FULL_YEARS = (1995, 2000)
 
 @query
 def trend_adoption_median(spark, sf_dir):
-    return trends.adoption_median(fact(spark, sf_dir), FULL_YEARS)
+    return trends.adoption_median(stored_fact(spark, sf_dir), FULL_YEARS)
 
 
 @query
 def trend_median_by_exit(spark, sf_dir):
-    return trends.median_by_exit(fact(spark, sf_dir), FULL_YEARS)
+    return trends.median_by_exit(stored_fact(spark, sf_dir), FULL_YEARS)
 
 
 @query
 def trend_live_rate(spark, sf_dir):
-    return trends.live_rate(fact(spark, sf_dir), FULL_YEARS)
+    return trends.live_rate(stored_fact(spark, sf_dir), FULL_YEARS)
 
 
 @query
 def trend_exit_mix(spark, sf_dir):
-    return trends.exit_mix(fact(spark, sf_dir), FULL_YEARS)
+    return trends.exit_mix(stored_fact(spark, sf_dir), FULL_YEARS)
 
 
 @query
 def trend_adoption_p90(spark, sf_dir):
-    return rounded(trends.adoption_p90(fact(spark, sf_dir), FULL_YEARS))
+    return rounded(trends.adoption_p90(stored_fact(spark, sf_dir), FULL_YEARS))
 
 
 @query
 def trend_adjusted_gap(spark, sf_dir):
-    return trends.adjusted_gap(marts.monthly_outcomes(fact(spark, sf_dir)))
+    return trends.adjusted_gap(marts.monthly_outcomes(stored_fact(spark, sf_dir)))
 
 
 @query
 def trend_longest_history(spark, sf_dir):
-    return trends.longest_history(fact(spark, sf_dir))
+    return trends.longest_history(stored_fact(spark, sf_dir))
 
 
 @query
 def trend_start_volume(spark, sf_dir):
-    return trends.start_volume(fact(spark, sf_dir))
+    return trends.start_volume(stored_fact(spark, sf_dir))
 
 
 # --- features, labels, populations ------------------------------------------------------
 
 
-def stored_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return materialize(fact(spark, sf_dir), "episode-fact")
-
-
 @query
 def daily_census(spark, sf_dir):
-    return features.census(fact(spark, sf_dir))
+    return features.census(stored_fact(spark, sf_dir))
 
 
 @query
@@ -353,10 +369,8 @@ def scoring_population(spark, sf_dir):
 
 def labelled_features(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(stored features with label, one-row horizon)."""
-    stored = stored_fact(spark, sf_dir)
-    frame = features.labelled(features.training_frame(stored), features.horizon_of(stored))
-    derived = features.derive(frame, "stay_key", "intake_at", "outcome_subtype", "is_long_stay")
-    return materialize(derived, "features"), features.horizon_frame(stored)
+    inputs = kept(spark, sf_dir, "inputs", lambda: prepare(stored_fact(spark, sf_dir)))
+    return inputs.labelled, inputs.horizon_row
 
 
 @query
@@ -369,12 +383,12 @@ def rare_category_map(spark, sf_dir):
 
 @query
 def holdout_calendar(spark, sf_dir):
-    return windows.holdout_calendar(features.horizon_frame(fact(spark, sf_dir)))
+    return windows.holdout_calendar(features.horizon_frame(stored_fact(spark, sf_dir)))
 
 
 @query
 def backtest_calendar(spark, sf_dir):
-    return windows.backtest_calendar(features.horizon_frame(fact(spark, sf_dir)))
+    return windows.backtest_calendar(features.horizon_frame(stored_fact(spark, sf_dir)))
 
 
 # --- metrics, on a score that is a fixed function of the key ------------------------------
@@ -481,15 +495,10 @@ def month_status(spark, sf_dir):
 
 # --- the model run -----------------------------------------------------------------------
 
-_RUNS: dict[tuple[str, str], dict[str, DataFrame]] = {}
-
 
 def model_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """One training run per application and table directory; its six outputs share it."""
-    run = (spark.sparkContext.applicationId, sf_dir)
-    if run not in _RUNS:
-        _RUNS[run] = run_model(stored_fact(spark, sf_dir))
-    return _RUNS[run]
+    """One training run; its six outputs share it."""
+    return kept(spark, sf_dir, "model", lambda: run_model(stored_fact(spark, sf_dir)))
 
 
 def _model_table(name: str):

@@ -40,7 +40,7 @@ class ModelConfig:
     calibration_c: float = 100.0
     importance_rows: int = 15_000
     importance_repeats: int = 5
-    concurrent_fits: int = 4
+    concurrent_fits: int = 6
     rows_per_task: int = 50_000
     seed: int = 20261005
 
