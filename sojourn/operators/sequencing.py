@@ -23,11 +23,13 @@ def heavy_keys(keys: DataFrame, key: str, max_rows: int = MAX_ROWS_PER_KEY) -> D
     full = (
         keys.groupBy(bucket.alias("bucket")).count().where(F.col("count") > max_rows).select("bucket")
     )
-    suspects = [row["bucket"] for row in full.collect()]
+    suspects = full.collect()
     if not suspects:
         return None
+    flagged = keys.sparkSession.createDataFrame(suspects, full.schema)
     heavy = (
-        keys.where(bucket.isin(suspects))
+        keys.withColumn("bucket", bucket)
+        .join(F.broadcast(flagged), "bucket", "left_semi")
         .groupBy(key)
         .count()
         .where(F.col("count") > max_rows)

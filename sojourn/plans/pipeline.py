@@ -5,9 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sojourn.operators.checks import enforce
 from sojourn.plans import marts
+from sojourn.plans.assertions import model_assertions, warehouse_assertions
+from sojourn.plans.contracts import check_results, model_contracts, warehouse_contracts
 from sojourn.plans.episodes import EPISODE_COLUMNS, RawFeeds
+from sojourn.plans.model import ModelConfig
+from sojourn.plans.training import run_model
 from sojourn.sources.scratch import materialize
+from sojourn.sources.tables import replace_tables
+
+MARTS = ["episode_fact", "entity_dimension", "monthly_outcomes", "quality_issues"]
 
 
 def build_warehouse(raw: RawFeeds, raw_starts: DataFrame, raw_ends: DataFrame) -> dict[str, DataFrame]:
@@ -28,3 +36,35 @@ def build_warehouse(raw: RawFeeds, raw_starts: DataFrame, raw_ends: DataFrame) -
         "monthly_outcomes": marts.monthly_outcomes(fact),
         "quality_issues": marts.quality_issues(paired),
     }
+
+
+def publish_warehouse(raw_starts: DataFrame, raw_ends: DataFrame, root: str) -> tuple[dict[str, DataFrame], list[str]]:
+    """Replace the four mart tables under `root`, then hold every table to its contract.
+
+    Returns the tables and the warnings; an error-level failure raises, which stops whatever
+    was to run next.
+    """
+    built = build_warehouse(RawFeeds.of(raw_starts, raw_ends), raw_starts, raw_ends)
+    built |= replace_tables({name: built[name] for name in MARTS}, root)
+    found = check_results(built, warehouse_contracts()).unionByName(
+        warehouse_assertions(
+            built["staged_outcomes"],
+            built["episode_fact"],
+            built["monthly_outcomes"],
+            built["quality_issues"],
+        )
+    )
+    return built, enforce(found)
+
+
+def publish_model(
+    fact: DataFrame, root: str, config: ModelConfig = ModelConfig()
+) -> tuple[dict[str, DataFrame], list[str]]:
+    """Train on a stored fact, replace the six model tables under `root`, check them."""
+    tables = replace_tables(run_model(fact, config), root)
+    found = check_results(tables | {"episode_fact": fact}, model_contracts()).unionByName(
+        model_assertions(
+            tables["model_evaluation"], tables["monthly_performance"], tables["stay_scores"], fact
+        )
+    )
+    return tables, enforce(found)

@@ -9,7 +9,7 @@ from sojourn.operators import checks
 from sojourn.plans import assertions
 from sojourn.plans.contracts import check_results, model_contracts, warehouse_contracts
 from sojourn.plans.episodes import RawFeeds
-from sojourn.plans.pipeline import build_warehouse
+from sojourn.plans.pipeline import MARTS, build_warehouse, publish_warehouse
 from sojourn.sources import landing, tables
 
 
@@ -113,3 +113,14 @@ def test_assertions_notice_damage(spark, feeds):
     assert assertions.open_flag_agrees(flipped).count() == fact.count()
     negative = fact.withColumn("length_of_stay_days", F.lit(-1))
     assert assertions.no_negative_duration(negative).count() == fact.count()
+
+
+def test_publishing_stores_the_marts_and_stops_on_errors(spark, feeds, tmp_path):
+    starts, ends = feeds
+    with pytest.raises(checks.CheckFailure, match="not_null raw_intakes.datetime"):
+        publish_warehouse(starts, ends, str(tmp_path / "bad"))
+    built, warnings = publish_warehouse(starts.dropna(subset=["datetime"]), ends, str(tmp_path / "good"))
+    assert [w.split(":")[0] for w in warnings] == ["accepted_values staged_outcomes.outcome_type"]
+    for name in MARTS:
+        stored = spark.read.parquet(str(tmp_path / "good" / f"{name}.parquet"))
+        assert stored.count() == built[name].count() > 0

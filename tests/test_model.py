@@ -10,11 +10,12 @@ from sojourn.catalogue import stored_fact
 from sojourn.operators import metrics
 from sojourn.plans import features, training, windows
 from sojourn.plans.assertions import model_assertions
-from sojourn.plans.contracts import MODEL_TABLES, check_results, model_contracts
+from sojourn.plans.contracts import MODEL_TABLES
 from sojourn.plans.encoding import Categories, LinearEncoder, TreeEncoder
 from sojourn.plans.episodes import RawFeeds
 from sojourn.plans.marts import episode_fact
 from sojourn.plans.model import ModelConfig, fit_baseline, fit_recalibrated
+from sojourn.plans.pipeline import publish_model
 from sojourn.sources.scratch import materialize
 
 QUICK = ModelConfig(max_iter=4, max_depth=3, logistic_iter=50, importance_repeats=2)
@@ -110,13 +111,13 @@ def test_backtest_windows(fact):
     assert all((w.score_start - w.train_end).days == 30 for w in calendar)
 
 
-def test_run_writes_tables_that_hold_their_promises(spark, fact):
-    built = training.run_model(fact, QUICK)
-    assert sorted(built) == sorted(MODEL_TABLES)
-    results = check_results(built | {"episode_fact": fact}, model_contracts()).unionByName(
-        model_assertions(built["model_evaluation"], built["monthly_performance"], built["stay_scores"], fact)
-    )
-    assert [tuple(r) for r in results.where("failing_rows > 0").collect()] == []
+def test_run_stores_tables_that_hold_their_promises(spark, fact, tmp_path):
+    built, warnings = publish_model(fact, str(tmp_path), QUICK)
+    assert sorted(built) == sorted(MODEL_TABLES) and warnings == []
+    late = built["monthly_performance"].withColumn("train_end", F.col("intake_month"))
+    old = built["stay_scores"].withColumn("days_in_care", F.lit(30))
+    damaged = model_assertions(built["model_evaluation"], late, old, fact).collect()
+    assert sorted(r["failing_rows"] for r in damaged) == sorted([12, 0, built["stay_scores"].count()])
     assert built["feature_importance"].count() == 13 and built["calibration"].count() == 10
     assert built["monthly_performance"].count() == 12 and built["feature_drift"].count() == 60
     assert {r["model_version"] for r in built["stay_scores"].collect()} == {QUICK.version()}
