@@ -45,7 +45,9 @@ class ModelConfig:
     seed: int = 20261005
 
     def version(self) -> str:
-        settings = asdict(self) | {
+        """Changes with whatever can change a score, not with how the work is spread."""
+        spread = ("concurrent_fits", "rows_per_task")
+        settings = {k: v for k, v in asdict(self).items() if k not in spread} | {
             "features": FEATURES,
             "long_stay_days": LONG_STAY_DAYS,
             "train_years": TRAIN_YEARS,
