@@ -30,9 +30,10 @@ from pyspark.sql import functions as F
 from sojourn.llm.components import connected_components
 from sojourn.sources.scratch import materialize
 
-SKETCH = 32
-#: Documents in one block of a long inverted list; a task holds two blocks.
-BLOCK = 512
+SKETCH = 24
+#: Documents, and shingles of all of them, in one block of a long inverted list; a task holds
+#: two blocks at a time.
+BLOCK, BLOCK_SHINGLES = 4096, 2_000_000
 #: Pairs looked at together, which bounds the temporary arrays.
 PAIRS_AT_ONCE = 50_000
 _FIRST, _SECOND = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -301,11 +302,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
         .select("node", "n", "sketch", F.slice(F.col("shared.v"), F.lit(1), F.col("take")).alias("prefix")),
         "members",
     )
-    listed = members.select("node", F.explode("prefix").alias("v"))
-    lists = listed.groupBy("v").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-    blocks = F.ceil(F.col("m") / F.lit(BLOCK)).cast("int")
+    listed = members.select("node", "n", F.explode("prefix").alias("v"))
+    lists = listed.groupBy("v").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("volume")).where("m > 1")
+    blocks = F.greatest(F.ceil(F.col("m") / F.lit(BLOCK)), F.ceil(F.col("volume") / F.lit(BLOCK_SHINGLES))).cast("int")
     units = (
-        listed.join(lists, "v")
+        listed.drop("n")
+        .join(lists, "v")
         .withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
         .select("v", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node")
@@ -319,8 +321,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
     )
     candidates = materialize(paired, "candidates")
     chosen = candidates.select("node").distinct()
+    # The chosen ids grow with the input; the hint keeps one plan at every size.
     sets = (
-        slim.join(chosen, F.col("doc_id") == F.col("node"), "left_semi")
+        slim.join(chosen.hint("merge"), F.col("doc_id") == F.col("node"), "left_semi")
         .dropDuplicates(["doc_id"])
         .mapInArrow(_full_sets(width), "node long, hashes binary")
     )

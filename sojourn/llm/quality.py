@@ -45,37 +45,40 @@ def _counts(text: Column) -> dict[str, Column]:
     }
 
 
-# Hashes of all windows of eight words, from the words' own hashes.
-_WINDOWS = f"""
-    CASE WHEN size(_hashes) >= {WINDOW}
-         THEN transform(sequence(1, size(_hashes) - {WINDOW - 1}), i -> xxhash64(slice(_hashes, i, {WINDOW})))
-         ELSE array() END
+# No lambda below refers to another column: a filter that the optimiser moves below these
+# projections would then compute that column once per element.
+def _next(array: str, step: int) -> str:
+    """Each element hashed with the one `step` places on; the last ones have no such partner."""
+    return f"zip_with({array}, slice({array}, {step} + 1, greatest(size({array}), 1)), (a, b) -> xxhash64(a, b))"
+
+
+_NO_SORTED = "CAST(array() AS ARRAY<STRUCT<h: BIGINT, at: INT>>)"
+# Windows in order of (hash, position), only for texts that have two equal ones.
+_SORTED = f"""
+    CASE WHEN size(array_distinct(_windows)) < size(_windows)
+         THEN array_sort(transform(_windows, (h, k) -> struct(h AS h, k AS at))) ELSE {_NO_SORTED} END
 """
-# Positions of windows found twice or more, ascending: sort (hash, position), look at both neighbours.
+# Positions of windows found twice or more, ascending.
 _REPEATED = """
-    array_sort(transform(filter(
-        transform(_sorted, (s, k) -> struct(s.at AS at,
-            (k > 0 AND s.h = _sorted[greatest(k - 1, 0)].h)
-            OR (k < size(_sorted) - 1 AND s.h = _sorted[least(k + 1, size(_sorted) - 1)].h) AS twice)),
-        x -> x.twice), x -> x.at))
+    array_sort(array_distinct(flatten(
+        zip_with(slice(_sorted, 1, greatest(size(_sorted) - 1, 0)), slice(_sorted, 2, greatest(size(_sorted) - 1, 0)),
+                 (a, b) -> CASE WHEN a.h = b.h THEN array(a.at, b.at) ELSE CAST(array() AS ARRAY<INT>) END))))
 """
 # Words under those windows, each counted once.
 _COVERED = f"""
-    CAST(aggregate(_repeated, struct(0 AS total, -{WINDOW} AS last),
-        (s, at) -> struct(s.total + least({WINDOW}, at - s.last) AS total, at AS last),
+    CAST(aggregate(_repeated, named_struct('total', 0, 'last', -{WINDOW}),
+        (s, at) -> named_struct('total', s.total + least({WINDOW}, at - s.last), 'last', at),
         s -> s.total) AS LONG)
 """
 _GRAMS = """
-    concat(transform(_tokens, x -> CAST(pmod(x, {buckets}) AS INT)),
-           CASE WHEN size(_tokens) > 1
-                THEN transform(sequence(1, size(_tokens) - 1), i -> CAST(pmod(xxhash64(_tokens[i - 1], _tokens[i]), {buckets}) AS INT))
-                ELSE array() END)
+    transform(concat(_tokens, slice({pairs}, 1, greatest(size(_tokens) - 1, 0))), x -> CAST(pmod(x, {buckets}) AS INT))
 """
 
 
 def _with_grams(df: DataFrame, text: Column, buckets: int) -> DataFrame:
-    tokens = F.transform(F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0)), F.xxhash64)
-    return df.withColumn("_tokens", tokens).withColumn("_grams", F.expr(_GRAMS.format(buckets=buckets)))
+    tokens = F.transform(F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0)), lambda x: F.xxhash64(x))
+    grams = _GRAMS.format(pairs=_next("_tokens", 1), buckets=buckets)
+    return df.withColumn("_tokens", tokens).withColumn("_grams", F.expr(grams))
 
 
 def ratio_table(docs: DataFrame, labels: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
@@ -98,8 +101,8 @@ def ratio_table(docs: DataFrame, labels: DataFrame, rules: QualityRules = Qualit
     marked = slim.join(F.broadcast(trusted), F.col("_id") == F.col("_trusted"), "left").select(
         "_text", F.col("_trusted").isNotNull().cast("int").alias("_good")
     )
-    grams = _with_grams(marked, F.col("_text"), rules.buckets).select("_good", F.explode("_grams").alias("bucket"))
-    counts = grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.sum("_good").alias("good"))
+    grams = _with_grams(marked, F.col("_text"), rules.buckets).select("_good", F.explode_outer("_grams").alias("bucket"))
+    counts = grams.where("bucket is not null").groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.sum("_good").alias("good"))
     spark = docs.sparkSession
     table = materialize(
         spark.range(rules.buckets).select(F.col("id").cast("int").alias("bucket"))
@@ -138,17 +141,14 @@ def judge(docs: DataFrame, labels: DataFrame, rules: QualityRules = QualityRules
             {
                 "n_words": F.size("_words").cast("long"),
                 "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-                "_hashes": F.transform("_words", F.xxhash64),
+                "_hashes": F.transform("_words", lambda x: F.xxhash64(x)),
             }
         )
-        .withColumn("_windows", F.expr(_WINDOWS))
-        .withColumn(
-            "_sorted",
-            F.when(
-                F.size(F.array_distinct("_windows")) < F.size("_windows"),
-                F.expr("array_sort(transform(_windows, (h, k) -> struct(h AS h, k AS at)))"),
-            ).otherwise(F.expr("CAST(array() AS ARRAY<STRUCT<h: BIGINT, at: INT>>)")),
-        )
+        .withColumn("_two", F.expr(_next("_hashes", 1)))
+        .withColumn("_four", F.expr(_next("_two", 2)))
+        .withColumn("_eight", F.expr(_next("_four", 4)))
+        .withColumn("_windows", F.expr(f"slice(_eight, 1, greatest(size(_eight) - {WINDOW - 1}, 0))"))
+        .withColumn("_sorted", F.expr(_SORTED))
         .withColumn("_repeated", F.expr(_REPEATED))
         .withColumn("n_repeat_words", F.expr(_COVERED))
         .select("row", "_text", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -172,3 +172,10 @@ def judge(docs: DataFrame, labels: DataFrame, rules: QualityRules = QualityRules
         (~F.col("base_failed") & (F.col("score") >= rules.min_ratio)).alias("kept"),
         "score",
     )
+
+
+def accepted(judged: DataFrame) -> DataFrame:
+    """The input columns of kept rows. The outer explode keeps the optimiser from moving the
+    filter below the counts, which it would then evaluate several times over."""
+    one = judged.select(F.explode_outer(F.array(F.struct("row", "kept"))).alias("x"))
+    return one.where("x.kept").select("x.row.*")
