@@ -39,8 +39,7 @@ def _counts(text: Column) -> dict[str, Column]:
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike("[^ \\t-\\r]"))
     return {
         "_words": F.array_remove(F.split(text, WORD_BREAK), ""),
-        "word_chars": F.length(F.translate(text, " \t\n\x0b\f\r", "")).cast("long"),
-        "n_symbols": (F.length(text) - F.length(F.translate(text, "#*$%&|<>", ""))).cast("long"),
+        "n_symbols": F.length(F.regexp_replace(text, "[^#*$%&|<>]+", "")).cast("long"),
         "_lines": lines,
     }
 
@@ -70,14 +69,12 @@ _COVERED = f"""
         (s, at) -> named_struct('total', s.total + least({WINDOW}, at - s.last), 'last', at),
         s -> s.total) AS LONG)
 """
-_GRAMS = """
-    transform(concat(_tokens, slice({pairs}, 1, greatest(size(_tokens) - 1, 0))), x -> CAST(pmod(x, {buckets}) AS INT))
-"""
 
 
-def _with_grams(df: DataFrame, text: Column, buckets: int) -> DataFrame:
+def _with_grams(df: DataFrame, text: Column) -> DataFrame:
+    """Hashes of all tokens and of all pairs of neighbours."""
     tokens = F.transform(F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0)), lambda x: F.xxhash64(x))
-    grams = _GRAMS.format(pairs=_next("_tokens", 1), buckets=buckets)
+    grams = f"concat(_tokens, slice({_next('_tokens', 1)}, 1, greatest(size(_tokens) - 1, 0)))"
     return df.withColumn("_tokens", tokens).withColumn("_grams", F.expr(grams))
 
 
@@ -101,8 +98,9 @@ def ratio_table(docs: DataFrame, labels: DataFrame, rules: QualityRules = Qualit
     marked = slim.join(F.broadcast(trusted), F.col("_id") == F.col("_trusted"), "left").select(
         "_text", F.col("_trusted").isNotNull().cast("int").alias("_good")
     )
-    grams = _with_grams(marked, F.col("_text"), rules.buckets).select("_good", F.explode_outer("_grams").alias("bucket"))
-    counts = grams.where("bucket is not null").groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.sum("_good").alias("good"))
+    grams = _with_grams(marked, F.col("_text")).select("_good", F.explode_outer("_grams").alias("gram"))
+    bucket = F.pmod("gram", F.lit(rules.buckets)).cast("int")
+    counts = grams.where("gram is not null").groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("raw"), F.sum("_good").alias("good"))
     spark = docs.sparkSession
     table = materialize(
         spark.range(rules.buckets).select(F.col("id").cast("int").alias("bucket"))
@@ -140,6 +138,7 @@ def judge(docs: DataFrame, labels: DataFrame, rules: QualityRules = QualityRules
         .withColumns(
             {
                 "n_words": F.size("_words").cast("long"),
+                "word_chars": F.length(F.array_join("_words", "")).cast("long"),
                 "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
                 "_hashes": F.transform("_words", lambda x: F.xxhash64(x)),
             }
@@ -156,13 +155,13 @@ def judge(docs: DataFrame, labels: DataFrame, rules: QualityRules = QualityRules
     n_words, share = F.col("n_words"), rules.max_repeat_percent
     failed = (n_words < rules.min_words) | (100 * F.col("n_repeat_words") > share * n_words)
     scored = (
-        _with_grams(measured, F.col("_text"), rules.buckets)
+        _with_grams(measured, F.col("_text"))
         .withColumn("_weights", weights.scalar())
         .withColumn(
             "score",
             F.expr(
                 "CASE WHEN size(_grams) = 0 THEN 0D "
-                "ELSE aggregate(_grams, 0D, (s, g) -> s + _weights[g]) / size(_grams) END"
+                f"ELSE aggregate(_grams, 0D, (s, g) -> s + _weights[CAST(pmod(g, {rules.buckets}) AS INT)]) / size(_grams) END"
             ),
         )
         .withColumn("base_failed", failed)

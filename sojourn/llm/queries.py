@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from sojourn.llm import quality
 from sojourn.llm.near_dedup import near_duplicates
+from sojourn.llm.piece_codec import encode_decode
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -21,6 +24,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def piece_model() -> str:
+    """The public vocabulary file, installed on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+@query
+def op3_sentencepiece(spark, sf_dir):
+    coded = encode_decode(table(spark, sf_dir, "documents"), piece_model())
+    return coded.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 @query
 def op4_near_dedup(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"), width=3, num=85, den=100)
+
+
+@query
+def op5_quality_rules(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    judged = quality.judge(docs, table(spark, sf_dir, "labels"))
+    return judged.select("row.doc_id", *judged.columns[1:])
