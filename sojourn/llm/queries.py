@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sojourn.llm import quality
+from sojourn.llm import decontamination, language_id, quality
 from sojourn.llm.near_dedup import near_duplicates
 from sojourn.llm.piece_codec import encode_decode
 
@@ -24,6 +24,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_language_id(spark, sf_dir):
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_decontamination(spark, sf_dir):
+    return decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def piece_model() -> str:
     """The public vocabulary file, installed on every machine."""
     import public_tokenizers
