@@ -11,13 +11,13 @@ from __future__ import annotations
 
 import functools
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Characters hashed together; longer texts are taken in overlapping pieces.
@@ -253,29 +253,19 @@ def train(docs: DataFrame, settings: LanguageSettings = LanguageSettings()) -> L
     )
 
 
-def language_column(model: LanguageModel | None, spark: SparkSession) -> Callable[[Column], Column]:
-    """A function from a text column to struct(lang_pred, score).
-
-    A text that is null or has no letter, or any text without a model, is `und` with score 0.
-    Other scores are the calibrated probability of the predicted language.
-    """
-    shared = spark.sparkContext.broadcast(model)
-
-    @F.pandas_udf("lang_pred string, score double")
-    def predict(texts: pd.Series) -> pd.DataFrame:
-        m = shared.value
-        out = []
-        for text in texts:
-            counts = gram_counts(text, len(m.idf)) if m is not None else None
-            if counts is None:
-                out.append((UNKNOWN, 0.0))
-            else:
-                p = _softmax(m.logits(counts) / m.temperature)
-                best = int(p.argmax())
-                out.append((m.languages[best], float(p[best])))
-        return pd.DataFrame(out, columns=["lang_pred", "score"])
-
-    return predict
+def predict(model: LanguageModel | None, texts: Iterable[str | None]) -> list[tuple[str, float]]:
+    """(language, calibrated probability) of each text. One that is null or has no letter, and
+    any without a model, is `und` with score 0."""
+    out = []
+    for text in texts:
+        counts = gram_counts(text, len(model.idf)) if model is not None else None
+        if counts is None:
+            out.append((UNKNOWN, 0.0))
+        else:
+            p = _softmax(model.logits(counts) / model.temperature)
+            best = int(p.argmax())
+            out.append((model.languages[best], float(p[best])))
+    return out
 
 
 def held_out(doc_id: Column) -> Column:
@@ -292,7 +282,12 @@ def identify(docs: DataFrame, settings: LanguageSettings = LanguageSettings()) -
     Columns other than the three are not read.
     """
     model = train(docs.where(~held_out(F.col("doc_id"))), settings)
-    predict = language_column(model, docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf("lang_pred string, score double")
+    def predicted(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame(predict(shared.value, texts), columns=["lang_pred", "score"])
+
     return docs.select(
-        F.col("doc_id"), held_out(F.col("doc_id")).alias("held_out"), predict(F.col("text").cast("string")).alias("p")
+        F.col("doc_id"), held_out(F.col("doc_id")).alias("held_out"), predicted(F.col("text").cast("string")).alias("p")
     ).select("doc_id", "held_out", "p.lang_pred", "p.score")

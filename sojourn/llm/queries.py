@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sojourn.llm import decontamination, language_id, quality
+from sojourn.llm import decontamination, html_text, language_id, quality, sharding, token_counts, url_filter, warc
 from sojourn.llm.near_dedup import near_duplicates
 from sojourn.llm.piece_codec import encode_decode
+from sojourn.sources.scratch import materialize, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -62,3 +63,89 @@ def op5_quality_rules(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     judged = quality.judge(docs, table(spark, sf_dir, "labels"))
     return judged.select("row.doc_id", *judged.columns[1:])
+
+
+@query
+def op6_warc_derivatives(spark, sf_dir):
+    records = warc.derivatives(warc.responses(table(spark, sf_dir, "pages")))
+    return records.withColumn("record_sha256", F.sha2("record", 256)).drop("record")
+
+
+URL_RULES = (
+    url_filter.HostRule("allow", "com", "/"),
+    url_filter.HostRule("block", "example.com", "/en/"),
+    url_filter.HostRule("allow", "www.example.com", "/en/"),
+    url_filter.HostRule("block", "net", "/es/"),
+    url_filter.HostRule("block", "net", "/fr/"),
+)
+
+
+@query
+def op7_url_filter(spark, sf_dir):
+    return url_filter.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+@query
+def op8_sharding(spark, sf_dir):
+    return sharding.interleave(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_token_counts(spark, sf_dir):
+    """All documents are entered with a rough count, recounted with the vocabulary, and those
+    labelled toxic are withdrawn; one batch is sent twice."""
+    import public_tokenizers
+
+    exact = token_counts.bpe_tokens(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    text = F.col("text")
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "source", "lang", token_counts.words(text).alias("words"), exact(text).alias("exact")
+    )
+    counted = materialize(docs, "token-counts")
+    toxic = table(spark, sf_dir, "labels").where("toxic = 1").select("doc_id")
+    gone = counted.join(toxic, "doc_id", "left_semi")
+
+    def under(rows, tokenizer, tokens, old=None):
+        more = [F.col(old).alias("old_tokens")] if old else []
+        return rows.select("source", "lang", F.lit(tokenizer).alias("tokenizer"), F.col(tokens).alias("tokens"), *more)
+
+    totals = token_counts.TokenTotals(spark, scratch_path(spark, "token-totals"))
+    batches = {
+        "load": token_counts.inserts(under(counted, "words-1", "words").unionAll(under(counted, "byte_bpe_50k", "words"))),
+        "recount": token_counts.revisions(under(counted, "byte_bpe_50k", "exact", old="words")),
+        "withdraw": token_counts.deletes(under(gone, "words-1", "words").unionAll(under(gone, "byte_bpe_50k", "exact"))),
+    }
+    for batch_id in ("load", "recount", "recount", "withdraw"):
+        totals.commit(batch_id, batches[batch_id])
+    return totals.totals()
+
+
+@query
+def op10_html_extraction(spark, sf_dir):
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+# op7: the longest rule that fits, else the blocked patterns as one regular expression on host and path.
+ORACLES["op7_url_filter"] = r"""
+WITH u AS (
+  SELECT page_id,
+         translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path
+  FROM pages),
+r AS (
+  SELECT *, CASE
+    WHEN (host = 'www.example.com' OR suffix(host, '.www.example.com')) AND starts_with(path, '/en/') THEN 'www.example.com/en/'
+    WHEN (host = 'example.com' OR suffix(host, '.example.com')) AND starts_with(path, '/en/') THEN 'example.com/en/'
+    WHEN (host = 'net' OR suffix(host, '.net')) AND starts_with(path, '/es/') THEN 'net/es/'
+    WHEN (host = 'net' OR suffix(host, '.net')) AND starts_with(path, '/fr/') THEN 'net/fr/'
+    WHEN (host = 'com' OR suffix(host, '.com')) AND starts_with(path, '/') THEN 'com/' END AS rule
+  FROM u)
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow'
+            WHEN rule IS NOT NULL THEN 'block'
+            WHEN regexp_full_match(host || path,
+                 '(?s)([^/]*\.)?ads\.[^/]*/.*|([^/]*\.)?(adserver|tracker)\..*|.*/(ads|adserver|cgi-bin|signin|cart|checkout)/.*|.*/wp-login\.php|.*\.(jpg|jpeg|png|gif|mp4|mp3|zip|exe|iso)') THEN 'block'
+            ELSE 'allow' END AS verdict
+FROM r
+"""
