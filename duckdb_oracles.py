@@ -16,12 +16,10 @@ def _messy(text: str) -> str:
 
 
 def _label(c: str) -> str:
+    words = f"string_split(regexp_replace(lower(trim({c})), '[ \\t\\n\\f\\r]+', ' ', 'g'), ' ')"
     return (
-        "nullif(list_reduce(list_prepend('', ["
-        "list_reduce(list_prepend('', [upper(p[1]) || p[2:] FOR p IN string_split(w, '-')]), "
-        "lambda a, b: a || '-' || b)[2:] "
-        f"FOR w IN string_split(regexp_replace(lower(trim({c})), '[ \\t\\n\\f\\r]+', ' ', 'g'), ' ')]), "
-        "lambda a, b: a || ' ' || b)[2:], '')"
+        f"nullif(array_to_string([array_to_string([upper(p[1]) || p[2:] FOR p IN string_split(w, '-')], '-') "
+        f"FOR w IN {words}], ' '), '')"
     )
 
 
@@ -112,14 +110,14 @@ _CTES["timed_ends"] = """
   FROM base JOIN goods USING (k)"""
 _CTES["end_once"] = f"""
   SELECT k, animal_id, {_NAME} AS name, strftime(end_at, '%Y-%m-%dT%H:%M:%S.000') AS datetime,
-         CASE WHEN k % 77 = 0 THEN 'not a date'
-              ELSE strftime(ts - to_days(cast(k % 4000 AS INTEGER)), '%Y-%m-%dT00:00:00.000') END AS date_of_birth,
+         CASE WHEN k % 77 = 0 THEN 'not a date' WHEN k % 77 = 1 THEN '2024' WHEN k % 77 = 2 THEN '2024-03'
+              WHEN k % 77 = 3 THEN '2024-03-05 14' ELSE strftime(ts - to_days(cast(k % 4000 AS INTEGER)), '%Y-%m-%dT00:00:00.000') END AS date_of_birth,
          {_messy(_OUTCOME)} AS outcome_type,
          CASE WHEN {_OUTCOME} = 'Transfer' AND {_TYPE} = 'Cat' AND k % 2 = 0 THEN 'SNR'
               WHEN {_OUTCOME} = 'Transfer' THEN 'Partner' END AS outcome_subtype,
          {_TYPE} AS animal_type, {_SEX} AS sex_upon_outcome, {_AGE_TEXT} AS age_upon_outcome,
          {_BREED} AS breed, {_COLOR} AS color
-  FROM timed_ends WHERE end_at < TIMESTAMP '2001-08-02 00:00:00'"""
+  FROM timed_ends WHERE end_at < (SELECT cast(max(o_orderdate) AS DATE) + INTERVAL 1 DAY FROM orders)"""
 _CTES["raw_ends"] = """
   SELECT * EXCLUDE (k) FROM end_once
   UNION ALL SELECT * EXCLUDE (k) FROM end_once WHERE k % 181 = 0"""
@@ -245,6 +243,9 @@ _CTES["frame"] = """
 _CTES["horizon"] = """
   SELECT as_of, cast(cast(as_of - INTERVAL 30 DAY AS DATE) AS TIMESTAMP) AS label_cutoff, feed_start
   FROM (SELECT greatest(max(intake_at), max(outcome_at)) AS as_of, min(intake_at) AS feed_start FROM fact)"""
+_CTES["whole_years"] = """
+  SELECT year(feed_start) + cast((month(feed_start), day(feed_start)) <> (1, 1) AS INTEGER) AS first_year,
+         year(as_of) - cast((month(as_of), day(as_of)) <> (12, 31) AS INTEGER) AS last_year FROM horizon"""
 _CTES["eligible"] = """
   SELECT frame.*, intake_at < label_cutoff AS mature, intake_at >= feed_start + INTERVAL 180 DAY AS warmed_up,
          is_open_stay AND intake_at < as_of - INTERVAL 365 DAY AS implausible, as_of
@@ -460,6 +461,9 @@ ORACLES: dict[str, str] = {
     "monthly_outcomes": """
         SELECT * REPLACE (round(median_length_of_stay_days, 6) AS median_length_of_stay_days,
                           round(p90_length_of_stay_days, 6) AS p90_length_of_stay_days) FROM mart""",
+    "published_monthly_outcomes": """
+        SELECT * REPLACE (round(median_length_of_stay_days, 6) AS median_length_of_stay_days,
+                          round(p90_length_of_stay_days, 6) AS p90_length_of_stay_days) FROM mart""",
     "quality_issues": "SELECT * FROM issues",
     "quality_issue_counts": "SELECT issue_type, count(*) AS issues FROM issues GROUP BY issue_type",
     "check_not_null": _results(
@@ -500,7 +504,7 @@ ORACLES: dict[str, str] = {
     ),
     "check_relationships": """
         SELECT 'relationships' AS check_name, 'episode_fact' AS table_name, 'animal_id' AS column_name,
-               'error' AS severity, count(DISTINCT animal_id) AS failing_rows
+               'error' AS severity, count(*) AS failing_rows
         FROM fact WHERE animal_id NOT IN (SELECT animal_id FROM dimension)""",
     "failing_outcome_types": """
         SELECT outcome_type AS failing_value, count(*) AS failing_rows FROM ends
@@ -532,29 +536,29 @@ ORACLES: dict[str, str] = {
         SELECT cast(year(outcome_date) AS INTEGER) AS outcome_year, animal_type, count(*) AS stays,
                cast(median(length_of_stay_days) AS DOUBLE) AS median_days
         FROM fact WHERE NOT is_open_stay AND outcome_type = 'Adoption' AND animal_type IN ('Dog', 'Cat')
-          AND year(outcome_date) BETWEEN 1995 AND 2000 GROUP BY 1, 2""",
+          AND year(outcome_date) BETWEEN (SELECT first_year FROM whole_years) AND (SELECT last_year FROM whole_years) GROUP BY 1, 2""",
     "trend_median_by_exit": """
         SELECT cast(year(outcome_date) AS INTEGER) AS outcome_year, outcome_type, count(*) AS stays,
                cast(median(length_of_stay_days) AS DOUBLE) AS median_days
-        FROM fact WHERE NOT is_open_stay AND animal_type = 'Dog' AND year(outcome_date) BETWEEN 1995 AND 2000
+        FROM fact WHERE NOT is_open_stay AND animal_type = 'Dog' AND year(outcome_date) BETWEEN (SELECT first_year FROM whole_years) AND (SELECT last_year FROM whole_years)
         GROUP BY 1, 2""",
     "trend_live_rate": f"""
         SELECT cast(year(outcome_date) AS INTEGER) AS outcome_year, count(*) AS stays,
                {_pct("count_if(outcome_class = 'Live')", "count_if(outcome_class IN ('Live', 'Non-Live'))")}
                  AS live_release_rate_pct
-        FROM fact WHERE NOT is_open_stay AND animal_type IN ('Dog', 'Cat') AND year(outcome_date) BETWEEN 1995 AND 2000
+        FROM fact WHERE NOT is_open_stay AND animal_type IN ('Dog', 'Cat') AND year(outcome_date) BETWEEN (SELECT first_year FROM whole_years) AND (SELECT last_year FROM whole_years)
         GROUP BY 1""",
     "trend_exit_mix": """
         SELECT outcome_year, outcome_type, stays,
                round(100.0 * stays / sum(stays) OVER (PARTITION BY outcome_year), 2) AS share_pct
         FROM (SELECT cast(year(outcome_date) AS INTEGER) AS outcome_year, outcome_type, count(*) AS stays FROM fact
-              WHERE NOT is_open_stay AND animal_type IN ('Dog', 'Cat') AND year(outcome_date) BETWEEN 1995 AND 2000
+              WHERE NOT is_open_stay AND animal_type IN ('Dog', 'Cat') AND year(outcome_date) BETWEEN (SELECT first_year FROM whole_years) AND (SELECT last_year FROM whole_years)
               GROUP BY 1, 2)""",
     "trend_adoption_p90": """
         SELECT cast(year(outcome_date) AS INTEGER) AS outcome_year, animal_type, count(*) AS stays,
                round(cast(quantile_cont(length_of_stay_days, 0.9) AS DOUBLE), 6) AS p90_days
         FROM fact WHERE NOT is_open_stay AND outcome_type = 'Adoption' AND animal_type IN ('Dog', 'Cat')
-          AND year(outcome_date) BETWEEN 1995 AND 2000 GROUP BY 1, 2""",
+          AND year(outcome_date) BETWEEN (SELECT first_year FROM whole_years) AND (SELECT last_year FROM whole_years) GROUP BY 1, 2""",
     "trend_adjusted_gap": """
         SELECT count(live_release_rate_adjusted_pct - live_release_rate_pct) AS groups,
                round(avg(live_release_rate_adjusted_pct - live_release_rate_pct), 6) AS mean_gap_points FROM mart""",

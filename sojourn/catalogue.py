@@ -21,12 +21,13 @@ from sojourn.plans.assertions import model_assertions, warehouse_assertions
 from sojourn.plans.contracts import KINDS, MODEL_TABLES, check_results, model_contracts, warehouse_contracts
 from sojourn.plans.encoding import MAX_CATEGORIES
 from sojourn.plans.episodes import RawFeeds, heavy_entities
-from sojourn.plans.pipeline import build_warehouse
+from sojourn.plans.pipeline import build_warehouse, publish_warehouse
 from sojourn.plans.staging import with_required_keys
 from sojourn.plans.training import prepare, run_model
 from sojourn.sources import landing
 from sojourn.sources.feeds import end_feed, start_feed
 from sojourn.sources.scratch import materialize, scratch_path
+from sojourn.sources.tables import read_published, scan
 
 CATALOGUE: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -198,7 +199,7 @@ def paired_episodes(spark, sf_dir):
 @query
 def orphan_ends(spark, sf_dir):
     raw = feeds(spark, sf_dir)
-    orphans = unmatched(raw.staged_ends(), raw.staged_starts(), "stay_key")
+    orphans = unmatched(raw.staged_ends(), raw.staged_starts(), ["animal_id", "stay_sequence"])
     return orphans.select("stay_key", "animal_id", "stay_sequence", "outcome_at", "outcome_type")
 
 
@@ -209,12 +210,21 @@ def episode_fact(spark, sf_dir):
 
 @query
 def entity_dimension(spark, sf_dir):
-    return marts.entity_dimension(fact(spark, sf_dir))
+    return marts.entity_dimension(stored_fact(spark, sf_dir))
 
 
 @query
 def monthly_outcomes(spark, sf_dir):
-    return marts.in_reading_order(rounded(marts.monthly_outcomes(fact(spark, sf_dir))))
+    return marts.in_reading_order(rounded(marts.monthly_outcomes(stored_fact(spark, sf_dir))))
+
+
+@query
+def published_monthly_outcomes(spark, sf_dir):
+    """The monthly mart as a reader finds it after a checked publication of all four."""
+    starts = raw_starts(spark, sf_dir).dropna(subset=["datetime"])
+    root = scratch_path(spark, "published")
+    publish_warehouse(starts, raw_ends(spark, sf_dir), root)
+    return rounded(read_published(spark, root, "monthly_outcomes"))
 
 
 @query
@@ -279,33 +289,37 @@ def assert_warehouse(spark, sf_dir):
 
 # --- trends ----------------------------------------------------------------------------
 
-# The derived feed starts on 1995-01-01 and was taken on 2001-08-02, so 2001 is partial.
-FULL_YEARS = (1995, 2000)
+
+
+def whole_years(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, trends.Years]:
+    """The stored fact and the years it covers in full."""
+    fact_table = stored_fact(spark, sf_dir)
+    return fact_table, trends.whole_years(features.horizon_of(fact_table))
 
 
 @query
 def trend_adoption_median(spark, sf_dir):
-    return trends.adoption_median(stored_fact(spark, sf_dir), FULL_YEARS)
+    return trends.adoption_median(*whole_years(spark, sf_dir))
 
 
 @query
 def trend_median_by_exit(spark, sf_dir):
-    return trends.median_by_exit(stored_fact(spark, sf_dir), FULL_YEARS)
+    return trends.median_by_exit(*whole_years(spark, sf_dir))
 
 
 @query
 def trend_live_rate(spark, sf_dir):
-    return trends.live_rate(stored_fact(spark, sf_dir), FULL_YEARS)
+    return trends.live_rate(*whole_years(spark, sf_dir))
 
 
 @query
 def trend_exit_mix(spark, sf_dir):
-    return trends.exit_mix(stored_fact(spark, sf_dir), FULL_YEARS)
+    return trends.exit_mix(*whole_years(spark, sf_dir))
 
 
 @query
 def trend_adoption_p90(spark, sf_dir):
-    return rounded(trends.adoption_p90(stored_fact(spark, sf_dir), FULL_YEARS))
+    return rounded(trends.adoption_p90(*whole_years(spark, sf_dir)))
 
 
 @query

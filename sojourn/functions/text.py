@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 # Patterns and unit lengths that results depend on.
 WHITESPACE_RUN = "[ \\t\\n\\f\\r]+"
+# Year, month and day, and a time only with its minutes: a cast alone would fill in the rest.
+FULL_DATE = "^\\d{4}-\\d{1,2}-\\d{1,2}([ T]\\d{1,2}:\\d{1,2}(:\\d{1,2}([.]\\d+)?)?Z?)?$"
 LEADING_INTEGER = "^(-?\\d+)"
 DAYS_PER_UNIT = {"year": 365, "month": 30, "week": 7, "day": 1}
 
@@ -41,5 +43,11 @@ def age_text_to_days(c: Column) -> Column:
 
 
 def safe_timestamp(c: Column) -> Column:
-    """Unparseable or padded text becomes null."""
-    return F.when(c == F.trim(c), c.try_cast("timestamp_ntz"))
+    """Text that is no full date, or is padded, becomes null."""
+    return F.when(c.rlike(FULL_DATE), c.try_cast("timestamp_ntz"))
+
+
+def strict_timestamp(c: Column) -> Column:
+    """Text that is no full date stops the job; null stays null."""
+    broken = F.raise_error(F.concat(F.lit("not a full date: "), c)).cast("timestamp_ntz")
+    return F.when(c.isNull() | c.rlike(FULL_DATE), c.cast("timestamp_ntz")).otherwise(broken)

@@ -109,10 +109,11 @@ def missing_parents(child: DataFrame, column: str, parent: DataFrame, parent_col
 
 
 def count_failures(
-    failing: DataFrame, name: str, table: str, column: str, severity: str = ERROR
+    failing: DataFrame, name: str, table: str, column: str, severity: str = ERROR, weight: str | None = None
 ) -> DataFrame:
-    """One result row from a DataFrame whose rows are failures."""
-    return failing.agg(F.count(F.lit(1)).alias("failing_rows")).select(
+    """One result row from a DataFrame whose rows are failures, or hold `weight` failures each."""
+    failures = F.count(F.lit(1)) if weight is None else F.coalesce(F.sum(weight), F.lit(0))
+    return failing.agg(failures.alias("failing_rows")).select(
         F.lit(name).alias("check_name"),
         F.lit(table).alias("table_name"),
         F.lit(column).alias("column_name"),

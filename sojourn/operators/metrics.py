@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sojourn.operators.ranking import positions
@@ -121,13 +121,15 @@ def stability_index(counts: DataFrame, group: Sequence[str]) -> DataFrame:
 
     Every category seen on either side counts; shares are floored but not rescaled.
     """
-    totals = counts.groupBy(*group).agg(
-        F.sum("expected").alias("expected_total"), F.sum("actual").alias("actual_total")
+    # One row per category is little; a window keeps groups that are null.
+    whole = Window.partitionBy(*group)
+    shared = counts.withColumns(
+        {"expected_total": F.sum("expected").over(whole), "actual_total": F.sum("actual").over(whole)}
     )
     floor = F.lit(SHARE_FLOOR)
     e = F.greatest(floor, F.coalesce(F.try_divide("expected", "expected_total"), F.lit(0.0)))
     a = F.greatest(floor, F.coalesce(F.try_divide("actual", "actual_total"), F.lit(0.0)))
-    return counts.join(totals, list(group)).groupBy(*group).agg(F.sum((a - e) * F.log(a / e)).alias("psi"))
+    return shared.groupBy(*group).agg(F.sum((a - e) * F.log(a / e)).alias("psi"))
 
 
 def score_quantiles(ranked: DataFrame, shares: Sequence[float]) -> list[float | None]:

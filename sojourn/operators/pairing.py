@@ -32,6 +32,6 @@ def pair_nth(
     return joined.withColumns(filled).drop(*[f"_end_{c}" for c in shared]) if filled else joined
 
 
-def unmatched(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Rows of `left` whose key has no partner."""
-    return left.join(right.select(key), key, "left_anti")
+def unmatched(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of `left` whose keys have no partner."""
+    return left.join(right.select(*keys), list(keys), "left_anti")

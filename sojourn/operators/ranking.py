@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -67,7 +68,11 @@ def positions(
             "_local": F.row_number().over(inside),
             **{f"_local_{name}": F.sum(c).over(so_far) for name, c in running.items()},
         }
-    ).join(offsets, [*group, CHUNK])
+    )
+    # Null-safe, so that rows whose group is null keep their offsets.
+    known = offsets.withColumnsRenamed({c: f"_of_{c}" for c in [*group, CHUNK]})
+    same = reduce(Column.__and__, [numbered[c].eqNullSafe(known[f"_of_{c}"]) for c in [*group, CHUNK]])
+    numbered = numbered.join(known, same)
     return numbered.select(
         *df.columns,
         (F.col("_local") + F.col("_rows_before")).cast("long").alias(position),

@@ -160,6 +160,7 @@ def check_results(
                     "relationships",
                     table,
                     column,
+                    weight="failing_rows",
                 )
                 for column, (parent, parent_column) in contract.parents.items()
             ]

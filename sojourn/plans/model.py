@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import asdict, dataclass
 
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark import SparkContext
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -23,11 +25,13 @@ ALL, EXCLUDING_SNR = "all", "excluding_snr"
 # Fixed value: the transfer programme whose animals leave within days by design.
 SNR = "Snr"
 SHIFT_BOUND = 20.0
+# Rounds of the first attempt at boosting; each further attempt doubles them.
+FIRST_ROUNDS = 50
 
 
 @dataclass(frozen=True)
 class ModelConfig:
-    """Learner settings. Depth 5 stands in for 31 leaves: Spark grows trees by level."""
+    """Learner settings. Spark grows trees level by level, so a depth bounds their size."""
 
     max_iter: int = 400
     step_size: float = 0.05
@@ -38,16 +42,16 @@ class ModelConfig:
     logistic_iter: int = 2000
     logistic_c: float = 0.5
     calibration_c: float = 100.0
-    importance_rows: int = 15_000
     importance_repeats: int = 5
+    patience: int = 25
     concurrent_fits: int = 6
-    rows_per_task: int = 50_000
+    training_partitions: int = 8
     seed: int = 20261005
 
     def version(self) -> str:
-        """Changes with whatever can change a score, not with how the work is spread."""
-        spread = ("concurrent_fits", "rows_per_task")
-        settings = {k: v for k, v in asdict(self).items() if k not in spread} | {
+        """Changes with whatever can change a score. The number of training partitions is such a
+        setting: split points come from rows sampled per partition."""
+        settings = {k: v for k, v in asdict(self).items() if k != "concurrent_fits"} | {
             "features": FEATURES,
             "long_stay_days": LONG_STAY_DAYS,
             "train_years": TRAIN_YEARS,
@@ -99,42 +103,70 @@ def fit_baseline(train: DataFrame, config: ModelConfig) -> Scorer:
     return Scorer(encoder, learner.fit(_labelled(encoder.transform(train)).select(VECTOR, "label")))
 
 
-def _right_sized(rows: DataFrame, n: int, config: ModelConfig) -> DataFrame:
-    """Merge partitions holding few rows: a fit runs hundreds of short jobs over them.
-
-    coalesce never adds partitions, so a large training set keeps all of its own.
-    """
-    return rows.coalesce(max(2, -(-n // config.rows_per_task)))
+def _laid_out(rows: DataFrame, config: ModelConfig) -> DataFrame:
+    """Rows dealt by key into a set number of partitions and ordered there, however they came."""
+    return rows.repartition(config.training_partitions, KEY).sortWithinPartitions(KEY)
+
+
+def stopping_round(losses: Sequence[float], patience: int) -> tuple[int, bool]:
+    """(best round, whether `patience` rounds without a better one followed it), counting from 1."""
+    best = 0
+    for k, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = k
+        elif k - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
+def _truncated(learner: GBTClassificationModel, rounds: int) -> GBTClassificationModel:
+    """The ensemble of the first `rounds` trees."""
+    jvm, java = SparkContext.getOrCreate()._gateway, learner._java_obj
+    trees = jvm.new_array(jvm.jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, rounds)
+    weights = jvm.new_array(jvm.jvm.double, rounds)
+    for k, (tree, weight) in enumerate(zip(java.trees(), java.treeWeights(), strict=True)):
+        if k < rounds:
+            trees[k], weights[k] = tree, weight
+    model = jvm.jvm.org.apache.spark.ml.classification.GBTClassificationModel(
+        java.uid(), trees, weights, java.numFeatures(), java.numClasses()
+    )
+    return GBTClassificationModel(model).setFeaturesCol(VECTOR)
 
 
 def fit_boosted(train: DataFrame, config: ModelConfig) -> Scorer:
-    """Boosted trees, stopped once the held-back tenth of the rows gets worse.
+    """Boosted trees up to the round of least loss on a held-back tenth of the rows.
 
-    The tenth is chosen by a hash of the key: the same rows on every run and any partitioning.
+    Rounds stop once `patience` of them in a row are no better. The tenth is chosen by a hash of
+    the key, and the rows are laid out by key: the same trees on every run and any partitioning.
+    The same seed gives the same first trees whatever the number of rounds, so a longer attempt
+    only goes on where a shorter one ended.
     """
-    train = _right_sized(train, train.count(), config)
     encoder = TreeEncoder.fit(train)
     held_back = F.pmod(F.xxhash64(F.col(KEY), F.lit(config.seed)), F.lit(config.validation_share)) == 0
-    rows = (
-        _labelled(encoder.transform(train))
-        .withColumn("is_validation", held_back)
-        .select(VECTOR, "label", "is_validation")
-    )
-    learner = GBTClassifier(
-        featuresCol=VECTOR,
-        maxIter=config.max_iter,
-        stepSize=config.step_size,
-        maxDepth=config.max_depth,
-        minInstancesPerNode=config.min_rows_per_node,
-        maxBins=config.max_bins,
-        seed=config.seed,
-        validationIndicatorCol="is_validation",
-        validationTol=0.0,
+    rows = _laid_out(
+        _labelled(encoder.transform(train)).select(KEY, VECTOR, "label", held_back.alias("is_validation")), config
     )
     # Every tree level reads the rows again; kept encoded, they spill to disk if they must.
     rows.persist()
     try:
-        return Scorer(encoder, learner.fit(rows))
+        fitted, judged = rows.where("not is_validation"), rows.where("is_validation")
+        rounds, judge = min(FIRST_ROUNDS, config.max_iter), not judged.isEmpty()
+        while True:
+            learner = GBTClassifier(
+                featuresCol=VECTOR,
+                maxIter=rounds if judge else config.max_iter,
+                stepSize=config.step_size,
+                maxDepth=config.max_depth,
+                minInstancesPerNode=config.min_rows_per_node,
+                maxBins=config.max_bins,
+                seed=config.seed,
+            ).fit(fitted)
+            if not judge:
+                return Scorer(encoder, learner)
+            best, settled = stopping_round(learner.evaluateEachIteration(judged), config.patience)
+            if settled or rounds >= config.max_iter:
+                return Scorer(encoder, _truncated(learner, best))
+            rounds = min(2 * rounds, config.max_iter)
     finally:
         rows.unpersist()
 
@@ -181,7 +213,7 @@ def fit_recalibrated(features: DataFrame, window: Window, config: ModelConfig) -
         ).fit(inputs.select(VECTOR, F.col("y").cast("double").alias("label")))
         slope, intercept = float(platt.coefficients[0]), float(platt.intercept)
         if slope <= 0:
-            # A flat or flipped ranking means the base has no signal; only move the level.
+            # Scores that do not rise with the label: keep their order, match the mean.
             slope, intercept = 1.0, level_shift(log_odds)
     return Scorer(base.encoder, base.learner, slope, intercept)
 

@@ -11,9 +11,9 @@ from sojourn.plans.assertions import model_assertions, warehouse_assertions
 from sojourn.plans.contracts import check_results, model_contracts, warehouse_contracts
 from sojourn.plans.episodes import EPISODE_COLUMNS, RawFeeds
 from sojourn.plans.model import ModelConfig
-from sojourn.plans.training import run_model
+from sojourn.plans.training import no_signal_gate, run_model
 from sojourn.sources.scratch import materialize
-from sojourn.sources.tables import replace_tables
+from sojourn.sources.tables import publish
 
 MARTS = ["episode_fact", "entity_dimension", "monthly_outcomes", "quality_issues"]
 
@@ -39,32 +39,51 @@ def build_warehouse(raw: RawFeeds, raw_starts: DataFrame, raw_ends: DataFrame) -
 
 
 def publish_warehouse(raw_starts: DataFrame, raw_ends: DataFrame, root: str) -> tuple[dict[str, DataFrame], list[str]]:
-    """Replace the four mart tables under `root`, then hold every table to its contract.
+    """Check the raw and staged tables, store the marts aside, check them, then publish all four.
 
-    Returns the tables and the warnings; an error-level failure raises, which stops whatever
-    was to run next.
+    Returns the tables and the warnings. An error-level failure raises; what was published
+    before then stays current.
     """
     built = build_warehouse(RawFeeds.of(raw_starts, raw_ends), raw_starts, raw_ends)
-    built |= replace_tables({name: built[name] for name in MARTS}, root)
-    found = check_results(built, warehouse_contracts()).unionByName(
-        warehouse_assertions(
-            built["staged_outcomes"],
-            built["episode_fact"],
-            built["monthly_outcomes"],
-            built["quality_issues"],
+    contracts = warehouse_contracts()
+    sources = {name: c for name, c in contracts.items() if name not in MARTS}
+    built |= {name: materialize(built[name], name) for name in sources if name.startswith("staged_")}
+    warnings = enforce(check_results(built, sources))
+
+    def checked(stored: dict[str, DataFrame]) -> list[str]:
+        found = check_results(built | stored, {name: contracts[name] for name in MARTS})
+        return enforce(
+            found.unionByName(
+                warehouse_assertions(
+                    built["staged_outcomes"],
+                    stored["episode_fact"],
+                    stored["monthly_outcomes"],
+                    stored["quality_issues"],
+                )
+            )
         )
-    )
-    return built, enforce(found)
+
+    stored, more = publish({name: built[name] for name in MARTS}, root, checked)
+    return built | stored, sorted(warnings + more)
 
 
 def publish_model(
-    fact: DataFrame, root: str, config: ModelConfig = ModelConfig()
+    fact: DataFrame, root: str, config: ModelConfig = ModelConfig(), expect_no_signal: bool = False
 ) -> tuple[dict[str, DataFrame], list[str]]:
-    """Train on a stored fact, replace the six model tables under `root`, check them."""
-    tables = replace_tables(run_model(fact, config), root)
-    found = check_results(tables | {"episode_fact": fact}, model_contracts()).unionByName(
-        model_assertions(
-            tables["model_evaluation"], tables["monthly_performance"], tables["stay_scores"], fact
+    """Train on a stored fact, store the six model tables aside, check them, publish them.
+
+    With `expect_no_signal` (labels known to be random) a model that finds signal is a failure too.
+    """
+
+    def checked(tables: dict[str, DataFrame]) -> list[str]:
+        found = check_results(tables | {"episode_fact": fact}, model_contracts()).unionByName(
+            model_assertions(
+                tables["model_evaluation"], tables["monthly_performance"], tables["stay_scores"], fact
+            )
         )
-    )
-    return tables, enforce(found)
+        warnings = enforce(found)
+        if expect_no_signal:
+            no_signal_gate(tables["model_evaluation"])
+        return warnings
+
+    return publish(run_model(fact, config), root, checked)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sojourn.functions.keys import surrogate_key
-from sojourn.functions.text import age_text_to_days, blank_to_null, clean_label, safe_timestamp
+from sojourn.functions.text import age_text_to_days, blank_to_null, clean_label, safe_timestamp, strict_timestamp
 from sojourn.operators.ranking import positions
 from sojourn.operators.sequencing import event_number
 
@@ -34,7 +34,7 @@ def start_columns() -> Feed:
         "intake_at",
         {
             ENTITY: F.col(ENTITY),
-            "intake_at": F.col("datetime").cast("timestamp_ntz"),
+            "intake_at": strict_timestamp(F.col("datetime")),
             "animal_name": blank_to_null(F.col("name")),
             "found_location": blank_to_null(F.col("found_location")),
             "intake_type": clean_label(F.col("intake_type")),
@@ -53,7 +53,7 @@ def end_columns() -> Feed:
         "outcome_at",
         {
             ENTITY: F.col(ENTITY),
-            "outcome_at": F.col("datetime").cast("timestamp_ntz"),
+            "outcome_at": strict_timestamp(F.col("datetime")),
             "date_of_birth": safe_timestamp(F.col("date_of_birth")),
             "animal_name": blank_to_null(F.col("name")),
             "outcome_type": clean_label(F.col("outcome_type")),

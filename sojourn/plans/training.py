@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from sojourn.functions.time import ntz
 from sojourn.operators import metrics
+from sojourn.operators.ranking import positions
 from sojourn.plans import drift, features, windows
 from sojourn.plans.model import (
     ALL,
@@ -158,35 +159,23 @@ def in_parallel(spark: SparkSession, jobs: dict, config: ModelConfig) -> dict:
 
 
 def permutation_importance(holdout: Holdout, inputs: Inputs, config: ModelConfig) -> DataFrame:
-    """AUC lost when one raw column is shuffled, on a sample of at most importance_rows.
+    """AUC lost when one raw column is shuffled, over the whole holdout.
 
-    Row r of a repeat gets its value from the row that comes r-th in a second seeded order.
-    All features and repeats are scored and ranked together.
+    Row r of a repeat gets its value from the row that comes r-th in a second seeded order; both
+    orders are numbered chunk by chunk. All features and repeats are scored and ranked together.
     """
     window = holdout.window
     test = inputs.labelled.where(within(window.score_start, window.score_end))
-    draw = F.xxhash64(F.col(KEY), F.lit(config.seed))
-    sample = (
-        test.withColumn("draw", draw)
-        .orderBy("draw", KEY)
-        .limit(config.importance_rows)
-        .withColumn("place", F.row_number().over(W.orderBy("draw", KEY)))
-        .drop("draw")
-    )
-    sample = materialize(sample, "importance-sample")
+    drawn = test.withColumn("draw", F.xxhash64(F.col(KEY), F.lit(config.seed)))
+    placed = positions(drawn, [], ["draw", KEY], "place", label="importance-rows").drop("draw")
     repeats = F.explode(F.sequence(F.lit(1), F.lit(config.importance_repeats)))
-    donors = (
-        sample.withColumn("repeat", repeats)
-        .withColumn(
-            "place",
-            F.row_number().over(
-                W.partitionBy("repeat").orderBy(F.xxhash64(F.col(KEY), F.col("repeat"), F.lit(config.seed)), KEY)
-            ),
-        )
-        .select("repeat", "place", F.struct(*features.FEATURES).alias("donor"))
+    redrawn = placed.drop("place").withColumn("repeat", repeats)
+    redrawn = redrawn.withColumn("draw", F.xxhash64(F.col(KEY), F.col("repeat"), F.lit(config.seed)))
+    donors = positions(redrawn, ["repeat"], ["draw", KEY], "place", label="importance-donors").select(
+        "repeat", "place", F.struct(*features.FEATURES).alias("donor")
     )
     shuffled = (
-        sample.join(donors, "place")
+        placed.join(donors, "place")
         .withColumn("feature", F.explode(F.array(*[F.lit(f) for f in features.FEATURES])))
         .withColumns(
             {
@@ -196,7 +185,7 @@ def permutation_importance(holdout: Holdout, inputs: Inputs, config: ModelConfig
         )
         .drop("donor")
     )
-    intact = sample.withColumns({"repeat": F.lit(0), "feature": F.lit("")})
+    intact = placed.withColumns({"repeat": F.lit(0), "feature": F.lit("")})
     rows = intact.unionByName(shuffled).withColumnRenamed("feature", "shuffled_feature")
     scored = materialize(
         holdout.main.base()
@@ -278,8 +267,7 @@ def monthly_performance(
 def score_open(holdout: Holdout, inputs: Inputs, final: Scorer) -> DataFrame:
     """Current open episodes by a model refitted up to the cutoff.
 
-    The bands are cut where the holdout's scores were, so 'High' is the top tenth of what the
-    model usually sees. Nobody waiting gives an empty table with the same columns.
+    Bands are cut at quantiles of the holdout's scores. Nobody waiting gives an empty table with the same columns.
     """
     high, elevated = metrics.score_quantiles(holdout.ranked, [0.9, 0.7])
     return final.score(inputs.open_now).select(

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sojourn.functions.numbers import round_half_away
 from sojourn.functions.rates import live_release_rate, rate_pct
 from sojourn.operators.quantiles import percentile_of, with_ranks
+from sojourn.plans.features import Horizon
 from sojourn.plans.marts import closed
 from sojourn.plans.staging import ENTITY
 
@@ -15,6 +16,13 @@ SPECIES = ["Dog", "Cat"]
 Years = tuple[int, int]
 
 
+def whole_years(horizon: Horizon) -> Years:
+    """First and last calendar year that lie wholly between the feed's first event and its last."""
+    start, end = horizon.feed_start, horizon.as_of
+    first = start.year if (start.month, start.day) == (1, 1) else start.year + 1
+    return first, end.year if (end.month, end.day) == (12, 31) else end.year - 1
+
+
 def closed_in(fact: DataFrame, years: Years) -> DataFrame:
     """Closed episodes that ended in whole years; the feed's partial edge years are left out."""
     year = F.year("outcome_date")

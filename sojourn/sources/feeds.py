@@ -14,8 +14,6 @@ from pyspark.sql import functions as F
 from sojourn.sources.landing import END_COLUMNS, START_COLUMNS
 from sojourn.sources.tables import scan
 
-# The moment the derived snapshot was taken; later ends have not happened yet.
-SNAPSHOT_AT = "2001-08-02 00:00:00"
 
 
 def _messy(text: str) -> str:
@@ -137,7 +135,8 @@ def end_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         "name": _NAME,
         "datetime": _stamp("end_at"),
         "date_of_birth": (
-            "case when k % 77 = 0 then 'not a date' else "
+            "case when k % 77 = 0 then 'not a date' when k % 77 = 1 then '2024' when k % 77 = 2 then '2024-03' "
+            "when k % 77 = 3 then '2024-03-05 14' else "
             "date_format(ts - make_dt_interval(cast(k % 4000 as int)), \"yyyy-MM-dd'T'00:00:00.000\") end"
         ),
         "outcome_type": _messy(kind),
@@ -148,10 +147,12 @@ def end_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         "breed": _BREED,
         "color": _COLOR,
     }
+    # The snapshot is taken on the morning after the last order.
+    snapshot = scan(spark, sf_dir, "orders").agg((F.to_date(F.max("o_orderdate")) + F.expr("interval 1 day")).alias("at")).first()["at"]
     ended = (
         _orders(spark, sf_dir)
         .join(lines, "k")
         .withColumn("end_at", F.expr(_END_AT))
-        .where(F.col("end_at") < F.lit(SNAPSHOT_AT).cast("timestamp_ntz"))
+        .where(F.col("end_at") < F.lit(snapshot).cast("timestamp_ntz"))
     )
     return _with_repeats(ended).select(*_columns(spec, END_COLUMNS))

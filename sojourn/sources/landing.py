@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sojourn.sources.tables import publish
+
+SNAPSHOT = "snapshot"
 # The two feeds' column lists.
 START_COLUMNS = [
     "animal_id", "name", "datetime", "found_location", "intake_type", "intake_condition",
@@ -52,16 +55,21 @@ def landed_line_count(spark: SparkSession, path: str) -> int:
 def replace_snapshot(
     spark: SparkSession, landed: str, target: str, columns: list[str], expected: int | None = None
 ) -> LandingReport:
-    """Full-refresh load: refuse an empty source, write, then reconcile the row count."""
+    """Full-refresh load of the table `snapshot` under `target`.
+
+    An empty source, a bad record or a wrong row count raises and leaves the old snapshot current.
+    """
     if expected is None:
         expected = landed_line_count(spark, landed)
     if expected == 0:
         raise LandingError(f"{landed}: source holds no rows, refusing to replace {target}")
-    read_landed(spark, landed, columns).write.mode("overwrite").parquet(target)
-    written = spark.read.schema(text_schema(columns)).parquet(target)
-    filled = written.agg(
-        F.count(F.lit(1)).alias("rows"), *[F.count(c).alias(c) for c in columns]
-    ).first()
-    if filled["rows"] != expected:
-        raise LandingError(f"{target}: {expected} rows landed but {filled['rows']} loaded")
-    return LandingReport(expected, filled["rows"], [c for c in columns if filled[c] == 0])
+
+    def reconciled(stored: dict[str, DataFrame]) -> LandingReport:
+        filled = stored[SNAPSHOT].agg(
+            F.count(F.lit(1)).alias("rows"), *[F.count(c).alias(c) for c in columns]
+        ).first()
+        if filled["rows"] != expected:
+            raise LandingError(f"{target}: {expected} rows landed but {filled['rows']} loaded")
+        return LandingReport(expected, filled["rows"], [c for c in columns if filled[c] == 0])
+
+    return publish({SNAPSHOT: read_landed(spark, landed, columns)}, target, reconciled)[1]

@@ -23,7 +23,7 @@ def test_absent_keys_and_numbers_land_as_text(spark, tmp_path):
     source = land(tmp_path / "in", {"animal_id": "A1", "name": 7}, {"animal_id": "A2", "extra": 1})
     report = landing.replace_snapshot(spark, source, str(tmp_path / "out"), ["animal_id", "name", "breed"])
     assert (report.expected_rows, report.loaded_rows, report.absent_columns) == (2, 2, ["breed"])
-    rows = sorted(map(tuple, spark.read.parquet(str(tmp_path / "out")).collect()))
+    rows = sorted(map(tuple, tables.read_published(spark, str(tmp_path / "out"), "snapshot").collect()))
     assert rows == [("A1", "7", None), ("A2", None, None)]
 
 
@@ -32,19 +32,31 @@ def test_empty_source_keeps_the_old_snapshot(spark, tmp_path):
     landing.replace_snapshot(spark, land(tmp_path / "a", {"animal_id": "A1"}), out, ["animal_id"])
     with pytest.raises(landing.LandingError, match="no rows"):
         landing.replace_snapshot(spark, land(tmp_path / "b"), out, ["animal_id"])
-    assert spark.read.parquet(out).count() == 1
+    assert tables.read_published(spark, out, "snapshot").count() == 1
 
 
-def test_count_mismatch_is_refused(spark, tmp_path):
+def test_count_mismatch_and_bad_records_keep_the_old_snapshot(spark, tmp_path):
+    out = str(tmp_path / "out")
     source = land(tmp_path / "in", {"animal_id": "A1"})
+    landing.replace_snapshot(spark, source, out, ["animal_id"])
     with pytest.raises(landing.LandingError, match="5 rows landed but 1"):
-        landing.replace_snapshot(spark, source, str(tmp_path / "out"), ["animal_id"], expected=5)
+        landing.replace_snapshot(spark, source, out, ["animal_id"], expected=5)
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "part.json").write_text('{"animal_id": "A2"}\n{"animal_id": \n')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        landing.replace_snapshot(spark, str(tmp_path / "bad"), out, ["animal_id"])
+    assert [tuple(r) for r in tables.read_published(spark, out, "snapshot").collect()] == [("A1",)]
 
 
 def test_replace_table_and_version(spark, tmp_path):
-    stored = tables.replace_tables({"t": spark.range(3)}, str(tmp_path))["t"]
-    tables.replace_table(spark.range(2), str(tmp_path), "t")
-    assert spark.read.parquet(str(tmp_path / "t.parquet")).count() == 2 and stored.columns == ["id"]
+    root = str(tmp_path)
+    stored = tables.replace_table(spark.range(3), root, "t")
+    tables.replace_table(spark.range(2), root, "t")
+    assert tables.read_published(spark, root, "t").count() == 2 and stored.columns == ["id"]
+    # A publication whose manifest is not whole does not count.
+    half = spark.createDataFrame([("x", 99, "t", "nowhere", 2)], tables._MANIFEST)
+    half.write.mode("append").parquet(f"{root}/_published")
+    assert tables.read_published(spark, root, "t").count() == 2
     a, b = tables.model_version({"x": 1}, "abcdefgh12"), tables.model_version({"x": 2}, "abcdefgh12")
     assert a.startswith("abcdefg-") and a != b
 
@@ -117,10 +129,11 @@ def test_assertions_notice_damage(spark, feeds):
 
 def test_publishing_stores_the_marts_and_stops_on_errors(spark, feeds, tmp_path):
     starts, ends = feeds
-    with pytest.raises(checks.CheckFailure, match="not_null raw_intakes.datetime"):
-        publish_warehouse(starts, ends, str(tmp_path / "bad"))
-    built, warnings = publish_warehouse(starts.dropna(subset=["datetime"]), ends, str(tmp_path / "good"))
+    root = str(tmp_path)
+    built, warnings = publish_warehouse(starts.dropna(subset=["datetime"]), ends, root)
     assert [w.split(":")[0] for w in warnings] == ["accepted_values staged_outcomes.outcome_type"]
-    for name in MARTS:
-        stored = spark.read.parquet(str(tmp_path / "good" / f"{name}.parquet"))
-        assert stored.count() == built[name].count() > 0
+    before = {name: tables.read_published(spark, root, name).count() for name in MARTS}
+    assert all(before[name] == built[name].count() > 0 for name in MARTS)
+    with pytest.raises(checks.CheckFailure, match="not_null raw_intakes.datetime"):
+        publish_warehouse(starts, ends.limit(10), root)
+    assert {name: tables.read_published(spark, root, name).count() for name in MARTS} == before

@@ -81,7 +81,7 @@ def test_orphans_and_issues(spark):
         starts_of(spark, ("A", "2024-01-02"), ("B", "2024-01-01")),
         ends_of(spark, ("A", "2024-01-01", "relocate"), ("A", "2024-01-09", "died"), ("B", "2024-01-03", "adoption")),
     )
-    orphans = unmatched(raw.staged_ends(), raw.staged_starts(), "stay_key").collect()
+    orphans = unmatched(raw.staged_ends(), raw.staged_starts(), ["animal_id", "stay_sequence"]).collect()
     assert [(r["animal_id"], r["stay_sequence"]) for r in orphans] == [("A", 2)]
     issues = marts.quality_issues(raw.episodes(keep_orphans=True)).collect()
     # The first episode of A has three problems at once.
