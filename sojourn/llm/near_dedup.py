@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from sojourn.llm.components import connected_components
 from sojourn.sources.scratch import materialize
 
-SKETCH = 24
+SKETCH = 32
 #: Documents, and shingles of all of them, in one block of a long inverted list; a task holds
 #: two blocks at a time.
 BLOCK, BLOCK_SHINGLES = 4096, 2_000_000
@@ -174,6 +174,12 @@ def _candidates(num: int, den: int, k: int, least: int):
         for table, starts in _by_unit(batches, 3):
             v, i, j, block, node, n = (table.column(c).to_numpy() for c in range(6))
             sketch, prefix = _padded(table.column(6), _PAD), _padded(table.column(7), _PAD)
+            listed, partnered = np.zeros(table.num_rows, bool), np.zeros(table.num_rows, bool)
+
+            def rows_of(rows: np.ndarray, partners: pa.Array) -> pa.RecordBatch:
+                named = [pa.array(x[rows]) for x in (v, i, j, node)]  # noqa: B023
+                return pa.RecordBatch.from_arrays([*named, partners], ["v", "i", "j", "node", "partners"])
+
             for a, b in _pairs(starts, table.num_rows):
                 small, large = np.minimum(n[a], n[b]), np.maximum(n[a], n[b])
                 ok = (node[a] != node[b]) & (den * small >= num * large)
@@ -196,18 +202,13 @@ def _candidates(num: int, den: int, k: int, least: int):
                 if not len(a):
                     continue
                 lefts, at = np.unique(a, return_index=True)
-                partners = pa.ListArray.from_arrays(
-                    pa.array(np.append(at, len(a)), pa.int32()), pa.array(node[b], pa.int64())
-                )
-                others = np.setdiff1d(b, lefts)
-                empty = pa.ListArray.from_arrays(
-                    pa.array(np.zeros(len(others) + 1, np.int32)), pa.array([], pa.int64())
-                )
-                rows = np.concatenate([lefts, others])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x[rows]) for x in (v, i, j, node)] + [pa.concat_arrays([partners, empty])],
-                    ["v", "i", "j", "node", "partners"],
-                )
+                listed[lefts] = partnered[b] = True
+                ends = pa.array(np.append(at, len(a)), pa.int32())
+                yield rows_of(lefts, pa.ListArray.from_arrays(ends, pa.array(node[b], pa.int64())))
+            # Those that are only partners of others come once, with a list of none.
+            rest = np.flatnonzero(partnered & ~listed)
+            none = pa.ListArray.from_arrays(pa.array(np.zeros(len(rest) + 1, np.int32)), pa.array([], pa.int64()))
+            yield rows_of(rest, none)
 
     return run
 
@@ -349,7 +350,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
         .select(
             "doc_id",
             F.col("n").alias("n_shingles"),
-            F.when(F.col("n") > 0, component).otherwise(F.col("doc_id")).alias("component_id"),
+            F.when(F.col("doc_id").isNotNull() & (F.col("n") > 0), component).otherwise(F.col("doc_id")).alias("component_id"),
             (F.col("doc_id").isNull() | (F.col("n") == 0) | (component == F.col("doc_id"))).alias("kept"),
         )
     )

@@ -2,8 +2,9 @@
 
 Rows are ranked within their source in a seeded pseudo-random order; a row's place in the
 whole is its fractional rank, (rank - 1/2) / (rows of the source). Cutting that order into equal
-parts gives every shard its share of every source, to within a row. Ranks come from range
-partitions with offsets, so neither a hot source nor the whole order meets in one task.
+parts gives every shard its share of every source, to within one row for each source there is.
+Ranks come from range partitions with offsets, so neither a hot source nor the whole order meets
+in one task.
 """
 
 from __future__ import annotations
