@@ -578,6 +578,16 @@ ORACLES: dict[str, str] = {
         FROM (SELECT *, cast(floor(epoch(as_of - intake_at) / 86400) AS BIGINT) AS days_in_care
               FROM eligible WHERE NOT mature AND is_open_stay)
         WHERE days_in_care < 30""",
+    "risk_bands": """
+        SELECT stay_key, CASE WHEN p >= high THEN 'High' WHEN p >= elevated THEN 'Elevated' ELSE 'Typical' END AS risk_band
+        FROM (SELECT stay_key, cast('0x' || substr(stay_key, 1, 3) AS BIGINT) / 4096.0::DOUBLE AS p,
+                     floor(epoch(as_of - intake_at) / 86400) AS days
+              FROM eligible WHERE NOT mature AND is_open_stay),
+             (SELECT quantile_cont(p, 0.9) AS high, quantile_cont(p, 0.7) AS elevated FROM scored)
+        WHERE days < 30""",
+    "misplaced_scores": """
+        SELECT stay_key FROM fact, horizon
+        WHERE NOT is_open_stay OR floor(epoch(as_of - intake_at) / 86400) >= 30""",
     "rare_category_map": """
         SELECT feature, category, n,
                CASE WHEN n_categories <= 40 OR place <= 39 THEN category ELSE 'infrequent' END AS grouped

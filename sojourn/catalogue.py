@@ -11,13 +11,13 @@ from sojourn.functions.keys import surrogate_key
 from sojourn.functions.numbers import logit, recalibrated, round_half_away, sigmoid
 from sojourn.functions.rates import LIVE_OUTCOMES, NON_LIVE_OUTCOMES
 from sojourn.functions.text import age_text_to_days, clean_label
-from sojourn.functions.time import month_start
+from sojourn.functions.time import month_start, ntz, whole_days_between
 from sojourn.operators import metrics
 from sojourn.operators.categories import category_counts, category_map
 from sojourn.operators.checks import accepted_range, accepted_values, failing_values
 from sojourn.operators.pairing import unmatched
 from sojourn.plans import drift, features, marts, model, trends, windows
-from sojourn.plans.assertions import model_assertions, warehouse_assertions
+from sojourn.plans.assertions import model_assertions, scores_only_for_young_open_stays, warehouse_assertions
 from sojourn.plans.contracts import KINDS, MODEL_TABLES, check_results, model_contracts, warehouse_contracts
 from sojourn.plans.encoding import MAX_CATEGORIES
 from sojourn.plans.episodes import RawFeeds, heavy_entities
@@ -452,6 +452,25 @@ def sensitivity_slice(spark, sf_dir):
     return rounded(metrics.evaluate(ranked, ["slice"]))
 
 
+@query
+def risk_bands(spark, sf_dir):
+    """Bands of those waiting, cut at quantiles of the holdout's scores."""
+    ranked = metrics.rank_scores(scored_holdout(spark, sf_dir), ["slice"], "stay_key")
+    high, elevated = metrics.score_quantiles(ranked, [0.9, 0.7])
+    stored = stored_fact(spark, sf_dir)
+    waiting = features.scoring_population(stored, features.horizon_of(stored))
+    return waiting.select("stay_key", model.risk_band(pseudo_score(), high, elevated).alias("risk_band"))
+
+
+@query
+def misplaced_scores(spark, sf_dir):
+    """The score-to-fact check over every stay: those closed, or open for thirty days or more, fail it."""
+    stored = stored_fact(spark, sf_dir)
+    as_of = ntz(features.horizon_of(stored).as_of)
+    every = stored.select("stay_key", whole_days_between(F.col("intake_at"), as_of).alias("days_in_care"))
+    return scores_only_for_young_open_stays(every, stored).select("stay_key")
+
+
 @query
 def recalibrated_scores(spark, sf_dir):
     scored = scored_holdout(spark, sf_dir)
