@@ -56,8 +56,8 @@ def _marker(words: str) -> re.Pattern[str]:
 # Words in class, id or role that mark what does not belong to an article; the second set
 # does so only outside articles, whose own parts use such names too.
 _MARKED = _marker(
-    "ads?|adverts?|advertisement|sponsor(?:ed)?|promo|banner|cookies?|consent|notices?|alert|popup|modal|"
-    "comments?|replies|reply|disqus|sidebar|widget|related|recommended|share|sharing|social|newsletter|subscribe|"
+    "ads?|adverts?|advertisements?|advertising|adsbygoogle|sponsor(?:ed)?|promo|banner|cookies?|consent|gdpr|notices?|alert|popup|modal|"
+    "comments?|commentlist|usercomments|respond|replies|reply|disqus|sidebar|widget|related|recommended|share|sharing|social|newsletter|subscribe|"
     "menu|nav|navbar|navigation|breadcrumbs?|pagination|pager|footer|complementary|contentinfo"
 )
 _MARKED_OUTSIDE = _marker("header|masthead|side|toolbar|search|skip|copyright|legal|signup|login")
