@@ -111,3 +111,15 @@ def test_month_start_keeps_the_type(spark):
 def test_recalibration_identity(spark):
     got = apply(spark, lambda c: numbers.recalibrated(c, 1.0, 0.0), [0.0, 0.25, 1.0], "double")
     assert got == pytest.approx([1e-6, 0.25, 1 - 1e-6])
+
+
+def test_only_full_dates_are_times(spark):
+    texts = ["2024", "2024-03", "2024-03-05 14", "2024-03-05T", "not a date", "", None, "2024-3-5", "2024-03-05 14:15", "2024-03-05T14:15:00.000"]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r["x"] for r in frame.select(text.safe_timestamp(F.col("t")).alias("x")).collect()]
+    assert got[:7] == [None] * 7 and None not in got[7:]
+    strict = frame.select(text.strict_timestamp(F.col("t")).alias("x"), "t")
+    assert strict.where("t is null or length(t) > 13 or t like '%-3-%'").count() == 4
+    for bad in ("2024", "2024-03-05 14", "not a date"):
+        with pytest.raises(Exception, match="not a full date"):
+            strict.where(F.col("t") == bad).collect()

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from sojourn.operators import census, metrics
 from sojourn.operators.categories import category_counts, category_map
+from sojourn.operators.ranking import positions
 from sojourn.plans import drift
 from sojourn.plans.model import level_shift
 
@@ -154,3 +155,18 @@ def test_weighted_percentiles(spark):
             low, high = ordered[int(at)], ordered[math.ceil(at)]
             fraction = at - int(at)
             assert got[g] == low * (1.0 - fraction) + high * fraction
+
+
+def test_rows_of_a_null_group_are_ranked_too(spark):
+    rows = spark.range(3000).select(F.when(F.col("id") % 2 == 0, F.lit("a")).alias("g"), F.col("id"))
+    got = positions(rows, ["g"], ["id"], totals={"n": "*"}).collect()
+    assert len(got) == 3000 and {r["n"] for r in got} == {1500}
+    assert sorted(r["position"] for r in got if r["g"] is None) == list(range(1, 1501))
+
+
+def test_a_null_group_has_a_stability_index(spark):
+    counts = spark.createDataFrame(
+        [(None, "x", 1, 1), (None, "y", 1, 3), ("m", "x", 2, 2)], "g string, category string, expected long, actual long"
+    )
+    got = {r["g"]: r["psi"] for r in metrics.stability_index(counts, ["g"]).collect()}
+    assert got["m"] == 0 and got[None] > 0.1

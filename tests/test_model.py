@@ -14,9 +14,11 @@ from sojourn.plans.contracts import MODEL_TABLES
 from sojourn.plans.encoding import Categories, LinearEncoder, TreeEncoder
 from sojourn.plans.episodes import RawFeeds
 from sojourn.plans.marts import episode_fact
-from sojourn.plans.model import ModelConfig, fit_baseline, fit_recalibrated
+from sojourn.plans import pipeline
+from sojourn.plans.model import ModelConfig, fit_baseline, fit_boosted, fit_recalibrated, stopping_round
 from sojourn.plans.pipeline import publish_model
 from sojourn.sources.scratch import materialize
+from sojourn.sources.tables import read_published
 
 QUICK = ModelConfig(max_iter=4, max_depth=3, logistic_iter=50, importance_repeats=2)
 
@@ -93,6 +95,31 @@ def test_models_find_signal_and_recalibration_moves_the_level(rows_with_signal):
     assert gap["main"] < gap["base"]
 
 
+def test_rounds_stop_after_patience():
+    assert stopping_round([3.0, 2.0, 1.0], 2) == (3, False)
+    assert stopping_round([3.0, 1.0, 2.0, 2.0, 0.5], 2) == (2, True)
+    assert stopping_round([3.0, 1.0, 2.0, 1.0, 0.5], 4) == (5, False)
+    assert stopping_round([1.0], 25) == (1, False)
+
+
+def test_boosting_goes_on_past_worse_rounds_and_ignores_the_layout(rows_with_signal):
+    rows = rows_with_signal.where("stay_key >= '4'")
+    held_out = rows_with_signal.where("stay_key < '4'")
+
+    def loss(scorer):
+        p = F.greatest(F.lit(1e-9), F.least(F.lit(1 - 1e-9), F.col("p")))
+        y = F.col("is_long_stay")
+        return scorer.score(held_out).agg(-F.avg(y * F.log(p) + (1 - y) * F.log(1 - p))).first()[0]
+
+    # Single splits need many small steps to add up the effects of several columns.
+    full, short = (fit_boosted(rows, ModelConfig(max_depth=1, max_iter=n)) for n in (400, 4))
+    assert full.learner.getNumTrees > 4 >= short.learner.getNumTrees and loss(full) < loss(short)
+    quick = ModelConfig(max_iter=6)
+    a, b = (fit_boosted(rows.repartition(n), quick).score(held_out) for n in (1, 7))
+    far = a.join(b.withColumnRenamed("p", "q").select("stay_key", "q"), "stay_key").where("abs(p - q) > 1e-9")
+    assert far.count() == 0
+
+
 def test_population_rules(spark, fact):
     horizon = features.horizon_of(fact)
     frame = features.training_frame(fact)
@@ -111,7 +138,7 @@ def test_backtest_windows(fact):
     assert all((w.score_start - w.train_end).days == 30 for w in calendar)
 
 
-def test_run_stores_tables_that_hold_their_promises(spark, fact, tmp_path):
+def test_run_stores_tables_that_hold_their_promises(spark, fact, tmp_path, monkeypatch):
     built, warnings = publish_model(fact, str(tmp_path), QUICK)
     assert sorted(built) == sorted(MODEL_TABLES) and warnings == []
     late = built["monthly_performance"].withColumn("train_end", F.col("intake_month"))
@@ -121,6 +148,13 @@ def test_run_stores_tables_that_hold_their_promises(spark, fact, tmp_path):
     assert built["feature_importance"].count() == 13 and built["calibration"].count() == 10
     assert built["monthly_performance"].count() == 12 and built["feature_drift"].count() == 60
     assert {r["model_version"] for r in built["stay_scores"].collect()} == {QUICK.version()}
+    # Signal where none can be is a failure, and what was published stays.
+    leaky = built | {"model_evaluation": built["model_evaluation"].withColumn("roc_auc", F.lit(0.9))}
+    monkeypatch.setattr(pipeline, "run_model", lambda fact, config: leaky)
+    with pytest.raises(training.LeakageError):
+        publish_model(fact, str(tmp_path), QUICK, expect_no_signal=True)
+    kept = read_published(spark, str(tmp_path), "model_evaluation")
+    assert kept.where("roc_auc = 0.9").count() == 0 and kept.count() == 3
 
 
 def test_no_signal_gate(spark):
