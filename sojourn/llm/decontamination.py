@@ -33,7 +33,7 @@ class LeakSettings:
     step: int = 25
     budget: float = 0.08
     shortest: int = 24
-    block_chars: int = 4_000_000
+    block_chars: int = 1_000_000
 
     def edits(self, length: int) -> int:
         return int(self.budget * length + 1e-9)
@@ -110,8 +110,8 @@ class Index:
             np.array([i for i, _ in kept], object),
             [c for _, c in kept],
             flat[order],
-            np.repeat(np.arange(len(kept)), sizes)[order],
-            (np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes))[order],
+            np.repeat(np.arange(len(kept)), sizes)[order].astype(np.int32),
+            (np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes))[order].astype(np.int32),
             present,
             settings,
         )
@@ -140,7 +140,7 @@ class Index:
         # Bands of one item follow each other; the room between items fits any text of this length.
         below = max(map(len, self.codes)) // self._width() + 3
         room = len(codes) // self._width() + below + 3
-        key, count = np.unique(item * room + band + below, return_counts=True)
+        key, count = np.unique(item.astype(np.int64) * room + band + below, return_counts=True)
         both = np.concatenate([key, key - 1])
         start = np.unique(both)
         total = np.zeros(len(start), np.int64)

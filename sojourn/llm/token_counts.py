@@ -17,6 +17,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sojourn.sources.scratch import materialize
+
 KEYS = ["source", "lang", "tokenizer"]
 _SCHEMA = "source string, lang string, tokenizer string, documents long, tokens long, batch_id string, attempt string, parts long"
 
@@ -93,11 +95,9 @@ class TokenTotals:
         )
         # A mark of the batch itself: it has no tokenizer and adds nothing, so that an empty batch is seen.
         mark = self.spark.createDataFrame([(None, None, None, 0, 0)], "source string, lang string, tokenizer string, documents long, tokens long")
-        rows = summed.select(*mark.columns).unionAll(mark)
-        whole = rows.groupBy().agg(F.count(F.lit(1)).alias("parts"), F.collect_list(F.struct(*mark.columns)).alias("rows"))
-        # Groups are as many as sources, languages and tokenizers, so one task writes a batch.
-        named = whole.select("parts", F.explode("rows").alias("x")).select(
-            "x.*", F.lit(batch_id).alias("batch_id"), F.lit(uuid.uuid4().hex).alias("attempt"), "parts"
+        rows = materialize(summed.select(*mark.columns).unionAll(mark), "token-batch")
+        named = rows.withColumns(
+            {"batch_id": F.lit(batch_id), "attempt": F.lit(uuid.uuid4().hex), "parts": F.lit(rows.count()).cast("long")}
         )
         named.write.mode("append").parquet(self.path)
         return True
