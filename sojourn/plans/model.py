@@ -45,7 +45,7 @@ class ModelConfig:
     importance_repeats: int = 5
     patience: int = 25
     concurrent_fits: int = 6
-    training_partitions: int = 8
+    training_partitions: int = 4
     seed: int = 20261005
 
     def version(self) -> str:

@@ -28,8 +28,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write once, read back: cuts lineage, survives lost executors, prunes columns later."""
+    """Write once, read back: cuts lineage, survives lost executors, prunes columns later.
+
+    The files go when the application ends.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
+    written = spark._jvm.org.apache.hadoop.fs.Path(path)
+    written.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(written)
     return spark.read.schema(df.schema).parquet(path)
