@@ -94,6 +94,7 @@ class _Page:
     in_link: bool = False
     heading: bool = False
     articles: int = 0
+    title: str | None = None
 
     def flush(self) -> None:
         text = " ".join(html.unescape("".join(self.parts)).split())
@@ -136,6 +137,11 @@ class _Page:
 
 def blocks_of(page: str) -> list[Block]:
     """Blocks in page order, not yet labelled."""
+    return scan(page)[1]
+
+
+def scan(page: str) -> tuple[str, list[Block]]:
+    """The title as written (the first one closed, not that of a drawing or template) and the blocks in page order."""
     out, at = _Page(), 0
     lower: str | None = None
     while True:
@@ -177,6 +183,8 @@ def blocks_of(page: str) -> list[Block]:
         elif name in _RAW:
             lower = page.lower() if lower is None else lower
             end = lower.find("</" + name, at) if len(lower) == len(page) else page.find("</" + name, at)
+            if name == "title" and end >= 0 and out.title is None and not any(x.tag in ("svg", "math", "template") for x in out.stack):
+                out.title = page[at:end]
             close = len(page) if end < 0 else page.find(">", end)
             at = len(page) if close < 0 else close + (close < len(page))
         elif name in _CONTAINERS and name not in _VOID:
@@ -187,7 +195,7 @@ def blocks_of(page: str) -> list[Block]:
             # What the head left open ends here.
             out.stack = [x for x in out.stack if not x.hidden]
     out.flush()
-    return out.blocks
+    return out.title or "", out.blocks
 
 
 def _tag_end(page: str, at: int) -> int:

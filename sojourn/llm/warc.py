@@ -20,12 +20,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sojourn.llm.html_text import blocks_of
+from sojourn.llm.html_text import scan
 
 CRLF = b"\r\n"
 VERSION = b"WARC/1.1"
-_TITLE = re.compile(r"<title[^>]*>(.*?)</title", re.IGNORECASE | re.DOTALL)
-_HEAD_CHARS = 1 << 16
 
 
 def digest(data: bytes) -> str:
@@ -142,15 +140,15 @@ def derive(raw: bytes | None) -> list[dict]:
     status, headers, payload = read_http(block)
     body = decoded_body(headers, payload)
     payload_digest = by.get("warc-payload-digest") or digest(payload)
-    title = _TITLE.search(body[:_HEAD_CHARS])
-    text = "\n".join(b.text for b in blocks_of(body))
+    title, blocks = scan(body)
+    text = "\n".join(b.text for b in blocks)
     about = [
         ("source-record-id", source),
         ("source-payload-digest", payload_digest),
         ("source-block-digest", by.get("warc-block-digest") or digest(block)),
         ("source-status", str(status or "")),
         *((f"source-header-{k.lower()}", v) for k, v in headers),
-        ("title", " ".join(title[1].split()) if title else ""),
+        ("title", " ".join(title.split())),
         ("text-characters", str(len(text))),
     ]
     warc_fields = b"".join(f"{k}: {_line(v)}\r\n".encode() for k, v in about)

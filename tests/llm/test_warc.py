@@ -43,6 +43,25 @@ def test_codings():
     assert warc.derive(gzip.compress(response(head + chunks))) == warc.derive(response(head + chunks))
 
 
+@pytest.mark.parametrize(
+    "before",
+    [
+        "<style>" + "p { color: red } " * 6_250 + "</style>",
+        "<script>" + "x = '<title>no</title>';" * 5_000 + "</script>",
+        "<!-- <title>no</title> -->" * 4_000,
+        "<svg><title>no</title></svg>",
+        "<meta charset=utf-8>" + "<link rel=preload>" * 6_000,
+    ],
+)
+def test_title_is_found_wherever_it_stands(before):
+    for title in ("Far  away", "long " * 20_000):
+        page = f"<html><head>{before}<title>{title}</title></head><body><p>text</p>".encode()
+        rows = warc.derive(response(b"HTTP/1.1 200 OK\r\n\r\n" + page))
+        about = dict(warc._fields(warc.read_record(rows[0]["record"])[1].decode().split("\r\n")))
+        assert about["title"] == " ".join(title.split())
+        assert warc.read_record(rows[1]["record"])[1] == b"text"
+
+
 @pytest.mark.parametrize("raw", [None, b"", b"junk", b"\x1f\x8bjunk", b"WARC/1.1\r\nWARC-Type: request\r\n\r\nx", b"WARC/1.1\r\nContent-Length: x\r\n\r\nx"])
 def test_what_is_no_response_gives_nothing(raw):
     assert warc.derive(raw) == []
