@@ -2,12 +2,13 @@
 
 Texts are reduced to lower-case letters and digits with single spaces. A benchmark item leaks
 into a document where a window of the item (`window` characters, or the whole of a shorter
-item) aligns with some place of the document in at most `budget` edits per character.
+item, at any start) aligns with some place of the document in at most `budget` edits per character.
 
 Such an alignment keeps m - q + 1 - e * q of the window's q-grams, all on diagonals at most e
 apart. So the shared q-grams of document and item are counted in bands of diagonals, any two
-neighbouring bands together; regions with fewer are impossible, the others are aligned in a
-band around their diagonals. Nothing else is filtered: the result is that of aligning all.
+neighbouring bands together; regions and windows with fewer are impossible, the others are
+aligned in a band around their diagonals, unless they stand in the document as they are.
+Nothing else is filtered: the result is that of aligning all windows.
 """
 
 from __future__ import annotations
@@ -30,7 +31,6 @@ class LeakSettings:
 
     q: int = 8
     window: int = 100
-    step: int = 25
     budget: float = 0.08
     shortest: int = 24
     block_chars: int = 1_000_000
@@ -85,6 +85,18 @@ def q_grams(codes: np.ndarray, q: int) -> np.ndarray:
             power = power * _B
 
 
+@dataclass
+class Region:
+    """Two neighbouring bands of diagonals of one item: the least diagonal, the windows that can leak
+    there, and the shared q-grams by place in the item and diagonal."""
+
+    item: int
+    diagonal: int
+    windows: np.ndarray
+    places: np.ndarray
+    diagonals: np.ndarray
+
+
 @dataclass
 class Index:
     """The q-grams of one block of items, sorted by hash."""
@@ -116,8 +128,8 @@ class Index:
             settings,
         )
 
-    def regions(self, codes: np.ndarray) -> list[tuple[int, int]]:
-        """(item, least diagonal) of every pair of neighbouring bands that can hold a leak."""
+    def regions(self, codes: np.ndarray) -> list[Region]:
+        """Every pair of neighbouring bands that can hold a leak, with the item's windows to align there."""
         s = self.settings
         hashes = q_grams(codes, s.q)
         maybe = np.flatnonzero(self.present[hashes >> np.uint64(64 - _FILTER_BITS)])
@@ -135,20 +147,49 @@ class Index:
         if not len(maybe):
             return []
         entry = np.arange(n.sum()) + np.repeat(low - (np.cumsum(n) - n), n)
-        item = self.item_of[entry]
-        band = (np.repeat(maybe, n) - self.place[entry]) // self._width()
+        item, place = self.item_of[entry], self.place[entry]
+        diagonal = np.repeat(maybe, n) - place
         # Bands of one item follow each other; the room between items fits any text of this length.
         below = max(map(len, self.codes)) // self._width() + 3
         room = len(codes) // self._width() + below + 3
-        key, count = np.unique(item.astype(np.int64) * room + band + below, return_counts=True)
+        keys = item.astype(np.int64) * room + diagonal // self._width() + below
+        key, count = np.unique(keys, return_counts=True)
         both = np.concatenate([key, key - 1])
         start = np.unique(both)
         total = np.zeros(len(start), np.int64)
         for k in (key, key - 1):
             total[np.searchsorted(start, k)] += count
         which = start // room
-        enough = total >= self._least[np.clip(which, 0, len(self.codes) - 1)]
-        return [(int(k // room), int(k % room - below) * self._width()) for k in start[enough]]
+        start = start[total >= self._least[np.clip(which, 0, len(self.codes) - 1)]]
+        if not len(start):
+            return []
+        order = np.argsort(keys, kind="stable")
+        keys, place, diagonal = keys[order], place[order], diagonal[order]
+        begin, middle, end = (np.searchsorted(keys, start + k) for k in range(3))
+        out = []
+        for k, a, b, c in zip(start.tolist(), begin.tolist(), middle.tolist(), end.tolist(), strict=True):
+            found = self._windows(k // room, place[a:c], b - a)
+            if len(found):
+                out.append(Region(k // room, (k % room - below) * self._width(), found, place[a:c], diagonal[a:c]))
+        return out
+
+    def _windows(self, item: int, place: np.ndarray, lower: int) -> np.ndarray:
+        """Starts of the item's windows that hold enough of the shared q-grams at these places, of which the
+        first `lower` lie in the lower band. A window with none in the upper band is the lower neighbour's."""
+        s = self.settings
+        length = len(self.codes[item])
+        m = min(length, s.window)
+        # Only windows that hold one of the places.
+        least = max(0, int(place.min()) - (m - s.q))
+        most = min(length - m, int(place.max()))
+        if most < least:
+            return np.empty(0, np.int64)
+        size = most - least + m - s.q + 1
+        upper = np.bincount(place[lower:] - least, minlength=size)
+        counts = np.bincount(place[:lower] - least, minlength=size) + upper
+        starts = np.arange(most - least + 1)
+        within = [(c := np.concatenate([[0], np.cumsum(x)]))[starts + m - s.q + 1] - c[starts] for x in (counts, upper)]
+        return np.flatnonzero((within[0] >= self._least[item]) & (within[1] > 0)) + least
 
     def _width(self) -> int:
         return self.settings.edits(self.settings.window) + 1
@@ -174,44 +215,78 @@ class Index:
                 found[item] = [min(old[0], begin), max(old[1], end), min(old[2], edits)]
         return sorted(((self.items[k], *v) for k, v in found.items()), key=lambda x: (x[1], x[2], str(x[0])))
 
-    def _aligned(self, codes: np.ndarray, regions: list[tuple[int, int]]) -> Iterator[tuple[int, int, int, int]]:
-        """(item, first, last, edits) of every window that aligns, all windows of a length together."""
+    def _aligned(self, codes: np.ndarray, regions: list[Region]) -> Iterator[tuple[int, int, int, int]]:
+        """(item, first, last, edits) of the windows that align, all windows of a length together."""
         s = self.settings
-        work: dict[int, list[tuple[int, int, int]]] = {}
-        for item, diagonal in regions:
-            length = len(self.codes[item])
-            m = min(length, s.window)
-            for start in sorted({*range(0, length - m + 1, s.step), length - m}):
-                if -m < start + diagonal + 2 * self._width() and start + diagonal < len(codes):
-                    work.setdefault(m, []).append((item, start, start + diagonal))
-        for m, rows in work.items():
+        work: dict[int, list[tuple[int, int, np.ndarray]]] = {}
+        for region in regions:
+            m = min(len(self.codes[region.item]), s.window)
+            starts = region.windows
+            for first, last, diagonal in self._copied(codes, region, m):
+                yield region.item, first + diagonal, last + diagonal + m - 1, 0
+                starts = starts[(starts < first) | (starts > last)]
+            for cut in range(0, len(starts), 2000):
+                work.setdefault(m, []).append((region.item, region.diagonal, starts[cut : cut + 2000]))
+        for m, parts in work.items():
             e = s.edits(m)
             reach = 2 * self._width() + 2 * e
-            for cut in range(0, len(rows), 2000):
-                some = rows[cut : cut + 2000]
-                windows = np.stack([self.codes[i][p : p + m] for i, p, _ in some])
-                begin = np.array([d - e for _, _, d in some])
+            while parts:
+                some, rows = [], 0
+                while parts and rows < 2000:
+                    some.append(parts.pop())
+                    rows += len(some[-1][2])
+                windows = np.concatenate([np.lib.stride_tricks.sliding_window_view(self.codes[i], m)[p] for i, _, p in some])
+                item = np.repeat([i for i, _, _ in some], [len(p) for _, _, p in some])
+                begin = np.concatenate([p + d - e for _, d, p in some])
                 place = begin[:, None] + np.arange(m + reach)
                 inside = (place >= 0) & (place < len(codes))
                 there = np.where(inside, codes[np.clip(place, 0, len(codes) - 1)], np.uint32(0))
-                cost = banded_cost(windows, there, reach)
+                cost = banded_cost(windows, there, reach, e)
                 best = cost.argmin(axis=1)
-                for k in np.flatnonzero(cost[np.arange(len(some)), best] <= e):
+                for k in np.flatnonzero(cost[np.arange(len(cost)), best] <= e):
                     last = min(int(begin[k] + best[k]) + m - 1, len(codes) - 1)
-                    yield some[k][0], max(0, last - m + 1), max(last, 0), int(cost[k, best[k]])
-
-
-def banded_cost(pattern: np.ndarray, text: np.ndarray, width: int) -> np.ndarray:
+                    yield int(item[k]), max(0, last - m + 1), max(last, 0), int(cost[k, best[k]])
+
+    def _copied(self, codes: np.ndarray, region: Region, m: int) -> Iterator[tuple[int, int, int]]:
+        """(first, last, diagonal) of every run of windows that stand in the text as they are."""
+        q, own = self.settings.q, self.codes[region.item]
+        order = np.lexsort((region.places, region.diagonals))
+        place, diagonal = region.places[order].astype(np.int64), region.diagonals[order].astype(np.int64)
+        new = np.flatnonzero((np.diff(place) != 1) | (np.diff(diagonal) != 0)) + 1
+        for a, b in zip([0, *new.tolist()], [*new.tolist(), len(place)], strict=True):
+            if b - a < m - q + 1:
+                continue
+            first, end, d = int(place[a]), int(place[b - 1]) + q, int(diagonal[a])
+            # Equal hashes are no proof.
+            if np.array_equal(own[first:end], codes[first + d : end + d]):
+                yield first, end - m, d
+
+
+def banded_cost(pattern: np.ndarray, text: np.ndarray, width: int, most: int | None = None) -> np.ndarray:
     """Edits to align each pattern row so that it ends on each of `width` diagonals of its text
-    row, beginning on any of them."""
-    step = np.arange(width)
-    cost = np.zeros((len(pattern), width), np.int64)
-    for i in range(pattern.shape[1]):
-        new = cost + (text[:, i : i + width] != pattern[:, i : i + 1])
-        new[:, :-1] = np.minimum(new[:, :-1], cost[:, 1:] + 1)
-        # A further character of the text costs one per step to the right.
-        cost = np.minimum.accumulate(new - step, axis=1) + step
-    return cost
+    row, beginning on any of them. Rows that can't stay within `most` edits may be given up: they have most + 1."""
+    rows, length = pattern.shape
+    kind = np.int16 if length + width < 30_000 else np.int64
+    # Diagonals by rows, so that every step runs along whole arrays.
+    pattern, text = np.ascontiguousarray(pattern.T), np.ascontiguousarray(text.T)
+    alive, cost = np.arange(rows), np.zeros((width, rows), kind)
+    shifts = [kind(1 << k) for k in range((width - 1).bit_length())]
+    out = None if most is None else np.full((width, rows), most + 1, kind)
+    for i in range(length):
+        new = cost + (text[i : i + width] != pattern[i])
+        np.minimum(new[:-1], cost[1:] + 1, out=new[:-1])
+        # A further character of the text costs one to the right: by runs of 1, 2, 4 ... of them.
+        for k in shifts:
+            np.minimum(new[k:], new[:-k] + k, out=new[k:])
+        cost = new
+        if out is not None and i % 8 == 7:
+            good = cost.min(axis=0) <= most
+            if 4 * good.sum() < 3 * len(good):
+                alive, cost, pattern, text = alive[good], cost[:, good], pattern[:, good], text[:, good]
+    if out is None:
+        return cost.T
+    out[:, alive] = cost
+    return out.T
 
 
 def _blocks(benchmark: DataFrame, settings: LeakSettings) -> Iterator[Index]:

@@ -20,14 +20,26 @@ def best_alignment(window, text):
     return int(cost.min())
 
 
+def best_alignments(windows, text):
+    """The same for many windows of one length."""
+    cost = np.zeros((len(text) + 1, len(windows)), int)
+    for i in range(windows.shape[1]):
+        new = np.empty_like(cost)
+        new[0] = i + 1
+        for j, t in enumerate(text):
+            new[j + 1] = np.minimum(np.minimum(cost[j] + (windows[:, i] != t), cost[j + 1] + 1), new[j] + 1)
+        cost = new
+    return cost.min(axis=0)
+
+
 def brute_force(item, text, s):
-    """Whether any window of the item aligns within its budget."""
+    """The least edits of any window of the item, at whatever start, if within its budget."""
     a, b = reduced(item)[0], reduced(text)[0]
     if len(a) < s.shortest:
-        return False
+        return None
     m = min(len(a), s.window)
-    starts = sorted({*range(0, len(a) - m + 1, s.step), len(a) - m})
-    return any(best_alignment(a[p : p + m], b) <= s.edits(m) for p in starts)
+    least = int(best_alignments(np.lib.stride_tricks.sliding_window_view(a, m), b).min())
+    return least if least <= s.edits(m) else None
 
 
 def edited(rnd, text, edits):
@@ -40,7 +52,7 @@ def edited(rnd, text, edits):
 
 def test_same_verdicts_as_aligning_everything():
     rnd = random.Random(4)
-    s = LeakSettings(window=40, step=10)
+    s = LeakSettings(window=40)
     phrase = lambda n: " ".join("".join(rnd.choice("abcdef") for _ in range(rnd.randint(2, 6))) for _ in range(n))
     items = [(k, phrase(rnd.randint(4, 25))) for k in range(30)]
     index = Index.build(items, s)
@@ -49,12 +61,33 @@ def test_same_verdicts_as_aligning_everything():
         k, item = rnd.choice(items)
         cut = rnd.randint(0, len(item) // 2)
         text = phrase(8) + " " + edited(rnd, item[cut:], rnd.randint(0, 7)) + " " + phrase(8)
-        got = {x[0] for x in index.leaks(text)}
-        verdicts.append(brute_force(item, text, s))
-        assert (k in got) == verdicts[-1]
+        got = {x[0]: x[3] for x in index.leaks(text)}
+        want = brute_force(item, text, s)
+        verdicts.append(want is not None)
+        assert got.get(k) == want
     assert 20 < sum(verdicts) < 110
 
 
+@pytest.mark.parametrize("length, edits", [(100, 0), (100, 2), (100, 4), (105, 4), (110, 4), (100, 8)])
+def test_quotes_are_found_wherever_they_begin(length, edits):
+    rnd = random.Random(length + edits)
+    word = lambda: "".join(rnd.choice("abcdefghijklmnop") for _ in range(rnd.randint(2, 8)))
+    items = [(k, " ".join(word() for _ in range(60))) for k in range(20)]
+    index = Index.build(items, LeakSettings())
+    for _ in range(60):
+        k, item = rnd.choice(items)
+        begin = rnd.randrange(len(item) - length)
+        quote = list(item[begin : begin + length])
+        for p in rnd.sample(range(1, length - 1), edits):
+            quote[p] = "z"
+        quote = "".join(quote).strip()
+        if len(quote) == length:
+            text = " ".join(word() for _ in range(30)) + " " + quote + " " + " ".join(word() for _ in range(30))
+            found = {x[0]: x[1:] for x in index.leaks(text)}
+            assert list(found) == [k] and found[k][2] <= edits
+            assert found[k][0] <= text.index(quote) + edits + 9 and found[k][1] >= text.index(quote) + length - edits - 9
+
+
 def test_query_finds_whole_items_and_leaves_other_documents(spark):
     from sojourn.llm.queries import QUERIES
 
