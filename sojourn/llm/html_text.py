@@ -61,7 +61,8 @@ _MARKED = _marker(
     "menu|nav|navbar|navigation|breadcrumbs?|pagination|pager|footer|complementary|contentinfo"
 )
 _MARKED_OUTSIDE = _marker("header|masthead|side|toolbar|search|skip|copyright|legal|signup|login")
-_ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.IGNORECASE)
+# Names and values in turn, so that words inside other values and names don't count.
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 _NAME = re.compile(r"/?[a-zA-Z][^\s/>]*")
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -116,7 +117,7 @@ class _Page:
                     marked |= bool(_MARKED.search(value)) or (not top.article and bool(_MARKED_OUTSIDE.search(value)))
             elif key == "style":
                 hidden |= "display:none" in value.replace(" ", "").lower()
-            else:
+            elif key == "hidden" or key == "aria-hidden":
                 hidden |= key == "hidden" or value.lower() == "true"
         boilerplate, article = top.boilerplate or marked, top.article
         if name in ("article", "main") and not marked and not any(x.tag == "article" for x in self.stack):

@@ -1,6 +1,8 @@
 import html
 import re
 
+import pytest
+
 from sojourn.llm.html_text import extract, main_text
 
 PAGE = """<html><head><title>T</title><script>if (a < b) x = "</div>"; </script></head><body>
@@ -70,3 +72,23 @@ def test_odd_tables(spark):
     assert sorted((r.page_id or 0, r.n_chars) for r in got) == [(0, 13), (1, 0), (2, 0), (2, 0), (3, 599_999)] or len(got) == 5
     assert {r.page_id: r.n_chars for r in got}[3] == 599_999
     assert extract(spark.createDataFrame([], schema)).collect() == []
+
+
+@pytest.mark.parametrize(
+    "attributes, shown",
+    [
+        ('data-overflow="hidden"', True),
+        ('title="the hidden truth"', True),
+        ("onclick=\"this.style.visibility='hidden'\"", True),
+        ('data-hidden data-id="sidebar" data-role="menu" data-class=ads', True),
+        ('title="a style=display:none b" aria-hidden="false"', True),
+        ("hidden", False),
+        ('title=x HIDDEN=""', False),
+        ('aria-hidden = "true"', False),
+        ("title='a \"b\"' style='display: none'", False),
+        ("class=ads", False),
+    ],
+)
+def test_only_whole_attribute_names_count(attributes, shown):
+    text = "this is the text of the page and it is long enough to be kept by the rules as it has many of the words that they look for, and more of them"
+    assert main_text(f"<html><body><div {attributes}><p>{text}</p></div></body></html>") == (text if shown else "")
