@@ -39,8 +39,8 @@ class LeakSettings:
         return int(self.budget * length + 1e-9)
 
 
-#: Characters of a document looked at together, and how far such pieces overlap.
-PIECE, OVERLAP = 1 << 20, 512
+#: Characters of a document looked at together.
+PIECE = 1 << 20
 _FILTER_BITS = 22
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -66,6 +66,21 @@ def reduced(text: str) -> tuple[np.ndarray, np.ndarray]:
     return codes, at
 
 
+def pieces(text: str, overlap: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The reduced text in pieces, each beginning with the last `overlap` reduced characters of the one before."""
+    codes, at = np.empty(0, np.uint32), np.empty(0, np.int64)
+    for offset in range(0, len(text), PIECE):
+        more, places = reduced(text[offset : offset + PIECE])
+        if not len(more):
+            continue
+        places = places + offset
+        codes, at = codes[-overlap:], at[-overlap:]
+        if len(at) and places[0] > at[-1] + 1:
+            codes, at = np.append(codes, np.uint32(32)), np.append(at, at[-1] + 1)
+        codes, at = np.concatenate([codes, more]), np.concatenate([at, places])
+        yield codes, at
+
+
 def q_grams(codes: np.ndarray, q: int) -> np.ndarray:
     """A hash of each run of q code points."""
     if len(codes) < q:
@@ -207,10 +222,11 @@ class Index:
         if not text or not self.codes:
             return []
         found: dict[int, list[int]] = {}
-        for offset in range(0, len(text), PIECE):
-            codes, at = reduced(text[offset : offset + PIECE + OVERLAP])
+        # As long as any leak, and as far as the bands reach beyond it.
+        overlap = self.settings.window + 2 * self._width() + 3 * self.settings.edits(self.settings.window)
+        for codes, at in pieces(text, overlap):
             for item, first, last, edits in self._aligned(codes, self.regions(codes)):
-                begin, end = int(at[first]) + offset, int(at[last]) + 1 + offset
+                begin, end = int(at[first]), int(at[last]) + 1
                 old = found.get(item, [begin, end, edits])
                 found[item] = [min(old[0], begin), max(old[1], end), min(old[2], edits)]
         return sorted(((self.items[k], *v) for k, v in found.items()), key=lambda x: (x[1], x[2], str(x[0])))

@@ -115,6 +115,22 @@ def test_pieces_and_blocks_change_nothing(spark, monkeypatch):
     assert [x[0] for x in index.leaks(text)] == [x[0] for x in whole] == [1]
 
 
+def test_leaks_across_pieces_however_wide(monkeypatch):
+    item = "the quick brown fox jumps over the lazy dog and runs away from the hunter and all of his hounds at once"
+    index = Index.build([(1, item)], LeakSettings())
+    wide = ("\n|" + " " * 300).join(item.split())
+    monkeypatch.setattr(D, "PIECE", 5000)
+    for before in range(0, 5000, 450):
+        text = "x" * before + " " + wide + " filler" * 900
+        ((item_id, start, end, edits),) = index.leaks(text)
+        # Places are exact give or take the edits of windows cut by a border.
+        begin = before + 1
+        assert (item_id, edits) == (1, 0) and begin - 9 <= start <= begin and begin + len(wide) <= end <= begin + len(wide) + 9
+        codes, at = zip(*D.pieces(text, 1 << 30), strict=True)
+        whole = reduced(text)
+        assert (codes[-1] == whole[0]).all() and (at[-1] == whole[1]).all()
+
+
 def index_text(index):
     return "".join(map(chr, index.codes[0])).upper()
 
