@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sojourn.llm import decontamination, html_text, language_id, quality, sharding, token_counts, url_filter, warc
+from sojourn.llm import (
+    decontamination,
+    html_text,
+    language_id,
+    prefix_trie,
+    quality,
+    sharding,
+    token_counts,
+    url_filter,
+    warc,
+)
 from sojourn.llm.near_dedup import near_duplicates
 from sojourn.llm.piece_codec import encode_decode
 from sojourn.sources.scratch import materialize, scratch_path
@@ -125,6 +135,12 @@ def op10_html_extraction(spark, sf_dir):
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+@query
+def op12_prefix_trie(spark, sf_dir):
+    turns = prefix_trie.ordered_turns(table(spark, sf_dir, "conversations"))
+    return prefix_trie.prefix_nodes(*prefix_trie.rebuilt(turns))
+
+
 # op7: the longest rule that fits, else the blocked patterns as one regular expression on host and path.
 ORACLES["op7_url_filter"] = r"""
 WITH u AS (
