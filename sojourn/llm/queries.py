@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sojourn.llm import (
+    collocations,
     decontamination,
     html_text,
     language_id,
+    prefix_tree_join,
     prefix_trie,
     quality,
     sharding,
@@ -135,12 +137,22 @@ def op10_html_extraction(spark, sf_dir):
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+@query
+def op11_collocations(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 @query
 def op12_prefix_trie(spark, sf_dir):
     turns = prefix_trie.ordered_turns(table(spark, sf_dir, "conversations"))
     return prefix_trie.prefix_nodes(*prefix_trie.rebuilt(turns))
 
 
+@query
+def op13_ngram_join(spark, sf_dir):
+    return prefix_tree_join.similar_components(table(spark, sf_dir, "documents"))
+
+
 # op7: the longest rule that fits, else the blocked patterns as one regular expression on host and path.
 ORACLES["op7_url_filter"] = r"""
 WITH u AS (
