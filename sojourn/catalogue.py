@@ -23,7 +23,7 @@ from sojourn.plans.encoding import MAX_CATEGORIES
 from sojourn.plans.episodes import RawFeeds, heavy_entities
 from sojourn.plans.pipeline import build_warehouse, publish_warehouse
 from sojourn.plans.staging import with_required_keys
-from sojourn.plans.training import prepare, run_model
+from sojourn.plans.training import ModelRun, prepare
 from sojourn.sources import landing
 from sojourn.sources.feeds import end_feed, start_feed
 from sojourn.sources.scratch import materialize, scratch_path
@@ -529,14 +529,14 @@ def month_status(spark, sf_dir):
 # --- the model run -----------------------------------------------------------------------
 
 
-def model_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """One training run; its six outputs share it."""
-    return kept(spark, sf_dir, "model", lambda: run_model(stored_fact(spark, sf_dir)))
+def model_run(spark: SparkSession, sf_dir: str) -> ModelRun:
+    """One run per table directory; each of its tables makes the fits it needs, once."""
+    return kept(spark, sf_dir, "model", lambda: ModelRun(stored_fact(spark, sf_dir)))
 
 
 def _model_table(name: str):
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return model_tables(spark, sf_dir)[name]
+        return model_run(spark, sf_dir).table(name)
 
     build.__name__ = name
     return query(build)
@@ -548,7 +548,7 @@ for _name in MODEL_TABLES:
 
 @query
 def check_model_outputs(spark, sf_dir):
-    tables = model_tables(spark, sf_dir) | {"episode_fact": stored_fact(spark, sf_dir)}
+    tables = model_run(spark, sf_dir).tables() | {"episode_fact": stored_fact(spark, sf_dir)}
     declared = check_results(tables, model_contracts())
     return declared.unionByName(
         model_assertions(

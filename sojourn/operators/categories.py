@@ -16,27 +16,27 @@ def long_form(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -
     return df.select(*keep, F.inline(F.array(*pairs)))
 
 
-def category_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return long_form(df, columns).groupBy("feature", "category").agg(F.count(F.lit(1)).alias("n"))
+def category_counts(df: DataFrame, columns: Sequence[str], group: Sequence[str] = ()) -> DataFrame:
+    return long_form(df, columns, group).groupBy(*group, "feature", "category").agg(F.count(F.lit(1)).alias("n"))
 
 
-def frequent_categories(counts: DataFrame, max_categories: int) -> DataFrame:
-    """(feature, category, has_infrequent) kept as they are, at most max_categories per feature.
+def frequent_categories(counts: DataFrame, max_categories: int, group: Sequence[str] = ()) -> DataFrame:
+    """(feature, category, has_infrequent) kept as they are, at most max_categories per group and feature.
 
     A feature with more categories keeps the commonest max_categories - 1 and gives its last
     place to the infrequent bucket. The rank filter lets Spark cut each partition to its best
     few before the shuffle, so a column with millions of values stays cheap.
     """
-    commonest = Window.partitionBy("feature").orderBy(F.desc("n"), "category")
+    commonest = Window.partitionBy(*group, "feature").orderBy(F.desc("n"), "category")
     top = counts.withColumn("place", F.row_number().over(commonest)).where(
         F.col("place") <= max_categories + 1
     )
-    distinct = F.count(F.lit(1)).over(Window.partitionBy("feature"))
+    distinct = F.count(F.lit(1)).over(Window.partitionBy(*group, "feature"))
     keep = F.when(F.col("has_infrequent"), max_categories - 1).otherwise(max_categories)
     return (
         top.withColumn("has_infrequent", distinct > max_categories)
         .where(F.col("place") <= keep)
-        .select("feature", "category", "has_infrequent")
+        .select(*group, "feature", "category", "has_infrequent")
     )
 
 

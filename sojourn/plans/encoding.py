@@ -2,20 +2,30 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import math
+from collections.abc import Iterable, Sequence
+from dataclasses import dataclass, replace
+from functools import reduce
 
+import numpy as np
 from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from sojourn.operators import boosting
 from sojourn.operators.categories import INFREQUENT, category_counts, frequent_categories
+from sojourn.operators.joins import broadcast_if_small
+from sojourn.operators.quantiles import percentile_of, with_ranks
 from sojourn.plans.features import CATEGORICAL, NUMERIC
+from sojourn.sources.scratch import materialize
 
-# Fixed value: categories per column, the infrequent bucket included.
-MAX_CATEGORIES = 40
-# Below every real value, so a tree can split the missing rows off.
+# Categories per column, the infrequent bucket included; bins of a number; the code of a category
+# that training did not have.
+MAX_CATEGORIES, MAX_BINS, UNKNOWN = 40, 255, -1
+# What stands in a vector where there is no number.
 MISSING = -1.0
-VECTOR = "inputs"
+VECTOR, FIT = "inputs", boosting.FITS
 
 
 @dataclass(frozen=True)
@@ -53,26 +63,127 @@ class Categories:
         return indexed.drop(*[f"{c}_grouped" for c in CATEGORICAL])
 
 
+@dataclass(frozen=True)
+class Numbers:
+    """What one training window says about one number."""
+
+    rows: int
+    gaps: int
+    median: float
+    mean: float
+    sd: float
+    edges: list[float]
+
+
+def number_summaries(rows: DataFrame, group: Sequence[str] = ()) -> dict[tuple, Numbers]:
+    """By (*group, number): rows, missing rows, median, mean and deviation with the median in the gaps, and the upper
+    edges of at most MAX_BINS bins of about equal size. Read off the distinct values, which are counted first."""
+    long = rows.select(*group, F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("value")) for c in NUMERIC])))
+    by = [*group, "feature"]
+    counted = materialize(long.groupBy(*by, "value").agg(F.count(F.lit(1)).alias("n")), "number-counts")
+    ranked = with_ranks(counted.where("value is not null"), by, "value")
+    members = W.partitionBy(*by)
+    place = F.row_number().over(members.orderBy("value"))
+    by_rank = F.floor((F.col("_upto") - 1) * MAX_BINS / F.col("_total"))
+    few = F.count(F.lit(1)).over(members) <= MAX_BINS
+    binned = ranked.withColumn("bin", F.when(few, place).otherwise(by_rank)).groupBy(*by, "bin").agg(F.max("value").alias("edge"))
+    edges = binned.groupBy(*by).agg(F.sort_array(F.collect_list("edge")).alias("edges"))
+    medians = ranked.groupBy(*by).agg(percentile_of("value", 0.5).alias("median"))
+    known = medians.join(edges, by)
+    filled = counted.join(F.broadcast(medians), by, "left").withColumn("shift", F.coalesce(F.col("value") - F.col("median"), F.lit(0.0)))
+    moments = filled.groupBy(*by).agg(
+        F.sum("n").alias("rows"),
+        F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("gaps"),
+        F.sum(F.col("n") * F.col("shift")).alias("first"),
+        F.sum(F.col("n") * F.col("shift") * F.col("shift")).alias("second"),
+    )
+    out = {}
+    for r in moments.join(known, by, "left").collect():
+        n, median = r["rows"], r["median"] or 0.0
+        mean = r["first"] / n
+        sd = math.sqrt(max(r["second"] / n - mean * mean, 0.0))
+        out[tuple(r[c] for c in by)] = Numbers(n, r["gaps"], median, median + mean, sd, (r["edges"] or [])[:-1])
+    return out
+
+
 @dataclass(frozen=True)
 class TreeEncoder:
-    """Category indexes and numbers as they are; missing numbers get a mark and a flag."""
+    """Ordinal codes and binned numbers of any number of fits.
 
-    categories: Categories
+    A category that training had gets its place among the kept ones, or the place after the last if it
+    was infrequent; one that training did not have, and a missing one, gets UNKNOWN. All that is kept per fit
+    but `seen`, the categories of training, is bounded.
+    """
+
+    kept: dict[str, dict[str, list[str]]]
+    bucketed: dict[str, frozenset[str]]
+    edges: dict[str, dict[str, list[float]]]
+    seen: DataFrame
 
     @classmethod
-    def fit(cls, train: DataFrame) -> TreeEncoder:
-        return cls(Categories.fit(train))
+    def fit(cls, train: DataFrame, fit: str = "") -> TreeEncoder:
+        return cls.fit_all(train.withColumn(FIT, F.lit(fit)), [fit])
+
+    @classmethod
+    def fit_all(cls, rows: DataFrame, fits: Iterable[str]) -> TreeEncoder:
+        """From rows that name the fit they train."""
+        seen = materialize(category_counts(rows, CATEGORICAL, [FIT]), "categories-seen")
+        found = frequent_categories(seen, MAX_CATEGORIES, [FIT]).collect()
+        kept = {f: {c: [] for c in CATEGORICAL} for f in fits}
+        bucketed: dict[str, set[str]] = {f: set() for f in fits}
+        for r in found:
+            if r["category"] is not None:
+                kept[r[FIT]][r["feature"]].append(r["category"])
+            if r["has_infrequent"]:
+                bucketed[r[FIT]].add(r["feature"])
+        numbers = number_summaries(rows, [FIT])
+        edges = {f: {c: numbers[(f, c)].edges if (f, c) in numbers else [] for c in NUMERIC} for f in fits}
+        ordered = {f: {c: sorted(names) for c, names in of.items()} for f, of in kept.items()}
+        return cls(ordered, {f: frozenset(b) for f, b in bucketed.items()}, edges, seen)
+
+    def codes(self, df: DataFrame) -> DataFrame:
+        """Adds <column>_code for every category column of rows that name their fit."""
+        spark, columns = df.sparkSession, [f"{c}_codes map<string,int>" for c in CATEGORICAL]
+        # One row per fit, with at most MAX_CATEGORIES names per column.
+        maps = [(f, *[{x: i for i, x in enumerate(of[c])} for c in CATEGORICAL]) for f, of in self.kept.items()]
+        out = df.join(F.broadcast(spark.createDataFrame(maps, f"{FIT} string, {', '.join(columns)}")), FIT, "left")
+        known = broadcast_if_small(self.seen)
+        for c in CATEGORICAL:
+            code = F.try_element_at(F.col(f"{c}_codes"), F.col(c))
+            places = {f: len(self.kept[f][c]) for f, some in self.bucketed.items() if c in some}
+            if places:
+                trained = known.where(F.col("feature") == c).select(FIT, F.col("category").alias(c), F.lit(True).alias(f"{c}_seen"))
+                place = reduce(lambda w, f: w.when(F.col(FIT) == f, F.lit(places[f])), places, F.when(F.lit(False), F.lit(0)))
+                out = out.join(trained, [FIT, c], "left")
+                code = F.coalesce(code, F.when(F.col(f"{c}_seen"), place))
+            out = out.withColumn(f"{c}_code", F.coalesce(code, F.lit(UNKNOWN))).drop(f"{c}_seen")
+        return out.drop(*[f"{c}_codes" for c in CATEGORICAL])
 
     def transform(self, df: DataFrame) -> DataFrame:
-        indexed = self.categories.index(df).withColumns(
-            {
-                **{f"{c}_filled": F.coalesce(F.col(c), F.lit(MISSING)) for c in NUMERIC},
-                **{f"{c}_missing": F.col(c).isNull().cast("double") for c in NUMERIC},
-            }
-        )
-        parts = [f"{c}_index" for c in CATEGORICAL]
-        parts += [f"{c}_{kind}" for kind in ("filled", "missing") for c in NUMERIC]
-        return VectorAssembler(inputCols=parts, outputCol=VECTOR).transform(indexed)
+        """Adds inputs: codes, numbers (MISSING where there is none) and flags of the missing ones."""
+        named = df if FIT in df.columns else df.withColumn(FIT, F.lit(next(iter(self.kept))))
+        parts = [F.col(f"{c}_code").cast("double") for c in CATEGORICAL]
+        parts += [F.coalesce(F.col(c), F.lit(MISSING)) for c in NUMERIC]
+        parts += [F.col(c).isNull().cast("double") for c in NUMERIC]
+        return self.codes(named).select(*named.columns, F.array(*parts).alias(VECTOR))
+
+    def bins(self, fits: list[str], inputs: np.ndarray) -> np.ndarray:
+        """One byte per column for rows of `inputs`; what is unknown or missing gets the bin for that."""
+        codes, numbers = len(CATEGORICAL), len(NUMERIC)
+        out = np.full((len(inputs), codes + numbers), boosting.MISSING, np.uint8)
+        known = inputs[:, :codes] >= 0
+        out[:, :codes][known] = inputs[:, :codes][known]
+        named = np.array(fits, object)
+        for f in set(fits):
+            rows = np.flatnonzero(named == f)
+            for k, c in enumerate(NUMERIC, codes):
+                there = rows[inputs[rows, k + numbers] == 0]
+                out[there, k] = np.searchsorted(self.edges[f][c], inputs[there, k])
+        return out
+
+    def detached(self) -> TreeEncoder:
+        """Without the table, to be sent to tasks."""
+        return replace(self, seen=None)
 
 
 @dataclass(frozen=True)
@@ -86,18 +197,13 @@ class LinearEncoder:
 
     @classmethod
     def fit(cls, train: DataFrame) -> LinearEncoder:
-        stats = train.agg(
-            *[F.median(c).alias(f"{c}_median") for c in NUMERIC],
-            *[F.count_if(F.col(c).isNull()).alias(f"{c}_gaps") for c in NUMERIC],
-        ).first()
-        medians = {c: stats[f"{c}_median"] or 0.0 for c in NUMERIC}
-        flagged = [c for c in NUMERIC if stats[f"{c}_gaps"]]
-        numbers = cls._numbers(medians, flagged)
-        spread = train.agg(
-            *[F.avg(v).alias(f"{name}_mean") for name, v in numbers.items()],
-            *[F.stddev_pop(v).alias(f"{name}_sd") for name, v in numbers.items()],
-        ).first()
-        scales = {name: (spread[f"{name}_mean"], spread[f"{name}_sd"] or 1.0) for name in numbers}
+        found = {c: n for (c,), n in number_summaries(train).items()}
+        medians = {c: found[c].median if c in found else 0.0 for c in NUMERIC}
+        flagged = [c for c in NUMERIC if c in found and found[c].gaps]
+        scales = {f"{c}_value": (found[c].mean, found[c].sd or 1.0) if c in found else (0.0, 1.0) for c in NUMERIC}
+        for c in flagged:
+            share = found[c].gaps / found[c].rows
+            scales[f"{c}_missing"] = (share, math.sqrt(share * (1.0 - share)) or 1.0)
         return cls(Categories.fit(train), medians, flagged, scales)
 
     @staticmethod

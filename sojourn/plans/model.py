@@ -2,21 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Iterable, Mapping
 from dataclasses import asdict, dataclass
+from datetime import datetime
 
-from pyspark import SparkContext
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
-from pyspark.ml.feature import VectorAssembler
+import pyarrow as pa
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sojourn.functions.numbers import logit, recalibrated, sigmoid
-from sojourn.plans.encoding import MAX_CATEGORIES, VECTOR, LinearEncoder, TreeEncoder
-from sojourn.plans.features import FEATURES, LONG_STAY_DAYS
+from sojourn.operators import boosting
+from sojourn.operators.boosting import Boosted, BoostSettings, stopping_round  # noqa: F401 - the rule is part of the model
+from sojourn.plans.encoding import FIT, MAX_BINS, MAX_CATEGORIES, VECTOR, LinearEncoder, TreeEncoder
+from sojourn.plans.features import CATEGORICAL, FEATURES, LONG_STAY_DAYS, NUMERIC
 from sojourn.plans.staging import KEY
-from sojourn.plans.windows import TRAIN_YEARS, Window, within
+from sojourn.plans.windows import TRAIN_YEARS, Window
 from sojourn.sources.scratch import materialize
 from sojourn.sources.tables import model_version
 
@@ -25,49 +28,94 @@ ALL, EXCLUDING_SNR = "all", "excluding_snr"
 # Fixed value: the transfer programme whose animals leave within days by design.
 SNR = "Snr"
 SHIFT_BOUND = 20.0
-# Rounds of the first attempt at boosting; each further attempt doubles them.
-FIRST_ROUNDS = 50
 
 
 @dataclass(frozen=True)
 class ModelConfig:
-    """Learner settings. Spark grows trees level by level, so a depth bounds their size."""
+    """Learner settings."""
 
     max_iter: int = 400
     step_size: float = 0.05
-    max_depth: int = 5
+    max_leaves: int = 31
+    max_depth: int | None = None
     min_rows_per_node: int = 40
-    max_bins: int = 64
+    leaf_l2: float = 1.0
     validation_share: int = 10
     logistic_iter: int = 2000
     logistic_c: float = 0.5
     calibration_c: float = 100.0
+    importance_rows: int = 15_000
     importance_repeats: int = 5
     patience: int = 25
     concurrent_fits: int = 6
-    training_partitions: int = 4
+    rows_in_task: int = 1_000_000
     seed: int = 20261005
 
     def version(self) -> str:
-        """Changes with whatever can change a score. The number of training partitions is such a
-        setting: split points come from rows sampled per partition."""
-        settings = {k: v for k, v in asdict(self).items() if k != "concurrent_fits"} | {
+        """Changes with whatever can change a score. How rows and fits are spread cannot."""
+        settings = {k: v for k, v in asdict(self).items() if k not in ("concurrent_fits", "rows_in_task")} | {
             "features": FEATURES,
             "long_stay_days": LONG_STAY_DAYS,
             "train_years": TRAIN_YEARS,
             "max_categories": MAX_CATEGORIES,
+            "max_bins": MAX_BINS,
         }
         return model_version(settings)
 
-
-def _probability() -> Column:
-    return vector_to_array("probability")[1]
+    def boosting(self) -> BoostSettings:
+        return BoostSettings(
+            rounds=self.max_iter, step=self.step_size, leaves=self.max_leaves, depth=self.max_depth,
+            least_rows=self.min_rows_per_node, l2=self.leaf_l2, patience=self.patience,
+            nominal=tuple(range(len(CATEGORICAL))), rows_in_task=self.rows_in_task,
+        )
 
 
 def _labelled(df: DataFrame) -> DataFrame:
     return df.withColumn("label", F.col(LABEL_COLUMN).cast("double"))
 
 
+@dataclass(frozen=True)
+class BoostedFits:
+    """Boosted models by the name of their fit, their common encoder, and corrections on the log-odds."""
+
+    encoder: TreeEncoder
+    models: Mapping[str, Boosted]
+    corrections: Mapping[str, tuple[float, float]]
+
+    def score(self, rows: DataFrame) -> DataFrame:
+        """Adds p to rows that name their fit. Write the result before ranking it."""
+        encoder, models = self.encoder.detached(), dict(self.models)
+
+        @F.arrow_udf("double")
+        def margin(fits: pa.Array, inputs: pa.Array) -> pa.Array:
+            named = fits.to_pylist()
+            width = len(CATEGORICAL) + 2 * len(NUMERIC)
+            bins = encoder.bins(named, inputs.flatten().to_numpy().reshape(len(named), width))
+            out = [0.0] * len(named)
+            for f in set(named):
+                at = [i for i, x in enumerate(named) if x == f]
+                for i, m in zip(at, models[f].margins(bins[at]).tolist(), strict=True):
+                    out[i] = m
+            return pa.array(out, pa.float64())
+
+        p = sigmoid(margin(F.col(FIT), F.col(VECTOR)))
+        scored = self.encoder.transform(rows).withColumn("p", p)
+        if self.corrections:
+            # A handful of fits.
+            chosen = F.col("p")
+            for f, (slope, intercept) in self.corrections.items():
+                chosen = F.when(F.col(FIT) == f, recalibrated(F.col("p"), slope, intercept)).otherwise(chosen)
+            scored = scored.withColumn("p", chosen)
+        return scored.select(*rows.columns, "p")
+
+    def one(self, fit: str) -> Scorer:
+        slope, intercept = self.corrections.get(fit, (None, None))
+        return Scorer(self.encoder, self.models[fit], slope, intercept, fit)
+
+    def base(self) -> BoostedFits:
+        return BoostedFits(self.encoder, self.models, {})
+
+
 @dataclass(frozen=True)
 class Scorer:
     """An encoder, a fitted learner and an optional correction on the log-odds."""
@@ -76,17 +124,19 @@ class Scorer:
     learner: object
     slope: float | None = None
     intercept: float | None = None
+    fit: str = ""
 
     def score(self, rows: DataFrame) -> DataFrame:
         """Adds p, the probability of a long stay. Write the result before ranking it."""
+        if isinstance(self.learner, Boosted):
+            corrections = {} if self.slope is None else {self.fit: (self.slope, self.intercept)}
+            fits = BoostedFits(self.encoder, {self.fit: self.learner}, corrections)
+            return fits.score(rows.withColumn(FIT, F.lit(self.fit))).select(*rows.columns, "p")
         scored = self.learner.transform(self.encoder.transform(rows))
-        p = _probability()
-        if self.slope is not None:
-            p = recalibrated(p, self.slope, self.intercept)
-        return scored.select(*rows.columns, p.alias("p"))
+        return scored.select(*rows.columns, vector_to_array("probability")[1].alias("p"))
 
     def base(self) -> Scorer:
-        return Scorer(self.encoder, self.learner)
+        return Scorer(self.encoder, self.learner, fit=self.fit)
 
 
 def fit_baseline(train: DataFrame, config: ModelConfig) -> Scorer:
@@ -99,76 +149,63 @@ def fit_baseline(train: DataFrame, config: ModelConfig) -> Scorer:
         elasticNetParam=0.0,
         standardization=False,
         maxIter=config.logistic_iter,
+        tol=1e-9,
     )
     return Scorer(encoder, learner.fit(_labelled(encoder.transform(train)).select(VECTOR, "label")))
 
 
-def _laid_out(rows: DataFrame, config: ModelConfig) -> DataFrame:
-    """Rows dealt by key into a set number of partitions and ordered there, however they came."""
-    return rows.repartition(config.training_partitions, KEY).sortWithinPartitions(KEY)
-
-
-def stopping_round(losses: Sequence[float], patience: int) -> tuple[int, bool]:
-    """(best round, whether `patience` rounds without a better one followed it), counting from 1."""
-    best = 0
-    for k, loss in enumerate(losses):
-        if loss < losses[best]:
-            best = k
-        elif k - best >= patience:
-            return best + 1, True
-    return best + 1, False
-
-
-def _truncated(learner: GBTClassificationModel, rounds: int) -> GBTClassificationModel:
-    """The ensemble of the first `rounds` trees."""
-    jvm, java = SparkContext.getOrCreate()._gateway, learner._java_obj
-    trees = jvm.new_array(jvm.jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, rounds)
-    weights = jvm.new_array(jvm.jvm.double, rounds)
-    for k, (tree, weight) in enumerate(zip(java.trees(), java.treeWeights(), strict=True)):
-        if k < rounds:
-            trees[k], weights[k] = tree, weight
-    model = jvm.jvm.org.apache.spark.ml.classification.GBTClassificationModel(
-        java.uid(), trees, weights, java.numFeatures(), java.numClasses()
+Span = tuple[datetime, datetime]
+
+
+def rows_of_fits(rows: DataFrame, spans: Mapping[str, Span]) -> DataFrame:
+    """Every row once for each fit whose half-open span holds its intake_at, with the fit's name.
+
+    An equi-join on the month with one row for each month a span touches.
+    """
+    months = []
+    for fit, (start, end) in spans.items():
+        first, last = start.year * 12 + start.month, end.year * 12 + end.month
+        months += [(fit, m, start, end) for m in range(first, last + 1)]
+    spark = rows.sparkSession
+    touched = spark.createDataFrame(months, f"{FIT} string, month_number int, span_start timestamp_ntz, span_end timestamp_ntz")
+    month_number = F.year("intake_at") * 12 + F.month("intake_at")
+    return (
+        rows.withColumn("month_number", month_number)
+        .join(F.broadcast(touched), "month_number")
+        .where((F.col("intake_at") >= F.col("span_start")) & (F.col("intake_at") < F.col("span_end")))
+        .drop("month_number", "span_start", "span_end")
     )
-    return GBTClassificationModel(model).setFeaturesCol(VECTOR)
 
 
-def fit_boosted(train: DataFrame, config: ModelConfig) -> Scorer:
-    """Boosted trees up to the round of least loss on a held-back tenth of the rows.
+def fit_all_boosted(rows: DataFrame, fits: Iterable[str], config: ModelConfig) -> BoostedFits:
+    """One model for each fit that rows name; all are encoded and grown together.
 
-    Rounds stop once `patience` of them in a row are no better. The tenth is chosen by a hash of
-    the key, and the rows are laid out by key: the same trees on every run and any partitioning.
-    The same seed gives the same first trees whatever the number of rounds, so a longer attempt
-    only goes on where a shorter one ended.
+    A tenth of a fit's rows is held back by a hash of the key and tells when to stop.
     """
-    encoder = TreeEncoder.fit(train)
+    encoder = TreeEncoder.fit_all(rows, fits)
+    detached = encoder.detached()
+
+    @F.arrow_udf("binary")
+    def bins(names: pa.Array, inputs: pa.Array) -> pa.Array:
+        named = names.to_pylist()
+        width = len(CATEGORICAL) + 2 * len(NUMERIC)
+        packed = detached.bins(named, inputs.flatten().to_numpy().reshape(len(named), width))
+        return pa.array([row.tobytes() for row in packed], pa.binary())
+
     held_back = F.pmod(F.xxhash64(F.col(KEY), F.lit(config.seed)), F.lit(config.validation_share)) == 0
-    rows = _laid_out(
-        _labelled(encoder.transform(train)).select(KEY, VECTOR, "label", held_back.alias("is_validation")), config
+    binned = encoder.transform(rows).select(
+        FIT, F.col(LABEL_COLUMN).cast("double").alias("y"), held_back.alias("held_back"), bins(F.col(FIT), F.col(VECTOR)).alias("bins")
     )
-    # Every tree level reads the rows again; kept encoded, they spill to disk if they must.
-    rows.persist()
-    try:
-        fitted, judged = rows.where("not is_validation"), rows.where("is_validation")
-        rounds, judge = min(FIRST_ROUNDS, config.max_iter), not judged.isEmpty()
-        while True:
-            learner = GBTClassifier(
-                featuresCol=VECTOR,
-                maxIter=rounds if judge else config.max_iter,
-                stepSize=config.step_size,
-                maxDepth=config.max_depth,
-                minInstancesPerNode=config.min_rows_per_node,
-                maxBins=config.max_bins,
-                seed=config.seed,
-            ).fit(fitted)
-            if not judge:
-                return Scorer(encoder, learner)
-            best, settled = stopping_round(learner.evaluateEachIteration(judged), config.patience)
-            if settled or rounds >= config.max_iter:
-                return Scorer(encoder, _truncated(learner, best))
-            rounds = min(2 * rounds, config.max_iter)
-    finally:
-        rows.unpersist()
+    grown = boosting.grow_models(
+        materialize(binned, "binned-rows"), len(CATEGORICAL) + len(NUMERIC), config.boosting(), config.concurrent_fits
+    )
+    missing = {f: Boosted(math.log(1e-6), []) for f in fits if f not in grown}
+    return BoostedFits(encoder, grown | missing, {})
+
+
+def fit_boosted(train: DataFrame, config: ModelConfig) -> Scorer:
+    """Boosted trees up to the round of least loss on a held-back tenth of the rows."""
+    return fit_all_boosted(train.withColumn(FIT, F.lit("")), [""], config).one("")
 
 
 def level_shift(log_odds: DataFrame, tolerance: float = 1e-10, max_steps: int = 100) -> float:
@@ -194,28 +231,90 @@ def level_shift(log_odds: DataFrame, tolerance: float = 1e-10, max_steps: int =
     return shift
 
 
-def fit_recalibrated(features: DataFrame, window: Window, config: ModelConfig) -> Scorer:
-    """Fit on the window before calibration_start, correct on the rest, see nothing after it."""
-    base = fit_boosted(features.where(within(window.train_start, window.calibration_start)), config)
-    recent = features.where(within(window.calibration_start, window.train_end))
-    log_odds = materialize(
-        base.score(recent).select(logit(F.col("p")).alias("z"), F.col(LABEL_COLUMN).alias("y")), "log-odds"
-    )
-    spread = log_odds.agg(F.min("y").alias("least"), F.max("y").alias("most"), F.count("y").alias("n")).first()
-    slope, intercept = 1.0, 0.0
-    if spread["n"] and spread["least"] != spread["most"]:
-        inputs = VectorAssembler(inputCols=["z"], outputCol=VECTOR).transform(log_odds)
-        platt = LogisticRegression(
-            featuresCol=VECTOR,
-            regParam=1.0 / (config.calibration_c * spread["n"]),
-            elasticNetParam=0.0,
-            standardization=False,
-        ).fit(inputs.select(VECTOR, F.col("y").cast("double").alias("label")))
-        slope, intercept = float(platt.coefficients[0]), float(platt.intercept)
+def platt(log_odds: DataFrame, c: float, tolerance: float = 1e-10, max_steps: int = 100) -> dict[str, tuple[float, float]]:
+    """By fit, (slope, intercept) of the least ridge-penalised log-loss over a stored (fit, z, y) table.
+
+    The penalty is slope^2 / (2 c) against the sum over rows. Newton steps from zero, halved where the loss does not
+    fall; a step is one aggregate of six sums for all fits. One class only gives the identity, and so does no
+    row; a slope that is not positive gives slope one and the level that matches the mean.
+    """
+    spread = log_odds.groupBy(FIT).agg(F.min("y").alias("least"), F.max("y").alias("most")).collect()
+    at = {r[FIT]: (0.0, 0.0) for r in spread if r["least"] != r["most"]}
+    found, best = {r[FIT]: (1.0, 0.0) for r in spread}, {}
+    for _ in range(max_steps):
+        if not at:
+            break
+        sums = {r[FIT]: r for r in _newton_sums(log_odds, at).collect()}
+        for fit, (slope, intercept) in list(at.items()):
+            r = sums[fit]
+            loss = r["loss"] + slope * slope / (2 * c)
+            if fit in best and loss > best[fit][0] + 1e-12 * abs(best[fit][0]):
+                kept = best[fit][1]
+                at[fit] = tuple((x + k) / 2 for x, k in zip((slope, intercept), kept, strict=True))
+                moved = max(abs(x - k) for x, k in zip(at[fit], kept, strict=True))
+                if moved < tolerance:
+                    found[fit] = kept
+                    del at[fit]
+                continue
+            best[fit] = (loss, (slope, intercept))
+            g1, g0 = r["gz"] + slope / c, r["g"]
+            h11, h01, h00 = r["wzz"] + 1 / c, r["wz"], r["w"]
+            det = h11 * h00 - h01 * h01
+            if det <= 0:
+                found[fit] = (slope, intercept)
+                del at[fit]
+                continue
+            d1, d0 = (h00 * g1 - h01 * g0) / det, (h11 * g0 - h01 * g1) / det
+            at[fit] = (slope - d1, intercept - d0)
+            if max(abs(d1), abs(d0)) < tolerance:
+                found[fit] = at.pop(fit)
+    found |= at
+    for fit, (slope, _) in found.items():
         if slope <= 0:
             # Scores that do not rise with the label: keep their order, match the mean.
-            slope, intercept = 1.0, level_shift(log_odds)
-    return Scorer(base.encoder, base.learner, slope, intercept)
+            found[fit] = (1.0, level_shift(log_odds.where(F.col(FIT) == fit)))
+    return found
+
+
+def _newton_sums(log_odds: DataFrame, at: Mapping[str, tuple[float, float]]) -> DataFrame:
+    """Loss, gradient and curvature of every fit at its (slope, intercept)."""
+    here = log_odds.sparkSession.createDataFrame([(f, *x) for f, x in at.items()], f"{FIT} string, slope double, intercept double")
+    margin = F.col("slope") * F.col("z") + F.col("intercept")
+    rows = log_odds.join(F.broadcast(here), FIT).withColumn("margin", margin).withColumn("s", sigmoid(F.col("margin")))
+    w, gap = F.col("s") * (F.lit(1.0) - F.col("s")), F.col("s") - F.col("y")
+    # log(1 + e^m) - y m, without overflow.
+    loss = F.greatest(F.col("margin"), F.lit(0.0)) + F.log1p(F.exp(-F.abs("margin"))) - F.col("y") * F.col("margin")
+    return rows.groupBy(FIT).agg(
+        F.sum(loss).alias("loss"), F.sum(gap).alias("g"), F.sum(gap * F.col("z")).alias("gz"),
+        F.sum(w).alias("w"), F.sum(w * F.col("z")).alias("wz"), F.sum(w * F.col("z") * F.col("z")).alias("wzz"),
+    )
+
+
+def recalibrate(fits: BoostedFits, features: DataFrame, recent: Mapping[str, Span], config: ModelConfig) -> BoostedFits:
+    """Corrections from labelled rows of each fit's recent span; other fits have none."""
+    scored = fits.base().score(rows_of_fits(features, recent))
+    log_odds = materialize(
+        scored.select(FIT, logit(F.col("p")).alias("z"), F.col(LABEL_COLUMN).cast("double").alias("y")), "log-odds"
+    )
+    identity = dict.fromkeys(recent, (1.0, 0.0))
+    return BoostedFits(fits.encoder, fits.models, identity | platt(log_odds, config.calibration_c))
+
+
+def fit_windows(
+    features: DataFrame, recalibrated_on: Mapping[str, Window], plain: Mapping[str, Span], config: ModelConfig
+) -> BoostedFits:
+    """All fits at once. Those on windows learn from before calibration_start, are corrected on the rest
+    and see nothing after it; the plain ones learn from their whole span."""
+    spans = dict(plain) | {f: (w.train_start, w.calibration_start) for f, w in recalibrated_on.items()}
+    fits = fit_all_boosted(rows_of_fits(features, spans), list(spans), config)
+    if not recalibrated_on:
+        return fits
+    return recalibrate(fits, features, {f: (w.calibration_start, w.train_end) for f, w in recalibrated_on.items()}, config)
+
+
+def fit_recalibrated(features: DataFrame, window: Window, config: ModelConfig) -> Scorer:
+    """Fit on the window before calibration_start, correct on the rest, see nothing after it."""
+    return fit_windows(features, {"": window}, {}, config).one("")
 
 
 def with_sensitivity_slice(scored: DataFrame) -> DataFrame:

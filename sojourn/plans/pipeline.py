@@ -68,10 +68,16 @@ def publish_warehouse(raw_starts: DataFrame, raw_ends: DataFrame, root: str) ->
 
 
 def publish_model(
-    fact: DataFrame, root: str, config: ModelConfig = ModelConfig(), expect_no_signal: bool = False
+    fact: DataFrame,
+    root: str,
+    config: ModelConfig = ModelConfig(),
+    expect_no_signal: bool = False,
+    models: str | None = None,
 ) -> tuple[dict[str, DataFrame], list[str]]:
     """Train on a stored fact, store the six model tables aside, check them, publish them.
 
+    With a `models` folder fits are stored there, and those that are there are not made again.
+
     With `expect_no_signal` (labels known to be random) a model that finds signal is a failure too.
     """
 
@@ -86,4 +92,4 @@ def publish_model(
             no_signal_gate(tables["model_evaluation"])
         return warnings
 
-    return publish(run_model(fact, config), root, checked)
+    return publish(run_model(fact, config, models) if models else run_model(fact, config), root, checked)

@@ -16,18 +16,24 @@ from sojourn.functions.time import ntz
 from sojourn.operators import metrics
 from sojourn.operators.ranking import positions
 from sojourn.plans import drift, features, windows
+from sojourn.plans.encoding import FIT
 from sojourn.plans.model import (
     ALL,
     EXCLUDING_SNR,
     LABEL_COLUMN,
+    BoostedFits,
     ModelConfig,
     Scorer,
+    Span,
     fit_baseline,
     fit_boosted,
     fit_recalibrated,
+    fit_windows,
     risk_band,
+    rows_of_fits,
     with_sensitivity_slice,
 )
+from sojourn.plans.model_store import ModelStore
 from sojourn.plans.staging import ENTITY, KEY
 from sojourn.plans.windows import Window, within
 from sojourn.sources.scratch import materialize
@@ -158,32 +164,45 @@ def in_parallel(spark: SparkSession, jobs: dict, config: ModelConfig) -> dict:
         return dict(zip(jobs, pool.map(lambda job: inherit(job)(), jobs.values())))
 
 
+def importance_sample(test: DataFrame, config: ModelConfig) -> DataFrame:
+    """The importance_rows rows of least md5 of seed and key (all if there are fewer), with their place
+    in that order. The bound makes the one window over them small."""
+    draw = F.md5(F.concat_ws(":", F.lit(str(config.seed)), F.col(KEY)).cast("binary"))
+    drawn = test.withColumn("draw", draw).orderBy("draw", KEY).limit(config.importance_rows)
+    stored = materialize(drawn, "importance-sample")
+    return stored.withColumn("place", F.row_number().over(W.orderBy("draw", KEY))).drop("draw")
+
+
+def importance_donors(sample: DataFrame, config: ModelConfig) -> DataFrame:
+    """(repeat, place, donor): for every repeat, whose values the row at a place gets: the sample in another order."""
+    repeats = F.explode(F.sequence(F.lit(1), F.lit(config.importance_repeats)))
+    again = sample.select(F.col(KEY).alias("donor"), repeats.alias("repeat"))
+    draw = F.md5(F.concat_ws(":", F.lit(str(config.seed)), F.col("repeat").cast("string"), F.col("donor")).cast("binary"))
+    order = W.partitionBy("repeat").orderBy(draw, "donor")
+    return again.withColumn("place", F.row_number().over(order))
+
+
 def permutation_importance(holdout: Holdout, inputs: Inputs, config: ModelConfig) -> DataFrame:
-    """AUC lost when one raw column is shuffled, over the whole holdout.
+    """AUC lost when one raw column is shuffled, over a sample of the holdout.
 
-    Row r of a repeat gets its value from the row that comes r-th in a second seeded order; both
-    orders are numbered chunk by chunk. All features and repeats are scored and ranked together.
+    The row at each place of the sample gets its value from the row that a second seeded order has
+    there. All features and repeats are scored and ranked together: features x repeats + 1 copies of the sample.
     """
     window = holdout.window
     test = inputs.labelled.where(within(window.score_start, window.score_end))
-    drawn = test.withColumn("draw", F.xxhash64(F.col(KEY), F.lit(config.seed)))
-    placed = positions(drawn, [], ["draw", KEY], "place", label="importance-rows").drop("draw")
-    repeats = F.explode(F.sequence(F.lit(1), F.lit(config.importance_repeats)))
-    redrawn = placed.drop("place").withColumn("repeat", repeats)
-    redrawn = redrawn.withColumn("draw", F.xxhash64(F.col(KEY), F.col("repeat"), F.lit(config.seed)))
-    donors = positions(redrawn, ["repeat"], ["draw", KEY], "place", label="importance-donors").select(
-        "repeat", "place", F.struct(*features.FEATURES).alias("donor")
-    )
+    placed = materialize(importance_sample(test, config), "importance-rows")
+    values = placed.select(F.col(KEY).alias("donor"), F.struct(*features.FEATURES).alias("given"))
+    donors = importance_donors(placed, config).join(values, "donor").drop("donor")
     shuffled = (
         placed.join(donors, "place")
         .withColumn("feature", F.explode(F.array(*[F.lit(f) for f in features.FEATURES])))
         .withColumns(
             {
-                f: F.when(F.col("feature") == f, F.col(f"donor.{f}")).otherwise(F.col(f))
+                f: F.when(F.col("feature") == f, F.col(f"given.{f}")).otherwise(F.col(f))
                 for f in features.FEATURES
             }
         )
-        .drop("donor")
+        .drop("given")
     )
     intact = placed.withColumns({"repeat": F.lit(0), "feature": F.lit("")})
     rows = intact.unionByName(shuffled).withColumnRenamed("feature", "shuffled_feature")
@@ -208,60 +227,77 @@ def permutation_importance(holdout: Holdout, inputs: Inputs, config: ModelConfig
     )
 
 
-def usable_months(inputs: Inputs, calendar: list[Window]) -> dict[Window, int]:
-    """Training rows of each month that has rows to score and both classes to learn from.
+def backtest_rows(labelled: DataFrame, calendar: list[Window]) -> DataFrame:
+    """What each backtest month has to learn from and to score: train, calibration and test rows, training
+    classes, and whether the month is usable (rows to score and both classes). One row per month.
 
-    One pass with a few conditional sums per window.
+    Every row is joined to the months whose windows hold it, by calendar month; nothing is counted per window.
     """
-    counts = []
-    for i, w in enumerate(calendar):
-        train, test = within(w.train_start, w.train_end), within(w.score_start, w.score_end)
-        counts += [
-            F.count_if(train).alias(f"rows{i}"),
-            F.count_if(train & (F.col(LABEL_COLUMN) == 1)).alias(f"long{i}"),
-            F.count_if(test).alias(f"test{i}"),
-        ]
-    row = inputs.labelled.agg(*counts).first()
-    return {
-        w: row[f"rows{i}"]
-        for i, w in enumerate(calendar)
-        if row[f"test{i}"] and 0 < row[f"long{i}"] < row[f"rows{i}"]
-    }
+    names = {str(i): w for i, w in enumerate(calendar)}
+    spans = {f"{i} train": (w.train_start, w.train_end) for i, w in names.items()}
+    spans |= {f"{i} calibration": (w.calibration_start, w.train_end) for i, w in names.items()}
+    spans |= {f"{i} test": (w.score_start, w.score_end) for i, w in names.items()}
+    held = rows_of_fits(labelled.select("intake_at", LABEL_COLUMN), spans)
+    parts = held.select(F.split(FIT, " ")[0].alias("at"), F.split(FIT, " ")[1].alias("part"), LABEL_COLUMN)
+    counts = parts.groupBy("at").agg(
+        *[F.count_if(F.col("part") == p).alias(f"{p}_rows") for p in ("train", "calibration", "test")],
+        F.count_distinct(F.when(F.col("part") == "train", F.col(LABEL_COLUMN))).alias("classes"),
+    )
+    months = labelled.sparkSession.createDataFrame(
+        [(i, w.score_start) for i, w in names.items()], "at string, intake_month timestamp_ntz"
+    )
+    zero = F.lit(0).cast("long")
+    counted = ["train_rows", "calibration_rows", "test_rows", "classes"]
+    return (
+        months.join(counts, "at", "left")
+        .select("intake_month", *[F.coalesce(c, zero).alias(c) for c in counted])
+        .withColumn("usable", (F.col("test_rows") > 0) & (F.col("classes") == 2))
+    )
 
 
-def backtest_month(inputs: Inputs, window: Window, config: ModelConfig) -> DataFrame:
-    """One month's rows, scored by the model staff would have had on its first day."""
-    scorer = fit_recalibrated(inputs.labelled, window, config)
-    rows = inputs.labelled.where(within(window.score_start, window.score_end))
-    return _scores(scorer, rows, intake_month=ntz(window.score_start))
+def usable_months(inputs: Inputs, calendar: list[Window]) -> dict[Window, int]:
+    """Training rows of each month that has rows to score and both classes to learn from."""
+    rows = {r["intake_month"]: r for r in backtest_rows(inputs.labelled, calendar).collect()}
+    return {w: rows[w.score_start]["train_rows"] for w in calendar if rows[w.score_start]["usable"]}
+
 
+def backtest_fit(window: Window) -> str:
+    return f"backtest {window.score_start:%Y-%m}"
 
-def monthly_performance(
-    inputs: Inputs, usable: dict[Window, int], month_scores: list[DataFrame]
-) -> tuple[DataFrame, DataFrame]:
-    """(monthly_performance, feature_drift) over all usable months, ranked and measured together."""
-    spark = inputs.labelled.sparkSession
-    calendar = spark.createDataFrame(
+
+def backtest_scores(inputs: Inputs, usable: dict[Window, int], fits: BoostedFits) -> DataFrame:
+    """Rows of all usable months, each scored by the model staff would have had on the month's first day."""
+    months = {backtest_fit(w): w for w in usable}
+    rows = rows_of_fits(inputs.labelled, {f: (w.score_start, w.score_end) for f, w in months.items()})
+    scored = fits.score(rows).select(KEY, F.col(LABEL_COLUMN).alias("y"), "p", F.trunc("intake_at", "month").cast("timestamp_ntz").alias("intake_month"))
+    return materialize(scored, "backtest-scores")
+
+
+def calendar_frame(spark: SparkSession, usable: dict[Window, int]) -> DataFrame:
+    return spark.createDataFrame(
         [(w.score_start, w.score_end, w.train_start, w.calibration_start, w.train_end, n) for w, n in usable.items()],
         "score_start timestamp_ntz, score_end timestamp_ntz, train_start timestamp_ntz, "
         "calibration_start timestamp_ntz, train_end timestamp_ntz, train_rows long",
     )
-    if month_scores:
-        ranked = metrics.rank_scores(reduce(DataFrame.unionByName, month_scores), ["intake_month"], KEY)
+
+
+def monthly_performance(calendar: DataFrame, month_scores: DataFrame | None, shifts: DataFrame) -> DataFrame:
+    """All usable months, ranked and measured together."""
+    spark = calendar.sparkSession
+    if month_scores is not None:
+        ranked = metrics.rank_scores(month_scores, ["intake_month"], KEY)
         measured = metrics.evaluate(ranked, ["intake_month"])
     else:
         measured = spark.createDataFrame(
             [], "intake_month timestamp_ntz, n long, " + ", ".join(f"{c} double" for c in metrics.METRICS[1:])
         )
-    shifts = materialize(drift.feature_drift(inputs.labelled, calendar), "drift")
     windows_by_month = calendar.withColumnRenamed("score_start", "intake_month").drop("score_end")
-    performance = (
+    return (
         drift.month_status(measured)
         .join(F.broadcast(drift.drift_summary(shifts)), "intake_month")
         .join(F.broadcast(windows_by_month), "intake_month")
         .select(*PERFORMANCE_COLUMNS)
     )
-    return performance, shifts
 
 
 def score_open(holdout: Holdout, inputs: Inputs, final: Scorer) -> DataFrame:
@@ -282,34 +318,128 @@ def score_open(holdout: Holdout, inputs: Inputs, final: Scorer) -> DataFrame:
     )
 
 
-def run_model(fact: DataFrame, config: ModelConfig = ModelConfig()) -> dict[str, DataFrame]:
+HOLDOUT, HOLDOUT_PLAIN, FINAL = "holdout", "holdout plain", "final"
+
+
+class ModelRun:
+    """The six model tables of a stored episode fact, each made when it is asked for from the fits it needs.
+
+    Fits that are asked for together are grown together. With a `models` folder they are stored there under
+    model version and window, and taken from there if they are: then nothing is fitted.
+    """
+
+    def __init__(self, fact: DataFrame, config: ModelConfig = ModelConfig(), models: str | None = None):
+        self.config, self.spark = config, fact.sparkSession
+        self.inputs = prepare(fact)
+        (self.holdout_window,) = windows.collect_windows(windows.holdout_calendar(self.inputs.horizon_row))
+        (self.final_window,) = windows.collect_windows(windows.final_calendar(self.inputs.horizon_row))
+        self._store = ModelStore(self.spark, f"{models.rstrip('/')}/{config.version()}") if models else None
+        self._made: dict[str, object] = {}
+
+    def _once(self, name: str, make: Callable[[], object]):
+        if name not in self._made:
+            self._made[name] = make()
+        return self._made[name]
+
+    @property
+    def usable(self) -> dict[Window, int]:
+        calendar = windows.backtest_calendar(self.inputs.horizon_row)
+        return self._once("usable", lambda: usable_months(self.inputs, windows.collect_windows(calendar)))
+
+    def _windows(self, names: list[str]) -> tuple[dict[str, Window], dict[str, Span]]:
+        """Fits by name: those that are recalibrated, and those on a whole span."""
+        known = {HOLDOUT: self.holdout_window, FINAL: self.final_window}
+        if any(n.startswith("backtest") for n in names):
+            known |= {backtest_fit(w): w for w in self.usable}
+        w = self.holdout_window
+        plain = {HOLDOUT_PLAIN: (w.train_start, w.train_end)}
+        return {n: known[n] for n in names if n in known}, {n: plain[n] for n in names if n in plain}
+
+    def fits(self, *names: str) -> dict[str, BoostedFits]:
+        """By name, what scores with that fit. Whatever is not there yet is fitted at once."""
+        recalibrated_on, plain = self._windows(list(names))
+        keys = {n: "; ".join(map(str, (n, w.train_start, w.calibration_start, w.train_end))) for n, w in recalibrated_on.items()}
+        keys |= {n: "; ".join(map(str, (n, *span))) for n, span in plain.items()}
+        if self._store:
+            unknown = [n for n in names if f"fit {n}" not in self._made]
+            for n, found in self._store.load({n: keys[n] for n in unknown}).items():
+                self._made[f"fit {n}"] = found
+        missing = [n for n in names if f"fit {n}" not in self._made]
+        if missing:
+            fresh = fit_windows(
+                self.inputs.labelled, {n: recalibrated_on[n] for n in missing if n in recalibrated_on},
+                {n: plain[n] for n in missing if n in plain}, self.config,
+            )
+            if self._store:
+                self._store.save({n: keys[n] for n in missing}, fresh)
+            self._made |= {f"fit {n}": fresh for n in missing}
+        return {n: self._made[f"fit {n}"] for n in names}
+
+    def _main(self) -> Scorer:
+        return self.fits(HOLDOUT)[HOLDOUT].one(HOLDOUT)
+
+    def _ranked(self) -> Holdout:
+        """The recalibrated model's holdout rows by score, without the models it is compared with."""
+
+        def make() -> Holdout:
+            scorers = {RECALIBRATED: self._main()}
+            return evaluate_holdout(self.inputs, self.holdout_window, scorers, self.config)
+
+        return self._once("ranked", make)
+
+    def _evaluation(self) -> DataFrame:
+        def make() -> Holdout:
+            train = self.inputs.labelled.where(within(self.holdout_window.train_start, self.holdout_window.train_end))
+            jobs = {
+                "logistic_baseline": lambda: fit_baseline(train, self.config),
+                HOLDOUT_PLAIN: lambda: self.fits(HOLDOUT, HOLDOUT_PLAIN)[HOLDOUT_PLAIN].one(HOLDOUT_PLAIN),
+            }
+            done = in_parallel(self.spark, jobs, self.config)
+            scorers = {"logistic_baseline": done["logistic_baseline"], "gradient_boosting": done[HOLDOUT_PLAIN], RECALIBRATED: self._main()}
+            return evaluate_holdout(self.inputs, self.holdout_window, scorers, self.config)
+
+        self._made["ranked"] = whole = self._once("evaluation", make)
+        return whole.evaluation
+
+    def _drift(self) -> DataFrame:
+        return drift.feature_drift(self.inputs.labelled, calendar_frame(self.spark, self.usable))
+
+    def _performance(self) -> DataFrame:
+        names = [backtest_fit(w) for w in self.usable]
+        scores = None
+        if names:
+            by_name = self.fits(*names)
+            # Fits from a store and fresh ones come apart.
+            parts = {id(f): (f, [w for w in self.usable if by_name[backtest_fit(w)] is f]) for f in by_name.values()}
+            found = [backtest_scores(self.inputs, {w: self.usable[w] for w in those}, f) for f, those in parts.values()]
+            scores = reduce(DataFrame.unionByName, found)
+        return monthly_performance(calendar_frame(self.spark, self.usable), scores, self.table("feature_drift"))
+
+    def _open(self) -> DataFrame:
+        final = self.fits(FINAL, HOLDOUT)[FINAL].one(FINAL)
+        return score_open(self._ranked(), self.inputs, final)
+
+    def table(self, name: str) -> DataFrame:
+        makers = {
+            "model_evaluation": self._evaluation,
+            "calibration": lambda: metrics.calibration_table(self._ranked().ranked),
+            "feature_importance": lambda: permutation_importance(self._ranked(), self.inputs, self.config),
+            "monthly_performance": self._performance,
+            "feature_drift": self._drift,
+            "stay_scores": self._open,
+        }
+        return self._once(f"table {name}", lambda: materialize(stamp(makers[name](), self.config.version()), name))
+
+    def tables(self) -> dict[str, DataFrame]:
+        """All six; their fits are grown together."""
+        self.fits(HOLDOUT, HOLDOUT_PLAIN, FINAL, *[backtest_fit(w) for w in self.usable])
+        names = ["model_evaluation", "calibration", "feature_importance", "monthly_performance", "feature_drift", "stay_scores"]
+        return {name: self.table(name) for name in names}
+
+
+def run_model(fact: DataFrame, config: ModelConfig = ModelConfig(), models: str | None = None) -> dict[str, DataFrame]:
     """The six model tables, each stored, from a stored episode fact."""
-    inputs = prepare(fact)
-    spark = fact.sparkSession
-    (holdout_window,) = windows.collect_windows(windows.holdout_calendar(inputs.horizon_row))
-    (final_window,) = windows.collect_windows(windows.final_calendar(inputs.horizon_row))
-    usable = usable_months(
-        inputs, windows.collect_windows(windows.backtest_calendar(inputs.horizon_row))
-    )
-    # No fit needs another, so all of them share one pool; the slow ones do not queue up last.
-    fits = holdout_fits(inputs, holdout_window, config)
-    jobs = {
-        "final": lambda: fit_recalibrated(inputs.labelled, final_window, config),
-        **fits,
-        **{w: lambda w=w: backtest_month(inputs, w, config) for w in usable},
-    }
-    done = in_parallel(spark, jobs, config)
-    holdout = evaluate_holdout(inputs, holdout_window, {name: done[name] for name in fits}, config)
-    performance, shifts = monthly_performance(inputs, usable, [done[w] for w in usable])
-    tables = {
-        "model_evaluation": holdout.evaluation,
-        "calibration": metrics.calibration_table(holdout.ranked),
-        "feature_importance": permutation_importance(holdout, inputs, config),
-        "monthly_performance": performance,
-        "feature_drift": shifts,
-        "stay_scores": score_open(holdout, inputs, done["final"]),
-    }
-    return {name: materialize(stamp(df, config.version()), name) for name, df in tables.items()}
+    return ModelRun(fact, config, models).tables()
 
 
 def no_signal_gate(evaluation: DataFrame, limit: float = NO_SIGNAL_MAX_AUC) -> float:
