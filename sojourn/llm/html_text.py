@@ -1,9 +1,11 @@
 """Main text of web pages by two-pass block rules.
 
-A page is cut into blocks at block-level tags. The first pass calls a block good or bad where
-its place, link density, length or stop-word density decide; the second gives the undecided,
-short blocks the label of the nearest decided neighbour. Inside an article element only blocks
-of that article count as neighbours, and without any the article itself decides.
+A page is cut into blocks at block-level tags. The first pass looks at one block at a time. Blocks
+of menus, notices and the like are bad, and so are those that are mostly links. Of the others, evidence
+is added up: length, stop-word density, and whether an article element is around it; much of it
+makes a block good, and short blocks and headings stay undecided. The second pass gives a heading the label
+of what it introduces, and other undecided blocks that of the nearest decided neighbour. Blocks of
+menus and notices are nobody's neighbours, and an article's blocks have theirs in the article.
 """
 
 from __future__ import annotations
@@ -24,6 +26,11 @@ class BlockRules:
     short_chars: int = 70
     stop_density: float = 0.2
     link_density: float = 0.5
+    #: Evidence that makes a block good: of 1 for full length, 1 for full density and 1 for an article element.
+    good: float = 1.5
+    #: Evidence but for the element's with which a block is kept if none of its neighbours is decided, in an article and outside.
+    lone: float = 0.005
+    lone_outside: float = 0.3
 
 
 # Frequent function words of the languages at hand.
@@ -214,43 +221,52 @@ def _tag_end(page: str, at: int) -> int:
         at = close + 1
 
 
+def _first_pass(b: Block, rules: BlockRules) -> tuple[float, bool | None]:
+    """(evidence, label) of one block, whatever stands around it."""
+    words = _WORD.findall(b.text.lower())
+    stops = sum(w in STOP_WORDS for w in words) / max(1, len(words))
+    evidence = min(1.0, len(b.text) / max(rules.long_chars, 1)) + (min(1.0, stops / rules.stop_density) if rules.stop_density > 0 else 1.0)
+    evidence += bool(b.article)
+    if b.boilerplate or (b.link_chars > rules.link_density * len(b.text) and not b.article):
+        return evidence, False
+    if b.heading or len(b.text) < rules.short_chars or b.link_chars > rules.link_density * len(b.text):
+        return evidence, None
+    if evidence >= rules.good:
+        return evidence, True
+    # A long text without a single stop word is a list or a code.
+    return evidence, False if len(b.text) >= rules.long_chars and not stops and not b.article else None
+
+
+def _nearest(blocks: list[Block], order: range) -> list[int]:
+    """For every block the last decided one before it in `order`, of the same article; -1 where there is none."""
+    found, last = [-1] * len(blocks), {}
+    for k in order:
+        found[k] = last.get(blocks[k].article, -1)
+        if blocks[k].label is not None and not blocks[k].boilerplate:
+            last[blocks[k].article] = k
+    return found
+
+
 def label(blocks: list[Block], rules: BlockRules = BlockRules()) -> None:
     """Set every block's label: True for main text."""
+    evidence = []
     for b in blocks:
-        words = _WORD.findall(b.text.lower())
-        stops = sum(w in STOP_WORDS for w in words) / max(1, len(words))
-        if b.boilerplate:
-            b.label = False
-        elif b.link_chars > rules.link_density * len(b.text):
-            b.label = None if b.article else False
-        elif b.heading or len(b.text) < rules.short_chars:
-            b.label = None
-        elif stops >= rules.stop_density or b.article:
-            b.label = True
-        else:
-            b.label = None if len(b.text) < rules.long_chars else stops > 0
-    # The nearest decided block on either side; inside an article, of the same article.
-    count = len(blocks)
-    before, after = [-1] * count, [-1] * count
-    for order, nearest in ((range(count), before), (range(count - 1, -1, -1), after)):
-        last: dict[int, int] = {}
-        for k in order:
-            nearest[k] = last.get(blocks[k].article, -1)
-            if blocks[k].label is not None and not (blocks[k].article and blocks[k].boilerplate):
-                last[blocks[k].article] = k
+        known, b.label = _first_pass(b, rules)
+        evidence.append(known)
+    before, after = _nearest(blocks, range(len(blocks))), _nearest(blocks, range(len(blocks) - 1, -1, -1))
+    single = sum(not b.boilerplate for b in blocks) == 1
     decided = []
     for k, b in enumerate(blocks):
+        left, right = before[k], after[k]
         if b.label is not None:
             decided.append(b.label)
-            continue
-        left, right = before[k], after[k]
-        if left < 0 and right < 0:
-            decided.append(bool(b.article) or not any(x.article for x in blocks) and b.link_chars == 0 and count == 1)
-        elif left < 0 or right < 0:
-            decided.append(bool(blocks[max(left, right)].label))
+        elif left < 0 and right < 0:
+            least = 1 + rules.lone if b.article else rules.lone_outside
+            decided.append(evidence[k] >= least or (single and not b.link_chars))
+        elif left < 0 or right < 0 or b.heading:
+            decided.append(bool(blocks[right if right >= 0 else left].label))
         elif k - left == right - k:
-            near = blocks[right] if b.heading else blocks[left]
-            decided.append(bool(near.label) if b.heading else bool(blocks[left].label and blocks[right].label))
+            decided.append(bool(blocks[left].label and blocks[right].label))
         else:
             decided.append(bool(blocks[left if k - left < right - k else right].label))
     for b, keep in zip(blocks, decided, strict=True):
