@@ -9,6 +9,7 @@ the same records.
 from __future__ import annotations
 
 import base64
+import codecs
 import gzip
 import hashlib
 import re
@@ -48,19 +49,24 @@ def write_record(kind: str, record_id: str, fields: list[tuple[str, str]], conte
         ("Content-Type", content_type),
         ("Content-Length", str(len(block))),
     ]
-    lines = [VERSION, *(f"{k}: {_line(v)}".encode() for k, v in head)]
+    lines = [VERSION, *(f"{k}: {_line(v)}".encode("utf-8", "replace") for k, v in head)]
     return CRLF.join(lines) + CRLF + CRLF + block + CRLF + CRLF
 
 
 def read_record(raw: bytes) -> tuple[list[tuple[str, str]], bytes]:
-    """(header fields, block) of one uncompressed or gzipped record; ValueError if it is none."""
-    raw = gzip.decompress(raw) if raw[:2] == b"\x1f\x8b" else raw
+    """(header fields, block) of one uncompressed or gzipped record; ValueError if it is none or damaged."""
+    try:
+        raw = gzip.decompress(raw) if raw[:2] == b"\x1f\x8b" else raw
+    except (OSError, EOFError, zlib.error) as error:
+        raise ValueError("damaged compression") from error
     head, found, rest = raw.partition(CRLF + CRLF)
     lines = head.decode("utf-8", "replace").split("\r\n")
     if not found or not lines[0].startswith("WARC/"):
         raise ValueError("not a WARC record")
     fields = _fields(lines[1:])
     length = int(dict((k.lower(), v) for k, v in fields).get("content-length", len(rest)))
+    if length < 0:
+        raise ValueError("negative length")
     return fields, rest[:length]
 
 
@@ -85,24 +91,47 @@ def read_http(block: bytes) -> tuple[int | None, list[tuple[str, str]], bytes]:
     return int(status[1]), _fields(lines[1:]), payload
 
 
+# Codecs that pages come in. Python has others, which are no character sets or do not take every input.
+_PAGE_CODECS = re.compile(
+    r"ascii|utf-(8|16|32)(-(le|be|sig))?|iso8859-\d+|cp\d+|koi8-[rtu]|mac-[a-z]+|tis-620|ptcp154|kz1048|hz|johab|"
+    r"gb(2312|k|18030)|big5(hkscs)?|euc[_-](jp|kr|jis_2004|jisx0213)|shift_jis(_2004|x0213)?|iso2022_(jp(_\d|_2004|_ext)?|kr)"
+)
+
+
+def page_codec(name: str) -> str:
+    """The codec of that name if it is one that pages come in, else UTF-8."""
+    try:
+        found = codecs.lookup(name).name
+    except (LookupError, ValueError):
+        return "utf-8"
+    return found if _PAGE_CODECS.fullmatch(found) else "utf-8"
+
+
+def _inflated(payload: bytes) -> bytes:
+    """Deflate as the standard has it, or raw, as some servers send it."""
+    try:
+        return zlib.decompress(payload)
+    except zlib.error:
+        return zlib.decompress(payload, -zlib.MAX_WBITS)
+
+
 def decoded_body(headers: list[tuple[str, str]], payload: bytes) -> str:
-    """The body without transfer and content coding, as text. Broken codings are left as they are."""
+    """The body without transfer and content coding, as text. Broken and unknown codings are left as they are,
+    bytes that the character set does not have are replaced."""
     by = {k.lower(): v for k, v in headers}
     if "chunked" in by.get("transfer-encoding", "").lower():
         payload = _joined_chunks(payload)
-    coding = by.get("content-encoding", "").lower()
-    try:
-        if coding == "gzip":
-            payload = gzip.decompress(payload)
-        elif coding == "deflate":
-            payload = zlib.decompress(payload)
-    except (OSError, EOFError, zlib.error):
-        pass
+    # The last coding named was put on last.
+    for coding in reversed(by.get("content-encoding", "").lower().split(",")):
+        try:
+            if coding.strip() in ("gzip", "x-gzip"):
+                payload = gzip.decompress(payload)
+            elif coding.strip() == "deflate":
+                payload = _inflated(payload)
+        except (OSError, EOFError, zlib.error):
+            break
     charset = re.search(r"charset=[\"']?([\w.:-]+)", by.get("content-type", ""), re.IGNORECASE)
-    try:
-        return payload.decode(charset[1] if charset else "utf-8", "replace")
-    except LookupError:
-        return payload.decode("utf-8", "replace")
+    return payload.decode(page_codec(charset[1]) if charset else "utf-8", "replace")
 
 
 def _joined_chunks(payload: bytes) -> bytes:
@@ -121,7 +150,7 @@ def _joined_chunks(payload: bytes) -> bytes:
 
 def response_record(url: str | None, body: str | None, key: str, date: str) -> bytes:
     """A response record as a crawler writes it for a fetched page."""
-    payload = (body or "").encode("utf-8")
+    payload = (body or "").encode("utf-8", "replace")
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
     fields = [("WARC-Target-URI", url or ""), ("WARC-Date", date), ("WARC-Payload-Digest", digest(payload))]
     return write_record("response", derived_id("response", key), fields, "application/http; msgtype=response", http + payload)
@@ -131,7 +160,7 @@ def derive(raw: bytes | None) -> list[dict]:
     """The metadata and the conversion record of a response; nothing for other or broken records."""
     try:
         fields, block = read_record(raw or b"")
-    except (ValueError, OSError, EOFError):
+    except ValueError:
         return []
     by = {k.lower(): v for k, v in fields}
     if by.get("warc-type") != "response" or "warc-record-id" not in by:
@@ -151,7 +180,7 @@ def derive(raw: bytes | None) -> list[dict]:
         ("title", " ".join(title.split())),
         ("text-characters", str(len(text))),
     ]
-    warc_fields = b"".join(f"{k}: {_line(v)}\r\n".encode() for k, v in about)
+    warc_fields = b"".join(f"{k}: {_line(v)}\r\n".encode("utf-8", "replace") for k, v in about)
     kept = [("WARC-Refers-To", source), ("WARC-Refers-To-Target-URI", target), ("WARC-Refers-To-Date", date), ("WARC-Target-URI", target), ("WARC-Date", date), ("WARC-Source-Payload-Digest", payload_digest)]
     out = []
     for kind, content_type, part in (

@@ -1,5 +1,10 @@
+import base64
 import gzip
 import hashlib
+import uuid
+import zlib
+from html import unescape
+from html.parser import HTMLParser
 
 import pytest
 
@@ -72,17 +77,112 @@ def test_header_values_cannot_break_a_record():
     assert len(warc.derive(raw)) == 2 and dict(warc.read_record(raw)[0])["WARC-Type"] == "response"
 
 
-def test_query_round_trip(spark):
+class Reader(HTMLParser):
+    """Title and text lines of a page, by the standard library's parser."""
+
+    INLINE = {"a", "b", "i", "em", "span", "strong", "u"}
+
+    def __init__(self):
+        super().__init__(convert_charrefs=False)
+        self.title, self.lines, self.within = "", [""], []
+
+    def handle_starttag(self, tag, attrs):
+        if tag in ("script", "style", "title"):
+            self.within.append(tag)
+        elif tag in ("br", "img", "input"):
+            self.lines[-1] += " "
+        elif tag not in self.INLINE:
+            self.lines.append("")
+
+    def handle_endtag(self, tag):
+        if tag in self.within:
+            self.within.remove(tag)
+        elif tag not in self.INLINE:
+            self.lines.append("")
+
+    def handle_data(self, data):
+        if self.within == ["title"]:
+            self.title += data
+        elif not self.within:
+            self.lines[-1] += data
+
+    def handle_entityref(self, name):
+        self.handle_data(f"&{name};")
+
+    def handle_charref(self, name):
+        self.handle_data(f"&#{name};")
+
+
+def wanted_record(kind, page):
+    """The bytes of a derived record, written out."""
+    sha1 = lambda data: "sha1:" + base64.b32encode(hashlib.sha1(data).digest()).decode()
+    urn = lambda kind, of: f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{kind} {of}')}>"
+    date, html = "1970-01-01T00:00:00Z", page.html.encode()
+    http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n%s" % (len(html), html)
+    source, reader = urn("response", f"{page.page_id} {page.url}"), Reader()
+    reader.feed(page.html)
+    reader.close()
+    lines = [" ".join(unescape(x).split()) for x in reader.lines]
+    text = "\n".join(x for x in lines if x)
+    block, content_type = text.encode(), "text/plain; charset=utf-8"
+    if kind == "metadata":
+        about = {
+            "source-record-id": source, "source-payload-digest": sha1(html), "source-block-digest": sha1(http), "source-status": 200,
+            "source-header-content-type": "text/html; charset=utf-8", "source-header-content-length": len(html),
+            "title": " ".join(reader.title.split()), "text-characters": len(text),
+        }
+        block, content_type = "".join(f"{k}: {v}\r\n" for k, v in about.items()).encode(), "application/warc-fields"
+    head = {
+        "WARC-Type": kind, "WARC-Record-ID": urn(kind, source), "WARC-Refers-To": source, "WARC-Refers-To-Target-URI": page.url,
+        "WARC-Refers-To-Date": date, "WARC-Target-URI": page.url, "WARC-Date": date, "WARC-Source-Payload-Digest": sha1(html),
+        "WARC-Block-Digest": sha1(block), "Content-Type": content_type, "Content-Length": len(block),
+    }
+    return ("WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in head.items()) + "\r\n").encode() + block + b"\r\n\r\n"
+
+
+def test_query_gives_the_records_that_pages_call_for(spark):
     pages = {r.page_id: r for r in spark.read.parquet(f"{TABLES}/pages.parquet").collect()}
     rows = QUERIES["op6_warc_derivatives"](spark, TABLES).collect()
     assert sorted((r.page_id, r.record_type) for r in rows) == sorted((p, k) for p in pages for k in ("conversion", "metadata"))
     assert len({r.record_id for r in rows}) == len(rows)
     for r in rows:
         page = pages[r.page_id]
-        want = warc.derive(warc.response_record(page.url, page.html, f"{page.page_id} {page.url}", "1970-01-01T00:00:00Z"))
-        (mine,) = [w for w in want if w["record_type"] == r.record_type]
-        assert r.record_sha256 == hashlib.sha256(mine["record"]).hexdigest()
-        assert r.source_payload_digest == warc.digest(page.html.encode()) and r.target_uri == page.url
+        assert r.record_sha256 == hashlib.sha256(wanted_record(r.record_type, page)).hexdigest()
+        assert r.target_uri == page.url and r.source_status == 200
+
+
+@pytest.mark.parametrize("charset", ["undefined", "idna", "unicode_escape", "raw_unicode_escape", "punycode", "rot13", "hex", "utf-7", "no-such"])
+def test_character_sets_that_are_none(charset):
+    page = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=" + charset.encode() + b"\r\n\r\n<title>\\ud800</title><p>caf\xc3\xa9 \\ud800"
+    rows = warc.derive(response(page))
+    assert warc.read_record(rows[1]["record"])[1].decode() == "café \\ud800"
+
+
+@pytest.mark.parametrize("charset, raw", [("windows-1252", b"\x80"), ("koi8-r", b"\xc0"), ("shift_jis", b"\x82\xa0"), ("utf-16", b"\xff\xfea\x00"), ("latin-1", b"\xe9"), ("gb2312", b"\xb0\xa1")])
+def test_character_sets_of_pages(charset, raw):
+    body = warc.decoded_body([("Content-Type", f"text/html; charset={charset}")], raw)
+    assert body == raw.decode(charset)
+
+
+def test_surrogates_and_damage_end_no_job():
+    for body in (b"a\x00\xd8b\x00", b"\x00\xd8" * 3):
+        rows = warc.derive(response(b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-16-le\r\n\r\n" + body))
+        assert len(rows) == 2
+    whole = gzip.compress(response(b"HTTP/1.1 200 OK\r\n\r\n<p>" + bytes(range(256)) * 40))
+    for at in range(10, len(whole), 97):
+        damaged = whole[:at] + bytes([whole[at] ^ 0xFF]) + whole[at + 1 :]
+        assert warc.derive(damaged) == []
+        assert warc.derive(whole[:at]) == []
+    assert warc.derive(b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: x\r\nContent-Length: -5\r\n\r\nabcdefgh") == []
+
+
+def test_raw_deflate_and_several_codings():
+    page, raw = b"<p>text of the page</p>", zlib.compressobj(wbits=-15)
+    bare = raw.compress(page) + raw.flush()
+    for coding, payload in (("deflate", bare), ("deflate", zlib.compress(page)), ("deflate, gzip", gzip.compress(bare)), ("x-gzip", gzip.compress(page))):
+        assert warc.decoded_body([("Content-Encoding", coding)], payload) == page.decode()
+    assert warc.decoded_body([("Content-Encoding", "br")], page) == page.decode()
+    assert warc.decoded_body([("Content-Encoding", "deflate")], b"\x00\xff plain") == "\x00\ufffd plain"
 
 
 def test_odd_tables(spark):
