@@ -28,21 +28,58 @@ def test_signed_batches_and_replays(spark, totals):
     assert read(totals) == {("a", "en", "v1"): (2, 12), (None, None, "v1"): (1, 1), ("b", "de", "v2"): (1, 0)}
     assert totals.commit("2", T.revisions(rows.where("source = 'a'")))
     assert totals.commit("3", T.deletes(rows.where("source is null or source = 'b'")))
-    assert totals.commit("empty", T.inserts(rows.limit(0))) and not totals.commit("empty", T.inserts(rows))
+    assert totals.commit("empty", T.inserts(rows.limit(0))) and not totals.commit("empty", T.inserts(rows.limit(0)))
     assert read(totals) == {("a", "en", "v1"): (2, 14)}
 
 
-def test_unfinished_and_repeated_attempts_count_once(spark, totals):
+def test_racing_and_dying_writers(spark, totals):
+    """Whoever claims a version first wins it; the other adds to that. What was not claimed does not count."""
     rows = spark.createDataFrame([("a", "en", "v1", 5, 0), ("b", "en", "v1", 6, 0)], SCHEMA)
     totals.commit("1", T.inserts(rows))
-    whole = spark.read.parquet(totals.path)
-    # A racing writer's second attempt, and one that died after a part of its rows.
-    again = whole.withColumn("attempt", F.concat(F.lit("~"), "attempt"))
-    part = whole.where("source = 'a'").withColumn("attempt", F.lit("0")).withColumn("batch_id", F.lit("2"))
-    again.unionAll(part).write.mode("append").parquet(totals.path)
-    assert read(totals) == {("a", "en", "v1"): (1, 5), ("b", "en", "v1"): (1, 6)}
-    assert totals.commit("2", T.deletes(rows.where("source = 'a'")))
-    assert read(totals) == {("b", "en", "v1"): (1, 6)}
+    claim, tries = totals._claim, []
+
+    def late(version, folder):
+        tries.append(version)
+        if len(tries) == 1:
+            assert T.TokenTotals(spark, totals.path).commit("3", T.inserts(rows.where("source = 'b'")))
+        return claim(version, folder)
+
+    totals._claim = late
+    assert totals.commit("2", T.deletes(rows.where("source = 'a'"))) and tries == [2, 3]
+    assert read(totals) == {("b", "en", "v1"): (2, 12)} and totals.versions() == [1, 2, 3]
+
+    def dies(version, folder):
+        raise RuntimeError("lost")
+
+    totals._claim = dies
+    with pytest.raises(RuntimeError):
+        totals.commit("4", T.inserts(rows))
+    totals._claim = claim
+    assert read(totals) == {("b", "en", "v1"): (2, 12)}
+    assert totals.commit("4", T.inserts(rows)) and read(totals)["b", "en", "v1"] == (3, 18)
+    # The same batch by two writers at once counts once.
+    totals._claim = lambda version, folder: T.TokenTotals(spark, totals.path).commit("5", T.inserts(rows)) and claim(version, folder)
+    assert not totals.commit("5", T.inserts(rows)) and read(totals)["b", "en", "v1"] == (4, 24)
+
+
+def test_a_known_batch_with_other_changes_is_refused(spark, totals):
+    rows = spark.createDataFrame([("a", "en", "v1", 5, 0), (None, "en", "v1", 6, 0), ("", "en", "v1", 6, 0)], SCHEMA)
+    totals.commit("1", T.inserts(rows))
+    for other in (rows.where("source = 'a'"), rows.withColumn("tokens", F.col("tokens") + 1), rows.unionAll(rows), rows.fillna("x"), rows.limit(0)):
+        with pytest.raises(T.ConflictingBatch):
+            totals.commit("1", T.inserts(other))
+    assert not totals.commit("1", T.inserts(rows.orderBy("tokens").repartition(2))) and len(read(totals)) == 3
+
+
+def test_compaction_keeps_totals_and_batches(spark, totals):
+    rows = spark.createDataFrame([("a", "en", "v1", 5, 0)], SCHEMA)
+    for k in range(4):
+        totals.commit(str(k), T.inserts(rows))
+    totals.compact()
+    totals.compact()
+    assert totals.versions() == [3, 4] and read(totals) == {("a", "en", "v1"): (4, 20)}
+    assert not totals.commit("0", T.inserts(rows)) and totals.commit("new", T.inserts(rows))
+    assert read(totals) == {("a", "en", "v1"): (5, 25)}
 
 
 def test_query_matches_brute_force(spark):
