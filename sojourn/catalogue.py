@@ -16,10 +16,15 @@ from sojourn.operators import metrics
 from sojourn.operators.categories import category_counts, category_map
 from sojourn.operators.checks import accepted_range, accepted_values, failing_values
 from sojourn.operators.pairing import unmatched
-from sojourn.plans import drift, features, marts, model, trends, windows
-from sojourn.plans.assertions import model_assertions, scores_only_for_young_open_stays, warehouse_assertions
-from sojourn.plans.contracts import KINDS, MODEL_TABLES, check_results, model_contracts, warehouse_contracts
-from sojourn.plans.encoding import MAX_CATEGORIES
+from sojourn.plans import drift, features, marts, model, training, trends, windows
+from sojourn.plans.assertions import (
+    check_window_results,
+    model_assertions,
+    scores_only_for_young_open_stays,
+    warehouse_assertions,
+)
+from sojourn.plans.contracts import KINDS, MODEL_TABLES, MODELS, check_results, model_contracts, warehouse_contracts
+from sojourn.plans.encoding import MAX_CATEGORIES, LinearEncoder, TreeEncoder, tree_long
 from sojourn.plans.episodes import RawFeeds, heavy_entities
 from sojourn.plans.pipeline import build_warehouse, publish_warehouse
 from sojourn.plans.staging import with_required_keys
@@ -127,6 +132,15 @@ def absent_columns(spark, sf_dir):
     return spark.createDataFrame(rows, "feed string, column_name string, filled_rows long, loaded_rows long")
 
 
+@query
+def landed_keys(spark, sf_dir):
+    """A feed with a key too many, one left out and one without values, against the columns it should have."""
+    feed = raw_starts(spark, sf_dir).withColumn("color", F.lit(None).cast("string")).withColumn("note", F.col("name"))
+    path = scratch_path(spark, "keyed-starts")
+    feed.drop("found_location").write.option("ignoreNullFields", "false").json(path)
+    return landing.landed_keys(spark, path, landing.START_COLUMNS)
+
+
 # --- cleaning --------------------------------------------------------------------------
 
 
@@ -395,6 +409,74 @@ def rare_category_map(spark, sf_dir):
     return category_map(category_counts(train, features.CATEGORICAL), MAX_CATEGORIES)
 
 
+def holdout_rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(training rows, rows to score) of the holdout window."""
+    rows, horizon = labelled_features(spark, sf_dir)
+    window = windows.collect_windows(windows.holdout_calendar(horizon))[0]
+    return (
+        rows.where(windows.within(window.train_start, window.train_end)),
+        rows.where(windows.within(window.score_start, window.score_end)),
+    )
+
+
+@query
+def encoded_tree(spark, sf_dir):
+    """Holdout rows as the tree learner sees them, encoded by what training had."""
+    train, test = holdout_rows(spark, sf_dir)
+    return rounded(tree_long(TreeEncoder.fit(train), test, "stay_key"))
+
+
+@query
+def encoded_linear(spark, sf_dir):
+    """Holdout rows as the baseline sees them; zeros are left out."""
+    train, test = holdout_rows(spark, sf_dir)
+    return rounded(LinearEncoder.fit(train).long(test, "stay_key")).where("value <> 0")
+
+
+@query
+def baseline_optimality(spark, sf_dir):
+    """Where the baseline's loss is least, fitted probabilities add up to what the labels add up to, input by input."""
+    train, _ = holdout_rows(spark, sf_dir)
+    config = model.ModelConfig()
+    return rounded(model.baseline_optimality(model.fit_baseline(train, config), train, config), 2)
+
+
+@query
+def backtest_rows(spark, sf_dir):
+    rows, horizon = labelled_features(spark, sf_dir)
+    return training.backtest_rows(rows, windows.collect_windows(windows.backtest_calendar(horizon)))
+
+
+@query
+def check_windows(spark, sf_dir):
+    """The checks on windows, which need no learner: training ends long enough before what is scored begins."""
+    rows, horizon = labelled_features(spark, sf_dir)
+    calendar = windows.backtest_calendar(horizon)
+    months = training.backtest_rows(rows, windows.collect_windows(calendar)).where("usable")
+    ends = calendar.select(F.col("score_start").alias("intake_month"), "train_end")
+    performance = months.join(F.broadcast(ends), "intake_month")
+    holdout = windows.holdout_calendar(horizon).select("train_end", F.col("score_start").alias("holdout_start"))
+    evaluation = holdout.withColumn("model", F.explode(F.array(*[F.lit(m) for m in MODELS])))
+    return check_window_results(performance, evaluation)
+
+
+@query
+def importance_donors(spark, sf_dir):
+    """Which row's value each sampled row gets in every repeat."""
+    _, test = holdout_rows(spark, sf_dir)
+    config = model.ModelConfig()
+    sample = materialize(training.importance_sample(test, config), "importance-rows")
+    return training.importance_donors(sample, config).join(sample.select("place", "stay_key"), "place").select("repeat", "stay_key", "donor")
+
+
+@query
+def no_signal(spark, sf_dir):
+    """The whole fit and its gate on labels that were dealt anew."""
+    inputs = kept(spark, sf_dir, "inputs", lambda: prepare(stored_fact(spark, sf_dir)))
+    auc = training.no_signal_run(inputs)
+    return spark.createDataFrame([(training.NO_SIGNAL_MAX_AUC, auc <= training.NO_SIGNAL_MAX_AUC)], "auc_limit double, passed boolean")
+
+
 @query
 def holdout_calendar(spark, sf_dir):
     return windows.holdout_calendar(features.horizon_frame(stored_fact(spark, sf_dir)))
@@ -477,6 +559,18 @@ def recalibrated_scores(spark, sf_dir):
     return rounded(scored.select("stay_key", recalibrated(F.col("p"), 0.8, -0.25).alias("probability")))
 
 
+@query
+def recalibration_fit(spark, sf_dir):
+    """Slope and intercept for a score that knows the label a little, and for one that does not."""
+    scored = scored_holdout(spark, sf_dir)
+    knowing = F.col("p") * 0.5 + F.col("y") * 0.25 + 0.125
+    both = scored.select(F.lit("related").alias("fit"), knowing.alias("p"), "y").unionAll(scored.select(F.lit("unrelated"), "p", "y"))
+    log_odds = materialize(both.select("fit", logit(F.col("p")).alias("z"), "y"), "log-odds")
+    found = model.platt(log_odds, model.ModelConfig().calibration_c)
+    rows = spark.createDataFrame([(f, *x) for f, x in found.items()], "fit string, slope double, intercept double")
+    return rounded(rows, 5)
+
+
 @query
 def level_shift(spark, sf_dir):
     """The shift in log-odds that brings the mean score to the observed rate."""

@@ -9,6 +9,7 @@ from functools import reduce
 
 import numpy as np
 from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -47,6 +48,9 @@ class Categories:
             return value
         return F.when(value.isin(self.kept[column]), value).otherwise(INFREQUENT)
 
+    def labels(self, column: str) -> list[str]:
+        return self.kept[column] + ([INFREQUENT] if column in self.bucketed else [])
+
     def index(self, df: DataFrame) -> DataFrame:
         """Adds one index column per category column, typed as nominal for the tree learner.
 
@@ -55,7 +59,7 @@ class Categories:
         """
         indexed = df.withColumns({f"{c}_grouped": self._grouped(c) for c in CATEGORICAL})
         for c in CATEGORICAL:
-            labels = self.kept[c] + ([INFREQUENT] if c in self.bucketed else [])
+            labels = self.labels(c)
             # One model per column: the many-column constructor pads short label lists.
             indexed = StringIndexerModel.from_labels(
                 labels, inputCol=f"{c}_grouped", outputCol=f"{c}_index", handleInvalid="keep"
@@ -228,3 +232,25 @@ class LinearEncoder:
         encoded = hot.fit(indexed).transform(indexed)
         parts = [f"{c}_hot" for c in CATEGORICAL] + list(numbers)
         return VectorAssembler(inputCols=parts, outputCol=VECTOR).transform(encoded)
+
+    def slots(self) -> list[str | None]:
+        """Names of the vector's places; that of a category which training did not have has none."""
+        hot = [x for c in CATEGORICAL for x in [*(f"{c}={label}" for label in self.categories.labels(c)), None]]
+        return hot + list(self._numbers(self.medians, self.flagged))
+
+    def long(self, df: DataFrame, *keep: str) -> DataFrame:
+        """(*keep, slot, value) of whatever is not zero."""
+        return _in_slots(self.transform(df).withColumn(VECTOR, vector_to_array(VECTOR)), self.slots(), keep).where("value <> 0")
+
+
+def _in_slots(encoded: DataFrame, names: Sequence[str | None], keep: Sequence[str]) -> DataFrame:
+    """(*keep, slot, value) of every named place of the vector."""
+    places = encoded.select(*keep, F.posexplode(VECTOR).alias("place", "value"))
+    slot = F.element_at(F.array(*[F.lit(n).cast("string") for n in names]), F.col("place") + 1)
+    return places.select(*keep, slot.alias("slot"), "value").where("slot is not null")
+
+
+def tree_long(encoder: TreeEncoder, df: DataFrame, *keep: str) -> DataFrame:
+    """(*keep, slot, value): codes, numbers and flags of rows, one row for each."""
+    names = [*CATEGORICAL, *NUMERIC, *[f"{c}_missing" for c in NUMERIC]]
+    return _in_slots(encoder.transform(df), names, keep)

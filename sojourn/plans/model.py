@@ -116,6 +116,14 @@ class BoostedFits:
         return BoostedFits(self.encoder, self.models, {})
 
 
+@dataclass(frozen=True)
+class Linear:
+    """A weight for every place of the linear encoder's vector."""
+
+    weights: list[float]
+    intercept: float
+
+
 @dataclass(frozen=True)
 class Scorer:
     """An encoder, a fitted learner and an optional correction on the log-odds."""
@@ -132,8 +140,9 @@ class Scorer:
             corrections = {} if self.slope is None else {self.fit: (self.slope, self.intercept)}
             fits = BoostedFits(self.encoder, {self.fit: self.learner}, corrections)
             return fits.score(rows.withColumn(FIT, F.lit(self.fit))).select(*rows.columns, "p")
-        scored = self.learner.transform(self.encoder.transform(rows))
-        return scored.select(*rows.columns, vector_to_array("probability")[1].alias("p"))
+        weighted = F.zip_with(vector_to_array(VECTOR), F.array(*map(F.lit, self.learner.weights)), lambda x, w: x * w)
+        margin = F.aggregate(weighted, F.lit(self.learner.intercept), lambda a, x: a + x)
+        return self.encoder.transform(rows).select(*rows.columns, sigmoid(margin).alias("p"))
 
     def base(self) -> Scorer:
         return Scorer(self.encoder, self.learner, fit=self.fit)
@@ -149,9 +158,33 @@ def fit_baseline(train: DataFrame, config: ModelConfig) -> Scorer:
         elasticNetParam=0.0,
         standardization=False,
         maxIter=config.logistic_iter,
-        tol=1e-9,
+        tol=1e-14,
+    )
+    fitted = learner.fit(_labelled(encoder.transform(train)).select(VECTOR, "label"))
+    return Scorer(encoder, Linear([float(w) for w in fitted.coefficients], float(fitted.intercept)))
+
+
+def baseline_optimality(scorer: Scorer, train: DataFrame, config: ModelConfig) -> DataFrame:
+    """(slot, observed, fitted): sums of every input over labels, and over fitted probabilities with the
+    penalty's share. The two are equal where the penalised log-loss is least, and only there.
+    """
+    weights = [
+        (slot, w / config.logistic_c)
+        for slot, w in zip(scorer.encoder.slots(), scorer.learner.weights, strict=True)
+        if slot is not None
+    ]
+    scored = materialize(scorer.score(train), "baseline-scores")
+    inputs = scorer.encoder.long(scored, LABEL_COLUMN, "p").unionAll(
+        scored.select(LABEL_COLUMN, "p", F.lit("intercept").alias("slot"), F.lit(1.0).alias("value"))
+    )
+    sums = inputs.groupBy("slot").agg(
+        F.sum(F.col("value") * F.col(LABEL_COLUMN)).alias("observed"), F.sum(F.col("value") * F.col("p")).alias("fitted")
+    )
+    # One row per slot, of which there are at most MAX_CATEGORIES per column.
+    known = train.sparkSession.createDataFrame(weights, "slot string, share double")
+    return sums.join(F.broadcast(known), "slot", "left").select(
+        "slot", "observed", (F.col("fitted") + F.coalesce("share", F.lit(0.0))).alias("fitted")
     )
-    return Scorer(encoder, learner.fit(_labelled(encoder.transform(train)).select(VECTOR, "label")))
 
 
 Span = tuple[datetime, datetime]

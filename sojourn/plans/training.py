@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark import inheritable_thread_target
@@ -442,6 +442,29 @@ def run_model(fact: DataFrame, config: ModelConfig = ModelConfig(), models: str
     return ModelRun(fact, config, models).tables()
 
 
+def shuffled_labels(labelled: DataFrame, seed: int) -> DataFrame:
+    """The rows with each other's labels: the row at a place of one seeded order gets the label of the row at
+    that place of another."""
+    draw = [F.xxhash64(F.col(KEY), F.lit(seed + k)) for k in (0, 1)]
+    rows = positions(labelled.withColumn("draw", draw[0]), [], ["draw", KEY], "place", label="rows-by-draw").drop("draw")
+    drawn = labelled.select(KEY, F.col(LABEL_COLUMN).alias("given"), draw[1].alias("draw"))
+    given = positions(drawn, [], ["draw", KEY], "place", label="labels-by-draw").select("place", "given")
+    return rows.drop(LABEL_COLUMN).join(given, "place").withColumnRenamed("given", LABEL_COLUMN).select(*labelled.columns)
+
+
+def holdout_auc(inputs: Inputs, window: Window, config: ModelConfig) -> DataFrame:
+    """One row per model with the AUC of the recalibrated model alone: what the gate looks at."""
+    fits = fit_windows(inputs.labelled, {HOLDOUT: window}, {}, config)
+    return evaluate_holdout(inputs, window, {RECALIBRATED: fits.one(HOLDOUT)}, config).evaluation
+
+
+def no_signal_run(inputs: Inputs, config: ModelConfig = ModelConfig()) -> float:
+    """The gate on a full fit to labels that were dealt anew; returns the AUC, raises if the model finds signal."""
+    (window,) = windows.collect_windows(windows.holdout_calendar(inputs.horizon_row))
+    dealt = replace(inputs, labelled=materialize(shuffled_labels(inputs.labelled, config.seed), "dealt-labels"))
+    return no_signal_gate(holdout_auc(dealt, window, config))
+
+
 def no_signal_gate(evaluation: DataFrame, limit: float = NO_SIGNAL_MAX_AUC) -> float:
     """For data whose labels are random: raise if the holdout AUC is missing or too good."""
     row = evaluation.where(F.col("model") == RECALIBRATED).select("roc_auc").first()

@@ -10,7 +10,6 @@ from collections import Counter
 from collections.abc import Callable, Mapping
 from typing import TypeVar
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,12 +24,10 @@ _MANIFEST = "publish_id string, sequence long, table string, path string, parts
 
 
 def _manifest(spark: SparkSession, root: str) -> DataFrame:
-    try:
-        return spark.read.schema(_MANIFEST).parquet(f"{root}/_published")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/_published")
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
         return spark.createDataFrame([], _MANIFEST)
+    return spark.read.schema(_MANIFEST).parquet(f"{root}/_published")
 
 
 def _published(spark: SparkSession, root: str) -> dict[str, Row]:
