@@ -40,13 +40,15 @@ class PhraseSettings:
     #: Bits of the table of frequent n-grams.
     table_bits: int = 25
     #: Occurrences a task collects before it counts them; distinct n-grams it keeps before it writes them.
-    pending: int = 1_000_000
-    held: int = 1_000_000
+    pending: int = 400_000
+    held: int = 400_000
+    #: Words whose ids a task remembers.
+    remembered: int = 200_000
     #: Buckets of words; of longer n-grams, occurrences per bucket.
     word_bucket_bits: int = 10
     bucket_load_bits: int = 18
     #: Bytes of text looked at together.
-    chunk: int = 2_000_000
+    chunk: int = 1_000_000
 
 
 _P, _Q, _R = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9
@@ -160,14 +162,21 @@ def filter_grams(bucket: int, slot_bits: int, fills: bytes, remainders: bytes, c
 
 
 class _WordIds(dict):
-    """Ids by word; 0 is the end of a piece."""
+    """Ids by word, and words by id; 0 is the end of a piece."""
+
+    def __init__(self) -> None:
+        self.words: dict[int, bytes] = {}
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
-            self.clear()
         self[word] = got = 0 if word == _BREAK else xxhash.xxh64_intdigest(word) or 1
+        self.words[got] = word
         return got
 
+    def forget(self, above: int) -> None:
+        if len(self) > above:
+            self.clear()
+            self.words.clear()
+
 
 def _chunks(texts: list[tuple[str, bytes]], size: int) -> Iterator[tuple[str, bytes, bool]]:
     """(lang, text, whether the next chunk goes on in the same piece). Short texts come together, and
@@ -227,7 +236,6 @@ def _count_pass(n: int, bits: int, s: PhraseSettings, table):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = _WordIds()
-        spelled: dict[int, bytes] = {}
         pending: dict[str, list[np.ndarray]] = defaultdict(list)
         held: dict[str, Grams] = {}
         waiting, shared = 0, table.value if table else None
@@ -238,11 +246,11 @@ def _count_pass(n: int, bits: int, s: PhraseSettings, table):
                 words = None
                 grams = _counted(first, rest, None)
                 if n == 1:
-                    words = np.array([spelled[i] for i in restored(*grams[:2])[:, 0].tolist()], object)
+                    words = np.array([ids_of.words[i] for i in restored(*grams[:2])[:, 0].tolist()], object)
                 grams = (*grams[:3], words)
                 held[lang] = _joined([held[lang], grams]) if lang in held else grams
             pending.clear()
-            spelled.clear()
+            ids_of.forget(s.remembered)
 
         def written() -> pa.RecordBatch:
             rows = [row for lang, grams in held.items() for row in filter_rows(lang, grams, bits)]
@@ -255,8 +263,6 @@ def _count_pass(n: int, bits: int, s: PhraseSettings, table):
             for lang, text, goes_on in _chunks(list(zip(langs, texts, strict=True)), s.chunk):
                 words = text.lower().translate(_BREAKS).replace(_BREAK, b" \xff ").split()
                 ids = np.concatenate([carry, np.fromiter(map(ids_of.__getitem__, words), np.uint64, len(words))])
-                if n == 1:
-                    spelled.update(zip(ids.tolist(), words, strict=True))
                 # The last n - 1 ids begin n-grams that end in the next chunk.
                 carry = ids[len(ids) - min(n - 1, len(ids)) :] if goes_on else carry[:0]
                 found = _grams(ids, n, _seed(lang), shared, s.table_bits)
