@@ -9,7 +9,8 @@ Lengths are counted one after the other. Every task counts its n-grams into filt
 size and writes them bucket by bucket (a bucket is a range of quotients); the filters of a bucket
 are merged in one task. A longer n-gram can only be frequent if both its shorter halves are, so
 tasks skip those that miss in a bit table of the frequent ones. The table has a fixed size: where
-it fills up, more is counted than needed, never less.
+it fills up, more is counted than needed, never less. Texts are read three times: for words, for
+pairs, and for the stretches of frequent pairs, from which all longer n-grams are counted.
 """
 
 from __future__ import annotations
@@ -216,23 +217,83 @@ def _windows(ids: np.ndarray, n: int) -> np.ndarray:
     return np.lib.stride_tricks.sliding_window_view(ids, n)
 
 
+def _held(ids: np.ndarray, n: int, seed: int, table: np.ndarray, bits: int) -> np.ndarray:
+    """Whether an n-gram begins at each place (but the last n - 1), in a piece, that the table has."""
+    grams = _windows(ids, n) if len(ids) >= n else np.empty((0, n), np.uint64)
+    held = (grams != 0).all(axis=1)
+    at = np.flatnonzero(held)
+    one, two = _table_places(_chained(grams[at], seed), bits)
+    marks = [(table[p >> np.uint64(6)] >> (p & np.uint64(63))) & np.uint64(1) for p in (one, two)]
+    held[at] = (marks[0] & marks[1]).astype(bool)
+    return held
+
+
 def _grams(ids: np.ndarray, n: int, seed: int, table: np.ndarray | None, bits: int) -> np.ndarray:
     """All n-grams within pieces, as rows; of n > 1 those whose two halves of n - 1 ids the table has."""
     if len(ids) < n:
         return np.empty((0, n), np.uint64)
     if n == 1:
         return ids[ids != 0][:, None]
-    halves = _windows(ids, n - 1)
-    whole = (halves != 0).all(axis=1)
-    at = np.flatnonzero(whole)
-    one, two = _table_places(_chained(halves[at], seed), bits)
-    held = [(table[p >> np.uint64(6)] >> (p & np.uint64(63))) & np.uint64(1) for p in (one, two)]
-    whole[at] = (held[0] & held[1]).astype(bool)
-    return _windows(ids, n)[np.flatnonzero(whole[:-1] & whole[1:])]
+    halves = _held(ids, n - 1, seed, table, bits)
+    return _windows(ids, n)[np.flatnonzero(halves[:-1] & halves[1:])]
+
+
+def _text_ids(batch: pa.RecordBatch, carried: int, ids_of: _WordIds, s: PhraseSettings) -> Iterator[tuple[str, np.ndarray, int]]:
+    """(lang, ids, lead) of (lang, text) rows; the first `lead` ids, at most `carried`, have been there before."""
+    texts = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
+    carry = np.empty(0, np.uint64)
+    for lang, text, goes_on in _chunks(texts, s.chunk):
+        words = text.lower().translate(_BREAKS).replace(_BREAK, b" \xff ").split()
+        ids = np.concatenate([carry, np.fromiter(map(ids_of.__getitem__, words), np.uint64, len(words))])
+        lead = len(carry)
+        # The last ids begin n-grams that end in the next chunk.
+        carry = ids[max(0, len(ids) - carried) :] if goes_on else carry[:0]
+        yield lang, ids, lead
+
+
+def _ranges(begin: np.ndarray, count: np.ndarray) -> np.ndarray:
+    return np.repeat(begin - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
+
+
+def _run_ids(batch: pa.RecordBatch, n: int) -> Iterator[tuple[str, np.ndarray, int]]:
+    """(lang, ids, 0) of (lang, lead, ids) rows, a 0 after every row; n-grams that end in the lead are left out."""
+    langs = np.array(batch.column(0).to_pylist(), object)
+    lists = batch.column(2)
+    offsets, flat = lists.offsets.to_numpy().astype(np.int64), lists.values.to_numpy().view(np.uint64)
+    begin = offsets[:-1] + np.maximum(batch.column(1).to_numpy().astype(np.int64) - (n - 1), 0)
+    count = offsets[1:] - begin
+    for lang in set(langs.tolist()):
+        of = np.flatnonzero(langs == lang)
+        out = np.zeros(int(count[of].sum()) + len(of), np.uint64)
+        out[_ranges(np.cumsum(count[of] + 1) - count[of] - 1, count[of])] = flat[_ranges(begin[of], count[of])]
+        yield lang, out, 0
+
+
+def _runs_pass(s: PhraseSettings, table):
+    """Of (lang, text) rows, the stretches of three words or more whose neighbours are frequent pairs, as
+    (lang, lead, ids). Whatever longer n-gram is frequent lies in one of them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids_of = _WordIds()
+        for batch in batches:
+            for lang, ids, lead in _text_ids(batch, s.longest - 1, ids_of, s):
+                ids_of.forget(s.remembered)
+                held = np.concatenate([[False], _held(ids, 2, _seed(lang), table.value, s.table_bits), [False]])
+                begin, end = np.flatnonzero(~held[:-1] & held[1:]), np.flatnonzero(held[:-1] & ~held[1:]) + 1
+                use = (end - begin > 2) & (end > lead)
+                begin, count = begin[use], (end - begin)[use]
+                offsets = np.concatenate([[0], np.cumsum(count)]).astype(np.int32)
+                flat = pa.array(ids[_ranges(begin, count)].view(np.int64))
+                leads = np.maximum(lead - begin, 0).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(begin), pa.string()), pa.array(leads), pa.ListArray.from_arrays(offsets, flat)], ["lang", "lead", "ids"]
+                )
+
+    return run
 
 
-def _count_pass(n: int, bits: int, s: PhraseSettings, table):
-    """Filters of the n-grams of (lang, text) rows."""
+def _count_pass(n: int, bits: int, s: PhraseSettings, table, of_text: bool):
+    """Filters of the n-grams of (lang, text) rows, or of (lang, lead, ids) rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = _WordIds()
@@ -258,13 +319,7 @@ def _count_pass(n: int, bits: int, s: PhraseSettings, table):
             return _as_batch(rows)
 
         for batch in batches:
-            langs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            carry = np.empty(0, np.uint64)
-            for lang, text, goes_on in _chunks(list(zip(langs, texts, strict=True)), s.chunk):
-                words = text.lower().translate(_BREAKS).replace(_BREAK, b" \xff ").split()
-                ids = np.concatenate([carry, np.fromiter(map(ids_of.__getitem__, words), np.uint64, len(words))])
-                # The last n - 1 ids begin n-grams that end in the next chunk.
-                carry = ids[len(ids) - min(n - 1, len(ids)) :] if goes_on else carry[:0]
+            for lang, ids, _ in _text_ids(batch, n - 1, ids_of, s) if of_text else _run_ids(batch, n):
                 found = _grams(ids, n, _seed(lang), shared, s.table_bits)
                 if len(found):
                     pending[lang].append(found)
@@ -360,21 +415,25 @@ def frequent_grams(docs: DataFrame, s: PhraseSettings = PhraseSettings()) -> tup
     lang = F.coalesce(F.col("lang").cast("string"), F.lit("und"))
     slim = docs.select(lang.alias("lang"), F.col("text").cast("string").cast("binary").alias("text")).where("text is not null")
 
-    def counted(n: int, bits: int, table) -> DataFrame:
-        filters = slim.mapInArrow(_count_pass(n, bits, s, table), _FILTER)
+    def counted(rows: DataFrame, n: int, bits: int, table) -> DataFrame:
+        filters = rows.mapInArrow(_count_pass(n, bits, s, table, rows is slim), _FILTER)
         merged = filters.repartition("lang", "bucket").sortWithinPartitions("lang", "bucket").mapInArrow(_merge_pass(n, bits, s), _GRAM)
         return materialize(merged, f"grams-{n}")
 
-    words = counted(1, s.word_bucket_bits, None)
+    words = counted(slim, 1, s.word_bucket_bits, None)
     totals = materialize(words.where("size(gram) = 0").groupBy("lang").agg(F.sum("f").alias("n")), "word-totals")
     grams = last = words.where("size(gram) = 1")
     occurrences = totals.agg(F.sum("n").alias("n")).first()["n"] or 0
     bits = min(max(math.ceil(math.log2(occurrences + 1)) - s.bucket_load_bits, 4), 40)
+    rows = slim
     for n in range(2, s.longest + 1):
         table = _table_of(last, s.table_bits)
         if not table.any():
             break
-        last = counted(n, bits, spark.sparkContext.broadcast(table))
+        shared = spark.sparkContext.broadcast(table)
+        if n == 3:
+            rows = materialize(slim.mapInArrow(_runs_pass(s, shared), "lang string, lead int, ids array<long>"), "frequent-runs")
+        last = counted(rows, n, bits, shared)
         grams = grams.unionAll(last)
     return grams, totals
 
