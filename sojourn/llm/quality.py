@@ -8,6 +8,7 @@ threshold are rejected. All of it is DataFrame functions.
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -81,19 +82,22 @@ def _with_grams(df: DataFrame, text: Column) -> DataFrame:
 def ratio_table(docs: DataFrame, labels: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
     """(bucket, ratio) for every bucket, a table of fixed size.
 
-    A document is trusted where all its labels say quality 1. Without trusted documents every
-    ratio is 0.
+    A document is trusted where all its labels say quality 1 and a row of docs has its id and a word. The
+    sample is taken from those, so labels of documents that are not here take no place in it. Without
+    a trusted document nothing can be told apart: every ratio is 0, and a warning says so.
     """
+    slim = docs.select(F.col("doc_id").alias("_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("_text"))
+    here = slim.where(F.col("_text").rlike(TOKEN)).select(F.col("_id").alias("doc_id")).distinct()
     trusted = (
         labels.where("doc_id is not null")
         .groupBy("doc_id")
         .agg(F.min("quality").alias("least"), F.count("quality").alias("n"), F.count(F.lit(1)).alias("rows"))
         .where("least = 1 and n = rows")
+        .join(here, "doc_id", "left_semi")
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(rules.trusted_documents)
         .select(F.col("doc_id").alias("_trusted"))
     )
-    slim = docs.select(F.col("doc_id").alias("_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("_text"))
     # At most trusted_documents ids, so the broadcast is bounded whatever the data holds.
     marked = slim.join(F.broadcast(trusted), F.col("_id") == F.col("_trusted"), "left").select(
         "_text", F.col("_trusted").isNotNull().cast("int").alias("_good")
@@ -109,6 +113,8 @@ def ratio_table(docs: DataFrame, labels: DataFrame, rules: QualityRules = Qualit
         "gram-counts",
     )
     total = table.agg(F.sum("raw").alias("raw"), F.sum("good").alias("good")).first()
+    if total["raw"] and not total["good"]:
+        warnings.warn("no trusted document among the documents: the likelihood ratio tells nothing", stacklevel=3)
     a, room = rules.smoothing, rules.smoothing * rules.buckets
     ratio = (
         F.log((F.col("good") + a) / F.lit(total["good"] + room)) - F.log((F.col("raw") + a) / F.lit(total["raw"] + room))
@@ -166,15 +172,16 @@ def judge(docs: DataFrame, labels: DataFrame, rules: QualityRules = QualityRules
         )
         .withColumn("base_failed", failed)
     )
-    return scored.select(
+    result = F.struct(
         "row", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         (~F.col("base_failed") & (F.col("score") >= rules.min_ratio)).alias("kept"),
         "score",
     )
+    # An outer explode keeps the optimiser from moving a filter on these columns below the counts, which it
+    # would then evaluate several times over.
+    return scored.select(F.explode_outer(F.array(result)).alias("judged")).select("judged.*")
 
 
 def accepted(judged: DataFrame) -> DataFrame:
-    """The input columns of kept rows. The outer explode keeps the optimiser from moving the
-    filter below the counts, which it would then evaluate several times over."""
-    one = judged.select(F.explode_outer(F.array(F.struct("row", "kept"))).alias("x"))
-    return one.where("x.kept").select("x.row.*")
+    """The input columns of kept rows."""
+    return judged.where("kept").select("row.*")

@@ -99,3 +99,34 @@ def test_plan_has_no_python(spark):
     docs, labels = (spark.read.parquet(f"{TABLES}/{t}.parquet") for t in ("documents", "labels"))
     plan = judge(docs, labels)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_trusted_sample_is_of_documents_that_are_here(spark):
+    """Labels of other documents and of empty ones take no place in it; without any the ratio is 0, with a warning."""
+    good, bad = "the words of a good text that reads on and on", "buy cheap pills now click here win win money"
+    rows = [(i, f"{good if i % 2 else bad} {i} " * 4) for i in range(1, 41)] + [(41, ""), (42, None), (43, " \n")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    few = QualityRules(trusted_documents=20, min_ratio=0.0)
+    mine = [(i, 1) for i in range(1, 41, 2)]
+    others = [(i, 1) for i in [*range(1000, 4000), 41, 42, 43]]
+    scores = [
+        {r.doc_id: r.score for r in judge(docs, spark.createDataFrame(labels, "doc_id long, quality int"), few).select("row.doc_id", "score").collect()}
+        for labels in (mine, mine + others)
+    ]
+    assert scores[0] == scores[1] and min(scores[0][i] for i in range(1, 41, 2)) > max(scores[0][i] for i in range(2, 41, 2))
+    with pytest.warns(UserWarning, match="no trusted document"):
+        unknown = judge(docs, spark.createDataFrame(others, "doc_id long, quality int"), few)
+    assert {r.score for r in unknown.select("score").collect()} == {0.0}
+
+
+def test_a_filter_does_not_count_again(spark):
+    docs, labels = (spark.read.parquet(f"{TABLES}/{t}.parquet") for t in ("documents", "labels"))
+    judged = judge(docs, labels)
+
+    def evaluations(df):
+        return df._jdf.queryExecution().optimizedPlan().toString().count("array_distinct")
+
+    plain = evaluations(judged)
+    for some in (judged.where("kept"), judged.where("not base_failed and not kept"), judged.where("n_repeat_words > 0 and score < 0")):
+        assert evaluations(some) <= plain
+    assert accepted(judged).count() == judged.where("kept").count()
