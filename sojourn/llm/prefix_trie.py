@@ -252,6 +252,7 @@ def ordered_turns(conversations: DataFrame) -> DataFrame:
     conv_id belong to no conversation and are left out.
     """
     role, text = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("role", "text"))
+    # Stored once without the texts: a range partitioning reads its input twice.
     turns = conversations.where(F.col("conv_id").isNotNull()).select(
         F.col("conv_id").cast("long").alias("conv_id"),
         "turn",
@@ -259,7 +260,7 @@ def ordered_turns(conversations: DataFrame) -> DataFrame:
         F.xxhash64(F.lit("second half"), role, text).alias("b"),
         F.regexp_count(text, F.lit(_WORDS)).cast("long").alias("words"),
     )
-    numbered = positions(turns, ["conv_id"], ["turn", "a", "b"], "place", totals={"of": "*"}, label="turns")
+    numbered = positions(materialize(turns, "turn-ids"), ["conv_id"], ["turn", "a", "b"], "place", totals={"of": "*"}, label="turns")
     return materialize(numbered.drop("turn"), "numbered-turns")
 
 
