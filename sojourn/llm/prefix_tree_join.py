@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sojourn.llm.components import connected_components
-from sojourn.llm.near_dedup import shingle_set
+from sojourn.llm.shingles import shingle_set
 from sojourn.sources.scratch import materialize
 
 
@@ -68,7 +68,7 @@ def _signatures(s: JoinSettings):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingle_set(t, s.width) for t in batch.column(2).to_pylist()]
-            prints = np.array([_fingerprint(x) for x in sets], np.int64).reshape(-1, 2)
+            prints = np.array([fingerprint(x) for x in sets], np.int64).reshape(-1, 2)
             pools = [x[: len(x) - s.least(len(x)) + s.shared(len(x))] for x in sets]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -81,7 +81,7 @@ def _signatures(s: JoinSettings):
     return run
 
 
-def _fingerprint(hashes: np.ndarray) -> np.ndarray:
+def fingerprint(hashes: np.ndarray) -> np.ndarray:
     return np.frombuffer(xxhash.xxh3_128_digest(hashes.tobytes()), "<i8")
 
 
@@ -381,7 +381,7 @@ def _link_batch(links: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([x[c] for x in links], pa.int64()) for c in (0, 1)], ["u", "v"])
 
 
-def _within(num: int, den: int):
+def _within(num: int, den: int, forest=forest):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _units(batches, 2):
             ids = [r[0] for r in rows]
@@ -391,7 +391,7 @@ def _within(num: int, den: int):
     return run
 
 
-def _between(num: int, den: int):
+def _between(num: int, den: int, bridges=bridges):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _units(batches, 3):
             asking, asked = ([r for r in rows if r[0] == flag] for flag in (True, False))
@@ -415,7 +415,7 @@ def _full_sets(width: int, table, bits: int):
             hit = (wanted[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1)
             texts = batch.column(1).filter(pa.array(hit.astype(bool)))
             sets = [shingle_set(t, width) for t in texts.to_pylist()]
-            prints = np.array([_fingerprint(x) for x in sets], np.int64).reshape(-1, 2)
+            prints = np.array([fingerprint(x) for x in sets], np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(prints[:, 0]), pa.array(prints[:, 1]), pa.array([x.tobytes() for x in sets], pa.binary())], ["fa", "fb", "hashes"]
             )
@@ -434,8 +434,9 @@ def _bit_table(hashes: DataFrame, bits: int) -> np.ndarray:
     return table
 
 
-def _links(members: DataFrame, s: JoinSettings) -> DataFrame:
-    """(u, v) between ids of (id, cluster, n, hashes), enough to connect what is connected."""
+def cluster_links(members: DataFrame, s: JoinSettings, forest=forest, bridges=bridges) -> DataFrame:
+    """(u, v) between ids of (id, cluster, n, hashes), enough to connect what is connected. `forest` finds the links
+    inside a block, `bridges` those between parts that the blocks left apart."""
     volumes = members.groupBy("cluster").agg(F.sum("n").alias("volume"), F.count(F.lit(1)).alias("m")).where("m > 1")
     blocked = materialize(
         members.join(volumes.drop("m"), "cluster")
@@ -455,7 +456,7 @@ def _links(members: DataFrame, s: JoinSettings) -> DataFrame:
     )
     units = blocked.select("cluster", "block", "id", "hashes").unionAll(pivots)
     inside = materialize(
-        units.repartition("cluster", "block").sortWithinPartitions("cluster", "block").mapInArrow(_within(s.num, s.den), "u long, v long"),
+        units.repartition("cluster", "block").sortWithinPartitions("cluster", "block").mapInArrow(_within(s.num, s.den, forest), "u long, v long"),
         "links",
     )
     if large.isEmpty():
@@ -488,11 +489,32 @@ def _links(members: DataFrame, s: JoinSettings) -> DataFrame:
         probes.unionAll(asked)
         .repartition("cluster", "i", "j")
         .sortWithinPartitions("cluster", "i", "j")
-        .mapInArrow(_between(s.num, s.den), "u long, v long")
+        .mapInArrow(_between(s.num, s.den, bridges), "u long, v long")
     )
     return inside.unionAll(across)
 
 
+def with_sets(slim: DataFrame, wanted: DataFrame, s: JoinSettings) -> DataFrame:
+    """Rows of `wanted` (fa, fb, text_hash and more) with their hashes, from the texts of slim (text_hash, text)."""
+    table = slim.sparkSession.sparkContext.broadcast(_bit_table(wanted.select("text_hash"), s.table_bits))
+    sets = (
+        slim.select("text_hash", "text")
+        .mapInArrow(_full_sets(s.width, table, s.table_bits), "fa long, fb long, hashes binary")
+        .groupBy("fa", "fb")
+        .agg(F.first("hashes").alias("hashes"))
+    )
+    return wanted.join(sets, ["fa", "fb"])
+
+
+def joined_apart(rows: DataFrame, moved: DataFrame, copies: int = JoinSettings.copies) -> DataFrame:
+    """rows left-joined by (fa, fb) with a stored table that has `copies`. Sets with very many copies are joined
+    by broadcast: there is one for each `copies` rows at most, and their rows stay where they are."""
+    many = F.broadcast(moved.where(F.col("copies") > copies).drop("copies"))
+    few = moved.where(F.col("copies") <= copies).drop("copies")
+    rest = rows.join(many.select("fa", "fb"), ["fa", "fb"], "left_anti")
+    return rows.join(many, ["fa", "fb"]).unionByName(rest.join(few, ["fa", "fb"], "left"))
+
+
 def similar_components(docs: DataFrame, s: JoinSettings = JoinSettings()) -> DataFrame:
     """doc_id, n_shingles and component_id of every row: the least doc_id it reaches by links.
 
@@ -505,7 +527,6 @@ def similar_components(docs: DataFrame, s: JoinSettings = JoinSettings()) -> Dat
     rows without doc_id take part; component_id is null only if no row of the component has a doc_id.
     An empty table gives an empty result; texts of any length are read whole.
     """
-    spark = docs.sparkSession
     text = F.col("text").cast("string")
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.xxhash64(text), F.lit(0)).alias("text_hash"), text.alias("text"))
     signatures = materialize(
@@ -521,15 +542,8 @@ def similar_components(docs: DataFrame, s: JoinSettings = JoinSettings()) -> Dat
         nodes.join(_clusters(signatures, s).withColumnRenamed("node", "fa"), "fa").withColumn("id", F.monotonically_increasing_id()),
         "set-clusters",
     )
-    table = spark.sparkContext.broadcast(_bit_table(wanted.select("text_hash"), s.table_bits))
-    sets = (
-        slim.select("text_hash", "text")
-        .mapInArrow(_full_sets(s.width, table, s.table_bits), "fa long, fb long, hashes binary")
-        .groupBy("fa", "fb")
-        .agg(F.first("hashes").alias("hashes"))
-    )
-    members = wanted.join(sets, ["fa", "fb"]).select("id", "cluster", "n", "hashes")
-    components = connected_components(_links(members, s)).select(F.col("node").alias("id"), "component")
+    members = with_sets(slim, wanted, s).select("id", "cluster", "n", "hashes")
+    components = connected_components(cluster_links(members, s)).select(F.col("node").alias("id"), "component")
     joined = materialize(wanted.join(components, "id").select("fa", "fb", "component", "least_id"), "set-components")
     least = joined.groupBy("component").agg(F.min("least_id").alias("component_id"))
     # Sets without a link or a copy need no looking up.
@@ -539,11 +553,7 @@ def similar_components(docs: DataFrame, s: JoinSettings = JoinSettings()) -> Dat
         .select("fa", "fb", "copies", F.when(F.col("component").isNotNull(), F.col("component_id")).otherwise(F.col("least_id")).alias("found"))
     )
     moved = materialize(moved.withColumn("moved", F.lit(True)), "moved")
-    # One row for each `copies` rows at most, so this is small whatever the input; its many copies stay where they are.
-    many = F.broadcast(moved.where(F.col("copies") > s.copies).drop("copies"))
-    few = moved.where(F.col("copies") <= s.copies).drop("copies")
-    rows = signatures.select("doc_id", "n", "fa", "fb")
-    found = rows.join(many, ["fa", "fb"]).unionByName(rows.join(many.select("fa", "fb"), ["fa", "fb"], "left_anti").join(few, ["fa", "fb"], "left"))
+    found = joined_apart(signatures.select("doc_id", "n", "fa", "fb"), moved, s.copies)
     return found.select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("moved"), F.col("found")).otherwise(F.col("doc_id")).alias("component_id")
     )

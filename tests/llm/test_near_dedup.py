@@ -88,6 +88,76 @@ def test_odd_tables(spark):
     assert near_duplicates(spark.createDataFrame([], schema)).collect() == []
 
 
+def test_rows_count_by_what_they_hold(spark):
+    """One id with two texts is two sets; each links for itself."""
+    a, b = ("a" + " a".join(map(str, range(60))), "b" + " b".join(map(str, range(60))))
+    rows = [(1, a), (1, b), (2, a + " and more"), (3, b + " and more"), (None, a + " or more"), (7, "c d e")]
+    frame = spark.createDataFrame([(*r, "x", i) for i, r in enumerate(rows)], "doc_id long, text string, source string, _id int")
+    got = {(r.doc_id, r.component_id) for r in near_duplicates(frame).collect()}
+    assert got == {(1, 1), (2, 1), (3, 1), (None, None), (7, 7)}
+    kept = near_dedup.one_of_each(frame.withColumnRenamed("_id", "row")).collect()
+    assert sorted((r.doc_id, r.row) for r in kept) == [(1, 0), (1, 1), (7, 5)]
+
+
+def test_one_of_each(spark):
+    text = "words that stand in a row in this text here"
+    rows = [(None, text), (None, text), (4, text + " x" * 2), (None, "other text that has no copy at all"), (5, ""), (5, ""), (6, None), (None, None), (8, "one two"), (8, "one two")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").withColumn("lang", near_dedup.F.lit("en"))
+    kept = sorted(((r.doc_id, r.text) for r in near_dedup.one_of_each(frame, num=60).collect()), key=str)
+    want = [(4, text + " x" * 2), (None, rows[3][1]), (5, ""), (6, None), (None, None), (8, "one two")]
+    assert kept == sorted(want, key=str)
+    assert near_dedup.one_of_each(frame.limit(0)).collect() == []
+
+
+def test_one_of_each_is_the_least_of_each_component(spark):
+    rows = planted(5)
+    want = brute_force(rows, 5, 80, 100)
+    kept = {r.doc_id for r in near_dedup.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert kept == {d for d, (_, c) in want.items() if d == c}
+
+
+@pytest.mark.parametrize("members", [100, 400])
+def test_rows_are_linear_in_a_family(spark, members, monkeypatch):
+    """Every candidate and every link of a family of different near copies counts one member in."""
+    counted = []
+    components = near_dedup.connected_components
+    monkeypatch.setattr(near_dedup, "connected_components", lambda edges: counted.append(edges.count()) or components(edges))
+    base = [f"w{i}" for i in range(300)]
+    rows = [(i, " ".join(base[:250] + [f"own{i}"] + base[250:])) for i in range(members)]
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.component_id for r in got} == {0} and counted[1] == members - 1
+    assert counted[0] <= 30 * members
+
+
+def test_links_of_full_sets():
+    """Both ways to compare give what brute force gives."""
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    for _ in range(30):
+        sets = [np.unique(rng.integers(0, 40, rng.integers(1, 30))) for _ in range(25)]
+        sets = list({x.tobytes(): x for x in sets}.values())
+        ok = [[100 * len(np.intersect1d(x, y)) >= 60 * len(np.union1d(x, y)) for y in sets] for x in sets]
+        parent = list(range(len(sets)))
+
+        def root(x, parent=parent):
+            while parent[x] != x:
+                x = parent[x]
+            return x
+
+        links = near_dedup.compared(sets, 60, 100)
+        assert all(ok[x][y] for x, y in links)
+        for x, y in links:
+            assert root(x) != root(y)
+            parent[root(x)] = root(y)
+        assert all(root(x) == root(y) for x in range(len(sets)) for y in range(len(sets)) if ok[x][y])
+        half = len(sets) // 2
+        groups = np.arange(half, len(sets)) % 3
+        found = near_dedup.compared_between(sets[:half], np.full(half, 1), sets[half:], groups, 60, 100)
+        want = {(x, g) for x in range(half) for y, g in enumerate(groups.tolist()) if g != 1 and ok[x][half + y]}
+        assert {(x, int(groups[y])) for x, y in found} == want and len(found) == len(want)
+
+
 def test_overlap_bound():
     assert [needed_overlap(s, 32) for s in (0.8, 0.85)] == [11, 13]
     assert needed_overlap(1.0, 32) == 32
