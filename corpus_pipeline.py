@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sojourn.llm import decontamination, language_id, quality
-from sojourn.llm.near_dedup import near_duplicates
+from sojourn.llm.near_dedup import one_of_each
 from sojourn.llm.piece_codec import encode_decode
 from sojourn.llm.queries import piece_model, table
 from sojourn.llm.rows import keep_rows
@@ -44,10 +44,10 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group: that of the least doc_id. Rows without doc_id stay."""
-    dropped = near_duplicates(docs, width=5, num=80, den=100).where("not kept").select("doc_id").distinct()
-    named = docs.where("doc_id is not null").join(dropped.hint("merge"), "doc_id", "left_anti").dropDuplicates(["doc_id"])
-    return named.select(*docs.columns).unionAll(docs.where("doc_id is null"))
+    """One row of each component under links of 0.8 or more on five-word shingles: that of least doc_id, rows without
+    one last. Rows are told apart by doc_id and text, so one id with two texts is two rows, and a repeated row
+    is there once. Null and word-less texts link with nothing and stay; texts of any length are compared whole."""
+    return one_of_each(docs, width=5, num=80, den=100)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
