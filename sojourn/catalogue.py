@@ -511,8 +511,7 @@ def scored_holdout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def model_metrics(spark, sf_dir):
-    ranked = metrics.rank_scores(scored_holdout(spark, sf_dir), ["slice"], "stay_key")
-    return rounded(metrics.evaluate(ranked, ["slice"]))
+    return rounded(metrics.measure(scored_holdout(spark, sf_dir), ["slice"], "stay_key"))
 
 
 @query
@@ -530,8 +529,7 @@ def top_decile(spark, sf_dir):
 @query
 def sensitivity_slice(spark, sf_dir):
     sliced = model.with_sensitivity_slice(scored_holdout(spark, sf_dir))
-    ranked = metrics.rank_scores(sliced, ["slice"], "stay_key")
-    return rounded(metrics.evaluate(ranked, ["slice"]))
+    return rounded(metrics.measure(sliced, ["slice"], "stay_key"))
 
 
 @query
@@ -614,8 +612,7 @@ def month_status(spark, sf_dir):
             pseudo_score().alias("p"),
         )
     )
-    ranked = metrics.rank_scores(scored, ["backtest_month"], "stay_key")
-    per_month = metrics.evaluate(ranked, ["backtest_month"]).withColumnRenamed("backtest_month", "intake_month")
+    per_month = metrics.measure(scored, ["backtest_month"], "stay_key").withColumnRenamed("backtest_month", "intake_month")
     summary = drift.drift_summary(drift.feature_drift(rows, calendar))
     return rounded(drift.month_status(per_month.join(summary, "intake_month")))
 

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sojourn.operators.ranking import positions
+from sojourn.sources.scratch import materialize
 
 LABEL, SCORE = "y", "p"
 METRICS = [
@@ -60,6 +62,45 @@ def evaluate(ranked: DataFrame, group: Sequence[str]) -> DataFrame:
         F.count_if(in_top()).alias("top_rows"),
         F.sum(F.when(in_top(), F.col(LABEL)).otherwise(0)).alias("top_positives"),
     )
+    return _totals(per_score, group)
+
+
+def measure(scored: DataFrame, group: Sequence[str], key: str) -> DataFrame:
+    """What evaluate gives, without an order of the rows: they are counted by distinct score map-side, and running
+    sums go over the distinct scores. Only rows that tie at the edge of the top share, and there only where
+    labels differ, are put in order of their key.
+    """
+    rows = scored.select(*group, key, F.col(LABEL).cast("long").alias(LABEL), SCORE)
+    counts = rows.groupBy(*group, SCORE).agg(F.count(F.lit(1)).alias("rows_at"), F.sum(LABEL).alias("positives_at"))
+    placed = positions(
+        counts,
+        group,
+        [SCORE],
+        running={"last_position": "rows_at", "positives_upto": "positives_at"},
+        totals={"n": "rows_at", "positives": "positives_at"},
+        label="score-counts",
+    )
+    below = F.col("n") - top_count(F.col("n"))
+    top_rows = F.least("rows_at", F.greatest(F.lit(0), F.col("last_position") - below))
+    per_score = materialize(placed.drop("position").withColumn("top_rows", top_rows), "scores")
+    mixed = (F.col("positives_at") > 0) & (F.col("positives_at") < F.col("rows_at"))
+    cut = per_score.where((F.col("top_rows") > 0) & (F.col("top_rows") < F.col("rows_at")) & mixed)
+    whole = F.when(F.col("positives_at") == 0, F.lit(0)).otherwise(F.least("top_rows", "positives_at"))
+    if cut.isEmpty():
+        return _totals(per_score.withColumn("top_positives", whole.cast("long")), group)
+    # One score per group at most. Null-safe, so that rows whose group is null find theirs.
+    edges = cut.select(*[F.col(c).alias(f"_{c}") for c in [*group, SCORE]], F.col("rows_at").alias("_rows"), F.col("top_rows").alias("_top"))
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in [*group, SCORE]]
+    tied = rows.join(edges, reduce(Column.__and__, same)).select(*rows.columns, "_rows", "_top")
+    ordered = positions(tied, group, [key], label="tied-scores").where(F.col("position") > F.col("_rows") - F.col("_top"))
+    found = ordered.groupBy(*[F.col(c).alias(f"_{c}") for c in [*group, SCORE]]).agg(F.sum(LABEL).alias("_positives"))
+    known = per_score.join(found, reduce(Column.__and__, same), "left").drop(*[f"_{c}" for c in [*group, SCORE]])
+    return _totals(known.withColumn("top_positives", F.coalesce("_positives", whole).cast("long")).drop("_positives"), group)
+
+
+def _totals(per_score: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Metrics from one row per distinct score: rows_at, positives_at, last_position, positives_upto, n, positives,
+    top_rows and top_positives."""
     rows_at, positives_at = F.col("rows_at").cast("double"), F.col("positives_at").cast("double")
     mean_rank = F.col("last_position") - (rows_at - 1.0) / 2.0
     rows_from = F.col("n") - F.col("last_position") + rows_at

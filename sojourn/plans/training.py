@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -90,12 +90,25 @@ def _scores(scorer: Scorer, rows: DataFrame, **tags) -> DataFrame:
     return materialize(scored, "scores")
 
 
-@dataclass(frozen=True)
 class Holdout:
-    window: Window
-    main: Scorer
-    ranked: DataFrame
-    evaluation: DataFrame
+    """The scored holdout of some models; order and metrics are made when they are asked for."""
+
+    def __init__(self, inputs: Inputs, window: Window, scorers: dict[str, Scorer], config: ModelConfig):
+        self.window, self.main = window, scorers[RECALIBRATED]
+        self._inputs, self._config = inputs, config
+        test = inputs.labelled.where(within(window.score_start, window.score_end))
+        self._scored = {name: _scores(s, test, model=F.lit(name)) for name, s in scorers.items()}
+
+    @cached_property
+    def ranked(self) -> DataFrame:
+        """The recalibrated model's rows with their places by score."""
+        rows = self._scored[RECALIBRATED].withColumn("slice", F.lit(ALL))
+        return materialize(metrics.rank_scores(rows, ["model", "slice"], KEY), "main-ranked")
+
+    @cached_property
+    def evaluation(self) -> DataFrame:
+        """One row per model."""
+        return _evaluation(self._inputs, self.window, self.main, reduce(DataFrame.unionByName, self._scored.values()), self._config)
 
 
 def holdout_fits(inputs: Inputs, window: Window, config: ModelConfig) -> dict[str, Callable[[], Scorer]]:
@@ -111,14 +124,12 @@ def evaluate_holdout(
     inputs: Inputs, window: Window, scorers: dict[str, Scorer], config: ModelConfig
 ) -> Holdout:
     """The three models side by side on the last year of settled labels."""
-    test = inputs.labelled.where(within(window.score_start, window.score_end))
-    main = scorers[RECALIBRATED]
-    scored = reduce(
-        DataFrame.unionByName, [_scores(s, test, model=F.lit(name)) for name, s in scorers.items()]
-    )
+    return Holdout(inputs, window, scorers, config)
+
+
+def _evaluation(inputs: Inputs, window: Window, main: Scorer, scored: DataFrame, config: ModelConfig) -> DataFrame:
     sliced = with_sensitivity_slice(scored).where((F.col("slice") == ALL) | (F.col("model") == RECALIBRATED))
-    ranked = metrics.rank_scores(sliced, ["model", "slice"], KEY)
-    measured = materialize(metrics.evaluate(ranked, ["model", "slice"]), "holdout-metrics")
+    measured = materialize(metrics.measure(sliced, ["model", "slice"], KEY), "holdout-metrics")
 
     # Three rows and one, joined by model; no sensitivity numbers where a class is missing.
     partial = measured.where((F.col("slice") == EXCLUDING_SNR) & F.col("roc_auc").isNotNull()).select(
@@ -129,7 +140,7 @@ def evaluate_holdout(
         ],
     )
     is_main = F.col("model") == RECALIBRATED
-    evaluation = (
+    return (
         measured.where(F.col("slice") == ALL)
         .select("model", *metrics.METRICS)
         .withColumns(
@@ -153,8 +164,6 @@ def evaluate_holdout(
             }
         )
     )
-    main_ranked = ranked.where((F.col("model") == RECALIBRATED) & (F.col("slice") == ALL))
-    return Holdout(window, main, materialize(main_ranked, "main-ranked"), evaluation)
 
 
 def in_parallel(spark: SparkSession, jobs: dict, config: ModelConfig) -> dict:
@@ -214,7 +223,7 @@ def permutation_importance(holdout: Holdout, inputs: Inputs, config: ModelConfig
     )
     group = ["feature", "repeat"]
     aucs = materialize(
-        metrics.evaluate(metrics.rank_scores(scored, group, KEY), group).select(*group, "roc_auc"),
+        metrics.measure(scored, group, KEY).select(*group, "roc_auc"),
         "importance-auc",
     )
     whole = aucs.where(F.col("feature") == "").first()["roc_auc"]
@@ -285,8 +294,7 @@ def monthly_performance(calendar: DataFrame, month_scores: DataFrame | None, shi
     """All usable months, ranked and measured together."""
     spark = calendar.sparkSession
     if month_scores is not None:
-        ranked = metrics.rank_scores(month_scores, ["intake_month"], KEY)
-        measured = metrics.evaluate(ranked, ["intake_month"])
+        measured = metrics.measure(month_scores, ["intake_month"], KEY)
     else:
         measured = spark.createDataFrame(
             [], "intake_month timestamp_ntz, n long, " + ", ".join(f"{c} double" for c in metrics.METRICS[1:])

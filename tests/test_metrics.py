@@ -55,6 +55,22 @@ def scored(spark):
     return rows, spark.createDataFrame(rows, "g string, key string, y int, p double")
 
 
+def test_metrics_from_distinct_scores(spark, scored):
+    """The same numbers without an order of the rows, also where ties lie at the edge of the top and groups are null."""
+    _, df = scored
+    both = df.unionAll(df.withColumn("g", F.lit(None).cast("string"))).unionAll(df.withColumns({"g": F.lit("all tied"), "p": F.lit(0.5)}))
+    ranked = metrics.evaluate(metrics.rank_scores(both, ["g"], "key"), ["g"])
+    want = {r["g"]: r for r in ranked.collect()}
+    got = {r["g"]: r for r in metrics.measure(both, ["g"], "key").collect()}
+    assert set(got) == set(want) and len(got) == 6
+    for g, row in got.items():
+        for name in metrics.METRICS:
+            assert row[name] == pytest.approx(want[g][name], abs=1e-12) or row[name] is want[g][name] is None, (g, name)
+    assert metrics.measure(both.limit(0), ["g"], "key").collect() == []
+    (whole,) = metrics.measure(df, [], "key").collect()
+    assert whole["n"] == df.count()
+
+
 def test_metrics_match_brute_force(scored):
     rows, df = scored
     got = {r["g"]: r for r in metrics.evaluate(metrics.rank_scores(df, ["g"], "key"), ["g"]).collect()}
