@@ -150,53 +150,60 @@ class _Leaf:
 
 
 def best_split(sums: np.ndarray, s: BoostSettings) -> _Leaf:
-    """`sums` holds gradient, curvature and rows by (input, bin)."""
-    inputs = len(sums)
-    g, h, n = sums[:, :, 0] / SCALE, sums[:, :, 1] / SCALE, sums[:, :, 2]
-    total_g, total_h, total_n = g[0].sum(), h[0].sum(), int(n[0].sum())
-    leaf = _Leaf(-s.step * total_g / (total_h + s.l2))
-    if total_n < 2 * s.least_rows:
-        return leaf
+    return best_splits(sums[None], s)[0]
+
+
+def best_splits(sums: np.ndarray, s: BoostSettings) -> list[_Leaf]:
+    """`sums` holds gradient, curvature and rows by (leaf, input, bin)."""
+    leaves, inputs = sums.shape[:2]
+    counts = sums[..., 2]
+    total = sums[:, 0].sum(axis=1).astype(np.float64)
+    total[:, :2] /= SCALE
+    parts = np.moveaxis(sums, -1, 0).astype(np.float64)
+    parts[:2] /= SCALE
     # Codes are ordered by their mean gradient (missing is one of them), numbers as they are, with the missing apart.
-    order = np.tile(np.arange(BINS), (inputs, 1))
+    order = np.tile(np.arange(BINS), (leaves, inputs, 1))
     nominal = np.array(s.nominal, np.int64)
     if len(nominal):
-        ratio = np.where(n[nominal] > 0, g[nominal] / (h[nominal] + SMOOTHING), np.inf)
-        order[nominal] = np.argsort(ratio, axis=1, kind="stable")
+        g, h, n = parts[:, :, nominal]
+        order[:, nominal] = np.argsort(np.where(n > 0, g / (h + SMOOTHING), np.inf), axis=2, kind="stable")
     numeric = np.setdiff1d(np.arange(inputs), nominal)
-    rows = np.arange(inputs)[:, None]
-    left = np.stack([x[rows, order] for x in (g, h, n)])
-    missing = np.zeros((3, inputs))
-    missing[:, numeric] = left[:, numeric, MISSING]
-    left[:, numeric, MISSING] = 0
-    left = np.cumsum(left, axis=2)
-    whole = np.array([total_g, total_h, total_n])[:, None, None]
-    best = (0.0, 0, 0, False)
-    for with_missing in (False, True):
-        here = left + missing[:, :, None] if with_missing else left
+    left = np.take_along_axis(parts, np.broadcast_to(order, parts.shape), axis=3)
+    missing = np.zeros((3, leaves, inputs, 1))
+    missing[:, :, numeric, 0] = left[:, :, numeric, MISSING]
+    left[:, :, numeric, MISSING] = 0
+    left = np.cumsum(left, axis=3)
+    whole = total.T[:, :, None, None]
+    alone = whole[0] ** 2 / (whole[1] + s.l2)
+    gains, places = [], []
+    for here in (left, left + missing):
         there = whole - here
-        ok = (here[2] >= s.least_rows) & (there[2] >= s.least_rows) & (here[1] >= MIN_CURVATURE) & (there[1] >= MIN_CURVATURE)
-        gain = np.where(
-            ok, here[0] ** 2 / (here[1] + s.l2) + there[0] ** 2 / (there[1] + s.l2) - total_g**2 / (total_h + s.l2), 0.0
-        )
-        at = int(np.argmax(gain))
-        if gain.flat[at] > best[0] + 1e-12:
-            best = (float(gain.flat[at]), at // BINS, at % BINS, with_missing)
-    leaf.gain, feature, cut, with_missing = best
-    if leaf.gain <= 0:
-        return leaf
-    leaf.feature, goes_left = feature, np.zeros(BINS, bool)
-    goes_left[order[feature, : cut + 1]] = True
-    here = left[2, feature, cut] + (missing[2, feature] if with_missing else 0)
-    if feature in set(s.nominal):
-        # Codes without a row here go with the greater part.
-        goes_left[n[feature] == 0] = here * 2 >= total_n
-    elif missing[2, feature]:
-        goes_left[MISSING] = with_missing
-    else:
-        goes_left[MISSING] = here * 2 >= total_n
-    leaf.goes_left = goes_left
-    return leaf
+        ok = (np.minimum(here[2], there[2]) >= s.least_rows) & (np.minimum(here[1], there[1]) >= MIN_CURVATURE)
+        gain = np.where(ok, here[0] ** 2 / (here[1] + s.l2) + there[0] ** 2 / (there[1] + s.l2) - alone, 0.0).reshape(leaves, -1)
+        places.append(gain.argmax(axis=1))
+        gains.append(gain[np.arange(leaves), places[-1]])
+    out = []
+    for k in range(leaves):
+        leaf = _Leaf(-s.step * total[k, 0] / (total[k, 1] + s.l2))
+        out.append(leaf)
+        with_missing = bool(gains[1][k] > gains[0][k] + 1e-12)
+        leaf.gain = float(gains[with_missing][k])
+        if leaf.gain <= 1e-12:
+            leaf.gain = 0.0
+            continue
+        feature, cut = divmod(int(places[with_missing][k]), BINS)
+        leaf.feature, goes_left = feature, np.zeros(BINS, bool)
+        goes_left[order[k, feature, : cut + 1]] = True
+        here = left[2, k, feature, cut] + (missing[2, k, feature, 0] if with_missing else 0)
+        if feature in s.nominal:
+            # Codes without a row here go with the greater part.
+            goes_left[counts[k, feature] == 0] = here * 2 >= total[k, 2]
+        elif missing[2, k, feature, 0]:
+            goes_left[MISSING] = with_missing
+        else:
+            goes_left[MISSING] = here * 2 >= total[k, 2]
+        leaf.goes_left = goes_left
+    return out
 
 
 Asked = tuple[list[Tree], Tree, list[int]]
@@ -234,7 +241,7 @@ def _one_tree(trees: list[Tree], root: np.ndarray, s: BoostSettings) -> Generato
             depth |= dict.fromkeys(pair, depth[node] + 1)
             fresh += pair
         sums, _ = yield trees, tree, fresh
-        known |= {k: best_split(x, s) for k, x in zip(fresh, sums, strict=True)}
+        known |= dict(zip(fresh, best_splits(sums, s), strict=True))
 
 
 def _pruned(tree: Tree, splits: set[int], known: dict[int, _Leaf]) -> Tree:

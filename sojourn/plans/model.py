@@ -242,26 +242,40 @@ def fit_boosted(train: DataFrame, config: ModelConfig) -> Scorer:
 
 
 def level_shift(log_odds: DataFrame, tolerance: float = 1e-10, max_steps: int = 100) -> float:
-    """b such that mean(sigmoid(z + b)) equals mean(y), for a stored (z, y) table.
+    """b such that mean(sigmoid(z + b)) equals mean(y), for a stored (z, y) table."""
+    return level_shifts(log_odds.withColumn(FIT, F.lit("")), [""], tolerance, max_steps)[""]
 
-    Newton steps kept inside a shrinking bracket; each is one aggregate over the table.
+
+def level_shifts(
+    log_odds: DataFrame, fits: Iterable[str], tolerance: float = 1e-10, max_steps: int = 100
+) -> dict[str, float]:
+    """By fit, b such that mean(sigmoid(z + b)) equals mean(y), for a stored (fit, z, y) table.
+
+    Newton steps kept inside a shrinking bracket; each is one aggregate over the table for all fits.
     """
-    low, high, shift = -SHIFT_BOUND, SHIFT_BOUND, 0.0
+    bounds, shifts, open_ = {f: (-SHIFT_BOUND, SHIFT_BOUND) for f in fits}, dict.fromkeys(fits, 0.0), set(fits)
     for _ in range(max_steps):
-        s = sigmoid(F.col("z") + F.lit(shift))
-        row = log_odds.agg(
+        if not open_:
+            break
+        here = log_odds.sparkSession.createDataFrame([(f, shifts[f]) for f in open_], f"{FIT} string, shift double")
+        s = sigmoid(F.col("z") + F.col("shift"))
+        sums = log_odds.join(F.broadcast(here), FIT).groupBy(FIT).agg(
             F.avg(s - F.col("y")).alias("gap"), F.avg(s * (F.lit(1.0) - s)).alias("slope")
-        ).first()
-        if row["gap"] > 0:
-            high = shift
-        else:
-            low = shift
-        newton = shift - row["gap"] / row["slope"] if row["slope"] else low - 1.0
-        following = newton if low < newton < high else (low + high) / 2.0
-        if abs(following - shift) < tolerance:
-            return following
-        shift = following
-    return shift
+        )
+        rows = {r[FIT]: r for r in sums.collect()}
+        for f in list(open_):
+            if f not in rows:
+                open_.remove(f)
+                continue
+            gap, slope = rows[f]["gap"], rows[f]["slope"]
+            low, high = bounds[f]
+            low, high = (low, shifts[f]) if gap > 0 else (shifts[f], high)
+            newton = shifts[f] - gap / slope if slope else low - 1.0
+            following = newton if low < newton < high else (low + high) / 2.0
+            if abs(following - shifts[f]) < tolerance:
+                open_.remove(f)
+            bounds[f], shifts[f] = (low, high), following
+    return shifts
 
 
 def platt(log_odds: DataFrame, c: float, tolerance: float = 1e-10, max_steps: int = 100) -> dict[str, tuple[float, float]]:
@@ -302,11 +316,9 @@ def platt(log_odds: DataFrame, c: float, tolerance: float = 1e-10, max_steps: in
             if max(abs(d1), abs(d0)) < tolerance:
                 found[fit] = at.pop(fit)
     found |= at
-    for fit, (slope, _) in found.items():
-        if slope <= 0:
-            # Scores that do not rise with the label: keep their order, match the mean.
-            found[fit] = (1.0, level_shift(log_odds.where(F.col(FIT) == fit)))
-    return found
+    # Scores that do not rise with the label: keep their order, match the mean.
+    falling = [fit for fit, (slope, _) in found.items() if slope <= 0]
+    return found | {fit: (1.0, b) for fit, b in level_shifts(log_odds, falling).items()}
 
 
 def _newton_sums(log_odds: DataFrame, at: Mapping[str, tuple[float, float]]) -> DataFrame:
