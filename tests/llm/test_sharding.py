@@ -3,7 +3,10 @@ import zlib
 from collections import Counter, defaultdict
 from fractions import Fraction
 
+import pytest
+
 from conftest import TABLES
+from sojourn.llm import sharding
 from sojourn.llm.queries import QUERIES
 from sojourn.llm.sharding import interleave
 
@@ -45,6 +48,15 @@ def test_shards_match_the_mixture_with_a_hot_source(spark):
         assert all(abs(share[k] - total / 10) <= 1 + len(set(source.values())) for k in range(10))
 
 
+@pytest.mark.parametrize("rows_per_bucket, digits", [(1, 1), (17, 2), (400, 3)])
+def test_buckets_do_not_show(spark, monkeypatch, rows_per_bucket, digits):
+    monkeypatch.setattr(sharding, "BUCKET_ROWS", rows_per_bucket)
+    monkeypatch.setattr(sharding, "BUCKET_DIGITS", digits)
+    rows = [(k // 2, "t" * (k % 7), "hot" if k % 3 else None if k % 5 == 0 else f"s{k % 11}") for k in range(601)]
+    got = interleave(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4), 7).collect()
+    assert sorted(map(tuple, got)) == brute_force(rows, 7)
+
+
 def test_odd_tables(spark):
     schema = "doc_id long, text string, source string, size string, place string, total string, rank string"
     rows = [(1, None, None), (1, None, None), (2, "é", ""), (3, "x" * 500_000, "a")]
