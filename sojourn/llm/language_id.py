@@ -31,6 +31,8 @@ class LanguageSettings:
     of each language, by hash of doc_id); document frequencies cover every training row."""
 
     buckets: int = 1 << 14
+    #: A column with more values than that holds something else than languages, which is an error.
+    most_languages: int = 1000
     per_language: int = 600
     epochs: int = 3
     alpha: float = 2.0
@@ -213,15 +215,17 @@ def train(docs: DataFrame, settings: LanguageSettings = LanguageSettings()) -> L
     """Fit from doc_id, text and lang; None where no row has a lang and a letter.
 
     Rows without lang or doc_id do not train. What reaches the driver is of fixed size: one
-    count per language and per cell, and the weights.
+    count per cell and for each of at most `most_languages` languages (more raise ValueError), and the weights.
     """
     s = settings
     usable = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").alias("lang")
     ).where("doc_id is not null and lang is not null and text is not null")
-    counts = {r["lang"]: r["count"] for r in usable.groupBy("lang").count().collect()}
+    counts = {r["lang"]: r["count"] for r in usable.groupBy("lang").count().limit(s.most_languages + 1).collect()}
     if not counts:
         return None
+    if len(counts) > s.most_languages:
+        raise ValueError(f"lang has more than {s.most_languages} values")
     languages = tuple(sorted(counts))
     found = usable.select("text").mapInArrow(_frequencies(s.buckets), "cell int, documents long")
     df = {r["cell"]: r["n"] for r in found.groupBy("cell").agg(F.sum("documents").alias("n")).collect()}

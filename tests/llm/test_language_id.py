@@ -1,7 +1,9 @@
+import math
 import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from sojourn.llm import language_id as L
 
@@ -44,6 +46,101 @@ def test_odd_tables(spark):
     assert L.identify(spark.createDataFrame([], schema)).collect() == []
 
 
+def plain_cells(text, buckets):
+    """Counts by cell, gram by gram."""
+    shown = "".join(c if c.isalpha() else " " for c in text.lower()).split()
+    codes = [ord(c) for c in f" {' '.join(shown)} "]
+    mask, out = (1 << 64) - 1, {}
+    for size in (1, 2, 3):
+        for at in range(len(codes) - size + 1):
+            gram = 0
+            for c in codes[at : at + size]:
+                gram = (gram * 0x100000001B3 + c) & mask
+            cell = (((gram + size) * 0x9E3779B97F4A7C15) & mask) >> (64 - buckets.bit_length() + 1)
+            out[cell] = out.get(cell, 0) + 1
+    return out
+
+
+def plain_model(rows, languages, s):
+    """(weights, bias, temperature) of (lang, text) in training order, with dicts and loops."""
+    counts = [plain_cells(text, s.buckets) for _, text in rows]
+    df = {}
+    for c in counts:
+        for cell in c:
+            df[cell] = df.get(cell, 0) + 1
+    idf = {cell: math.log((1 + len(rows)) / (1 + n)) + 1 for cell, n in df.items()}
+    vectors = []
+    for c in counts:
+        x = {cell: (1 + math.log(n)) * idf[cell] for cell, n in c.items()}
+        length = math.sqrt(sum(v * v for v in x.values()))
+        vectors.append({cell: v / length for cell, v in x.items()} | {"bias": 1.0})
+    z, n = {}, {}
+
+    def weight(at):
+        if abs(z.get(at, 0.0)) <= s.l1:
+            return 0.0
+        return -(z[at] - math.copysign(s.l1, z[at])) / ((s.beta + math.sqrt(n[at])) / s.alpha + s.l2)
+
+    def probabilities(x, t=1.0):
+        scores = [sum(v * weight((cell, k)) for cell, v in x.items()) / t for k in range(len(languages))]
+        top = max(scores)
+        e = [math.exp(v - top) for v in scores]
+        return [v / sum(e) for v in e]
+
+    for _ in range(s.epochs):
+        for k, ((lang, _), x) in enumerate(zip(rows, vectors)):
+            if k % 5 == 4:
+                continue
+            p = probabilities(x)
+            steps = []
+            for j, name in enumerate(languages):
+                for cell, v in x.items():
+                    g = v * (p[j] - (name == lang))
+                    old = n.get((cell, j), 0.0)
+                    steps.append(((cell, j), g - (math.sqrt(old + g * g) - math.sqrt(old)) / s.alpha * weight((cell, j)), old + g * g))
+            for at, dz, new in steps:
+                z[at], n[at] = z.get(at, 0.0) + dz, new
+    held = [(languages.index(rows[k][0]), vectors[k]) for k in range(4, len(rows), 5)]
+
+    def loss(t):
+        total = 0.0
+        for label, x in held:
+            p = probabilities(x, t)
+            for j, q in enumerate(p):
+                share = 1 / (len(held) + 1) / len(languages) + (j == label) * len(held) / (len(held) + 1)
+                total -= share * math.log(max(q, 1e-300))
+        return total
+
+    best = min((math.exp(math.log(0.02) + k * math.log(1000) / 300) for k in range(301)), key=loss)
+    return weight, best, loss
+
+
+def test_model_is_that_of_plain_loops(spark):
+    s = L.LanguageSettings(buckets=128, epochs=2)
+    rng = np.random.default_rng(3)
+    words = {"aa": ["der", "die", "und", "ein"], "bb": ["the", "and", "of", "a"], "cc": ["le", "la", "et", "un"]}
+    rows = []
+    for k in range(60):
+        lang = list(words)[k % 3]
+        mixed = words[lang] * 3 + words[list(words)[(k + 1) % 3]]
+        rows.append((k, " ".join(rng.choice(mixed, int(rng.integers(2, 9)))) + ("!" if k % 4 else ""), lang))
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = L.train(frame, s)
+    order = [r.doc_id for r in frame.orderBy(F.xxhash64("doc_id")).collect()]
+    weight, temperature, loss = plain_model([(rows[d][2], rows[d][1]) for d in order], model.languages, s)
+    for j in range(3):
+        assert model.bias[j] == pytest.approx(weight(("bias", j)), abs=1e-5)
+        for cell in range(s.buckets):
+            assert model.weights[cell, j] == pytest.approx(weight((cell, j)), abs=1e-5)
+    assert loss(model.temperature) <= loss(temperature) + 1e-6
+
+
+def test_too_many_languages_are_none(spark):
+    rows = [(k, "some text", f"lang {k}") for k in range(12)]
+    with pytest.raises(ValueError, match="more than 5 values"):
+        L.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), L.LanguageSettings(most_languages=5))
+
+
 def test_long_texts_are_counted_in_pieces(monkeypatch):
     text = "Über den Wolken, 3 mal — fliegt ein Vogel. " * 40
     whole = L.gram_counts(text, 1 << 14)
