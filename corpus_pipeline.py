@@ -2,7 +2,8 @@
 
 Each stage reads what its predecessor kept, written as Parquet. All but the last return the
 columns of documents. SQL can't express them (trained models, trained vocabularies), so
-ORACLE_SQL is None and tests compare the stages with brute force.
+ORACLE_SQL is None and tests compare the stages with brute force. An empty table goes through all
+stages as an empty table, whole texts are read, and columns beyond those of documents are carried along.
 """
 
 from __future__ import annotations
@@ -30,13 +31,15 @@ def least_language_score(languages: int) -> float:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that pass the base rules and the likelihood ratio."""
+    """Rows that pass the base rules and the likelihood ratio. Null and empty texts fail the rules; repeated rows and
+    rows without doc_id are judged each for itself."""
     return quality.accepted(quality.judge(docs, table(spark, sf_dir, "labels")))
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose text has a letter and is clearly of one of the languages of `lang`; the model is fitted
-    on the rows not held out. With a single language there is nothing to tell it from, and any letter will do."""
+    on the rows not held out. With a single language there is nothing to tell it from, and any letter will do.
+    Null and letterless texts go; repeated rows and rows without doc_id are judged each for itself."""
     model = language_id.train(docs.where(~language_id.held_out(F.col("doc_id"))))
     shared = spark.sparkContext.broadcast(model)
     least = least_language_score(len(model.languages) if model else 0)
@@ -51,12 +54,14 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows into which no benchmark item leaks."""
+    """Rows into which no benchmark item leaks. Nothing leaks into null and empty texts; repeated rows and rows without
+    doc_id are judged each for itself."""
     return decontamination.without_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of every text, and what they decode to by its digest."""
+    """Ids of every text, and what they decode to by its digest. A null text counts as empty; rows without doc_id and
+    repeated rows are encoded each for itself."""
     coded = encode_decode(docs, piece_model())
     return coded.select(
         "doc_id",
