@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sojourn.llm.components import connected_components
-from sojourn.llm.prefix_tree_join import JoinSettings, cluster_links, fingerprint, joined_apart, with_sets
+from sojourn.llm.prefix_tree_join import JoinSettings, cluster_links, fingerprint, joined_apart
 from sojourn.llm.shingles import shingle_set
 from sojourn.sources.scratch import materialize
 
@@ -302,8 +302,7 @@ def components_of_sets(
     clusters = _clusters(_listed(nodes.select("node", "n", "sketch"), num, den, k, least), num, den, k, least)
     wanted = nodes.select(F.col("node").alias("id"), "fa", "fb", "n", "text_hash").join(clusters.withColumnRenamed("node", "id"), "id")
     settings = JoinSettings(width=width, num=num, den=den)
-    members = with_sets(slim, materialize(wanted, "clusters"), settings).select("id", "cluster", "n", "hashes")
-    found = connected_components(cluster_links(members, settings, compared, compared_between))
+    found = connected_components(cluster_links(materialize(wanted, "clusters"), slim, settings, compared, compared_between))
     component = F.coalesce("component", "node").alias("component")
     linked = F.col("component").isNotNull().alias("linked")
     sets = nodes.join(found, "node", "left").select("fa", "fb", "copies", "first", component, linked)

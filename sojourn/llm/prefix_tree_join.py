@@ -434,10 +434,12 @@ def _bit_table(hashes: DataFrame, bits: int) -> np.ndarray:
     return table
 
 
-def cluster_links(members: DataFrame, s: JoinSettings, forest=forest, bridges=bridges) -> DataFrame:
-    """(u, v) between ids of (id, cluster, n, hashes), enough to connect what is connected. `forest` finds the links
-    inside a block, `bridges` those between parts that the blocks left apart."""
-    volumes = members.groupBy("cluster").agg(F.sum("n").alias("volume"), F.count(F.lit(1)).alias("m")).where("m > 1")
+def cluster_links(wanted: DataFrame, slim: DataFrame, s: JoinSettings, forest=forest, bridges=bridges) -> DataFrame:
+    """(u, v) between ids of a stored table (id, cluster, n, fa, fb, text_hash), enough to connect what is connected.
+    Texts are in slim (text_hash, text). `forest` finds the links inside a block, `bridges` those between parts
+    that the blocks left apart."""
+    members = with_sets(slim, wanted, s).select("id", "cluster", "n", "hashes")
+    volumes = wanted.groupBy("cluster").agg(F.sum("n").alias("volume"), F.count(F.lit(1)).alias("m")).where("m > 1")
     blocked = materialize(
         members.join(volumes.drop("m"), "cluster")
         .withColumn("blocks", F.expr(f"cast(volume div {s.block} as int) + 1"))
@@ -542,8 +544,7 @@ def similar_components(docs: DataFrame, s: JoinSettings = JoinSettings()) -> Dat
         nodes.join(_clusters(signatures, s).withColumnRenamed("node", "fa"), "fa").withColumn("id", F.monotonically_increasing_id()),
         "set-clusters",
     )
-    members = with_sets(slim, wanted, s).select("id", "cluster", "n", "hashes")
-    components = connected_components(cluster_links(members, s)).select(F.col("node").alias("id"), "component")
+    components = connected_components(cluster_links(wanted, slim, s)).select(F.col("node").alias("id"), "component")
     joined = materialize(wanted.join(components, "id").select("fa", "fb", "component", "least_id"), "set-components")
     least = joined.groupBy("component").agg(F.min("least_id").alias("component_id"))
     # Sets without a link or a copy need no looking up.

@@ -51,6 +51,21 @@ def test_odd_tables(spark):
         assert stage(spark, docs.where(F.lit(False)), SF).collect() == [], name
 
 
+def test_near_dedup_stage_is_brute_force(spark):
+    from test_near_dedup import brute_force
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    want = brute_force([(r.doc_id, r.text) for r in docs.collect()], 5, 80, 100)
+    kept = C.near_dedup(spark, docs, SF).collect()
+    assert sorted(r.doc_id for r in kept) == sorted(d for d, (_, c) in want.items() if c == d)
+    # An id with two texts is two rows, and rows without id are told apart by their texts.
+    twice = docs.unionAll(docs.withColumns({"doc_id": F.col("doc_id") % 3, "text": F.concat("text", F.lit(" "), F.md5("text"), F.lit(" of its own"))}))
+    twice = twice.unionAll(docs.withColumn("doc_id", F.lit(None).cast("long")))
+    rows = C.near_dedup(spark, twice, SF).collect()
+    sets = {tuple(sorted(set(zip(*[r.text.lower().split()[k:] for k in range(5)])) or [tuple(r.text.lower().split())])) for r in rows if r.text}
+    assert len(sets) == sum(bool(r.text) for r in rows) and not any(r.doc_id is None for r in rows)
+
+
 FOREIGN = [
     "Nel mezzo del cammin di nostra vita mi ritrovai per una selva oscura che la diritta via era smarrita, e oggi andiamo tutti insieme al mare",
     "Todos os seres humanos nascem livres e iguais em dignidade e em direitos e devem agir uns para com os outros em espírito de fraternidade",
