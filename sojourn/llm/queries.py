@@ -1,4 +1,4 @@
-"""The operators' queries over the given tables, with their DuckDB SQL where SQL can say it."""
+"""The operators' queries over the given tables; their DuckDB SQL is in `oracles`."""
 
 from __future__ import annotations
 
@@ -21,11 +21,11 @@ from sojourn.llm import (
     warc,
 )
 from sojourn.llm.near_dedup import near_duplicates
+from sojourn.llm.oracles import ORACLES  # noqa: F401 - what the entry registers
 from sojourn.llm.piece_codec import encode_decode
 from sojourn.sources.scratch import materialize, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
 
 
 def query(build: Callable[[SparkSession, str], DataFrame]):
@@ -151,29 +151,3 @@ def op12_prefix_trie(spark, sf_dir):
 @query
 def op13_ngram_join(spark, sf_dir):
     return prefix_tree_join.similar_components(table(spark, sf_dir, "documents"))
-
-
-# op7: the longest rule that fits, else the blocked patterns as one regular expression on host and path.
-ORACLES["op7_url_filter"] = r"""
-WITH u AS (
-  SELECT page_id,
-         translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''),
-                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
-         coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path
-  FROM pages),
-r AS (
-  SELECT *, CASE
-    WHEN (host = 'www.example.com' OR suffix(host, '.www.example.com')) AND starts_with(path, '/en/') THEN 'www.example.com/en/'
-    WHEN (host = 'example.com' OR suffix(host, '.example.com')) AND starts_with(path, '/en/') THEN 'example.com/en/'
-    WHEN (host = 'net' OR suffix(host, '.net')) AND starts_with(path, '/es/') THEN 'net/es/'
-    WHEN (host = 'net' OR suffix(host, '.net')) AND starts_with(path, '/fr/') THEN 'net/fr/'
-    WHEN (host = 'com' OR suffix(host, '.com')) AND starts_with(path, '/') THEN 'com/' END AS rule
-  FROM u)
-SELECT page_id, host, path, rule,
-       CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow'
-            WHEN rule IS NOT NULL THEN 'block'
-            WHEN regexp_full_match(host || path,
-                 '(?s)([^/]*\.)?ads\.[^/]*/.*|([^/]*\.)?(adserver|tracker)\..*|.*/(ads|adserver|cgi-bin|signin|cart|checkout)/.*|.*/wp-login\.php|.*\.(jpg|jpeg|png|gif|mp4|mp3|zip|exe|iso)') THEN 'block'
-            ELSE 'allow' END AS verdict
-FROM r
-"""
