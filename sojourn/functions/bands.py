@@ -59,7 +59,7 @@ def is_mix(breed: Column) -> Column:
 
 
 def jurisdiction(location: Column) -> Column:
-    """'12 A St in Austin (TX)' -> 'Austin'."""
+    """'12 A St in Millbrook (TX)' -> 'Millbrook'."""
     place = F.trim(F.substring_index(F.substring_index(location, " in ", -1), "(", 1), F.lit(ANY_SPACE))
     return F.when(location.contains(OUTSIDE), OUTSIDE).otherwise(
         or_unknown(F.nullif(place, F.lit("")))

@@ -95,7 +95,7 @@ def eligible(frame: DataFrame) -> DataFrame:
 
 
 def implausible_open(horizon: Horizon) -> Column:
-    """Open for over a year: far more likely a lost end event than an episode."""
+    """Open episodes that began more than MAX_PLAUSIBLE_OPEN_DAYS before the data ends."""
     return F.col("is_open_stay") & (F.col("intake_at") < ntz(horizon.implausible_before))
 
 
