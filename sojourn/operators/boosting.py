@@ -425,8 +425,9 @@ def grow_models(rows: DataFrame, inputs: int, s: BoostSettings, concurrent: int
     small = [f for f, n in sizes.items() if n <= s.rows_in_task]
     models = {}
     if small:
-        grouped = rows.where(F.col(FITS).isin(small)).select(FITS, "y", "held_back", "bins").groupBy(FITS)
-        grown = grouped.applyInArrow(_in_task(inputs, starts, s), "fit string, model string").collect()
+        # A set number of partitions, many enough that few models share one: small rows would be put together again.
+        dealt = rows.where(F.col(FITS).isin(small)).select(FITS, "y", "held_back", "bins").repartition(4 * len(small), FITS)
+        grown = dealt.groupBy(FITS).applyInArrow(_in_task(inputs, starts, s), "fit string, model string").collect()
         models = {r["fit"]: Boosted.load(r["model"]) for r in grown}
     large = [(f, r["rows"] > r["n"]) for r in counts if (f := r[FITS]) not in models]
     if large:
