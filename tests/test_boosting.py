@@ -45,6 +45,22 @@ def test_models_do_not_depend_on_where_they_are_grown(spark):
     rows.unpersist()
 
 
+def test_equal_rows_are_counted(spark, monkeypatch):
+    """A model is grown in a task if its different rows fit there, and is the model of all the rows."""
+    bins, y, held = binned(150, 4)
+    many = np.tile(bins, (12, 1)), np.tile(y, 12), np.tile(held, 12)
+    s = b.BoostSettings(rounds=6, leaves=5, least_rows=20, nominal=(0,), rows_in_task=150)
+    monkeypatch.setattr(b, "_over_tasks", lambda *_: pytest.fail("1,800 rows, but 150 different ones"))
+    counted = b.grow_models(stored(spark, {"a": many}), 4, s)["a"]
+    share = y[~held].mean()
+    assert counted.start == pytest.approx(math.log(share / (1 - share)))
+    rows, model, answer = b._Rows(*many, np.full(len(many[1]), counted.start)), b._growing(True, s), None
+    with pytest.raises(StopIteration) as end:
+        while True:
+            answer = rows.answer(*model.send(answer))
+    assert counted.dump() == b.Boosted(counted.start, end.value.value).dump() and counted.trees
+
+
 def gain_of(g, h, left, l2):
     part = lambda m: g[m].sum() ** 2 / (h[m].sum() + l2)
     return part(left) + part(~left) - part(np.ones(len(g), bool))
