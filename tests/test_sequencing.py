@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from sojourn.operators.pairing import unmatched
 from sojourn.operators.ranking import positions
 from sojourn.operators.sequencing import heavy_keys
-from sojourn.plans import marts
+from sojourn.plans import episodes, marts
 from sojourn.plans.episodes import RawFeeds, pair_events
 from sojourn.plans.staging import collapse_repeats, stage_ends, stage_starts
 from sojourn.sources.landing import END_COLUMNS, START_COLUMNS, text_schema
@@ -143,3 +143,15 @@ def test_times_do_not_depend_on_the_session_zone(spark, feeds, zone):
         assert mart.agg(F.min("outcome_month")).first()[0] == datetime(1995, 1, 1)
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_a_task_pairs_a_set_number_of_events(spark, feeds, monkeypatch):
+    """However well the events compress, there are as many partitions as their number asks for."""
+    plain = episodes.RawFeeds.of(*feeds)
+    assert plain.parts is None
+    monkeypatch.setattr(episodes, "ROWS_IN_TASK", 100)
+    split = episodes.RawFeeds.of(*feeds)
+    assert split.parts == -(-(feeds[0].count() + feeds[1].count()) // 100) > spark.sparkContext.defaultParallelism
+    assert split.episodes().rdd.getNumPartitions() == split.parts
+    for built in (lambda raw: raw.episodes(keep_orphans=True), lambda raw: raw.staged_starts(), lambda raw: raw.staged_ends()):
+        assert built(split).exceptAll(built(plain)).isEmpty() and built(plain).exceptAll(built(split)).isEmpty()
