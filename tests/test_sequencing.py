@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from sojourn.operators.pairing import unmatched
 from sojourn.operators.ranking import positions
 from sojourn.operators.sequencing import heavy_keys
-from sojourn.plans import episodes, marts
+from sojourn.plans import episodes, marts, pipeline
 from sojourn.plans.episodes import RawFeeds, pair_events
 from sojourn.plans.staging import collapse_repeats, stage_ends, stage_starts
 from sojourn.sources.landing import END_COLUMNS, START_COLUMNS, text_schema
@@ -155,3 +155,14 @@ def test_a_task_pairs_a_set_number_of_events(spark, feeds, monkeypatch):
     assert split.episodes().rdd.getNumPartitions() == split.parts
     for built in (lambda raw: raw.episodes(keep_orphans=True), lambda raw: raw.staged_starts(), lambda raw: raw.staged_ends()):
         assert built(split).exceptAll(built(plain)).isEmpty() and built(plain).exceptAll(built(split)).isEmpty()
+
+
+def test_the_warehouse_stages_events_once(feeds, monkeypatch):
+    """The pairing reads the staged events that were stored, and comes out as it does from the raw ones."""
+    raw, stored = episodes.RawFeeds.of(*feeds), {}
+    keep = pipeline.materialize
+    monkeypatch.setattr(pipeline, "materialize", lambda df, label: stored.setdefault(label, keep(df, label)))
+    tables = pipeline.build_warehouse(raw, *feeds)
+    assert tables["staged_intakes"] is stored["staged_intakes"] and tables["staged_outcomes"] is stored["staged_outcomes"]
+    expected = raw.episodes(keep_orphans=True).select(*stored["paired"].columns)
+    assert expected.exceptAll(stored["paired"]).isEmpty() and stored["paired"].exceptAll(expected).isEmpty()
