@@ -202,6 +202,27 @@ def test_a_planted_leak_is_found(spark):
         training.no_signal_gate(training.holdout_auc(leaky, window, QUICK))
 
 
+def test_deals_share_their_rows(spark, fact, monkeypatch):
+    """Labels dealt anew keep their number, deals differ, and no deal stores or shuffles the rows again."""
+    inputs = training.prepare(fact)
+    dealt = training.dealt_labels(inputs.labelled, range(8))
+    sums = inputs.labelled.agg(F.sum("is_long_stay"), *[F.sum(x) for x in dealt]).first()
+    assert len(set(sums)) == 1 and inputs.labelled.where(dealt[0] != dealt[1]).count() > 0
+    assert len(training.dealt_labels(inputs.labelled.withColumn("is_long_stay", F.lit(0)), [1, 2])) == 2
+    # The models of two deals are those that each deal's rows give on their own.
+    labels = {"one": dealt[0], "two": dealt[1]}
+    fits = training.fit_relabelled(inputs.labelled, labels, QUICK)
+    for name, label in labels.items():
+        alone = training.fit_boosted(inputs.labelled.withColumn("is_long_stay", label), QUICK)
+        assert alone.learner.dump() == fits.models[name].dump()
+    written = []
+    monkeypatch.setattr(b, "materialize", lambda df, label, keep=b.materialize: written.append(keep(df, label)) or written[-1])
+    monkeypatch.setattr(training, "materialize", lambda *_: pytest.fail("a copy of the rows"))
+    monkeypatch.setattr(training, "no_signal_gate", lambda evaluation: evaluation.first()["roc_auc"])
+    assert 0 < training.no_signal_run(inputs, QUICK) < 1
+    assert [w.columns for w in written] == [["held_back", "bins", "fit", "y", "n"]]
+
+
 def test_importance_sample_is_of_exact_size(spark, fact):
     rows = training.prepare(fact).labelled
     sample = training.importance_sample(rows, ModelConfig(importance_rows=50))
