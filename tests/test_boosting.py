@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sojourn.catalogue import stored_fact
 from sojourn.operators import boosting as b
-from sojourn.plans import features, training
+from sojourn.plans import features, model, training
 from sojourn.plans.encoding import LinearEncoder, TreeEncoder, number_summaries
 from sojourn.plans.model import ModelConfig, platt
 from sojourn.sources import landing
@@ -223,6 +223,18 @@ def test_deals_share_their_rows(spark, fact, monkeypatch):
     assert [w.columns for w in written] == [["held_back", "bins", "fit", "y", "n"]]
 
 
+def test_baseline_is_fitted_to_different_rows(spark, fact):
+    """Rows given three times over are as many different ones, and weigh three times as much."""
+    rows = training.prepare(fact).labelled
+    thrice = rows.withColumn("copy", F.explode(F.array(*map(F.lit, range(3))))).drop("copy")
+    assert model.counted(thrice).count() == model.counted(rows).count() <= rows.count()
+    assert model.counted(thrice).agg(F.sum("n")).first()[0] == 3 * rows.count()
+    config = ModelConfig()
+    sums = model.baseline_optimality(model.fit_baseline(thrice, config), thrice, config).collect()
+    assert [r["fitted"] for r in sums] == pytest.approx([r["observed"] for r in sums], abs=0.01)
+    assert next(r["observed"] for r in sums if r["slot"] == "intercept") == 3 * rows.agg(F.sum("is_long_stay")).first()[0]
+
+
 def test_importance_sample_is_of_exact_size(spark, fact):
     rows = training.prepare(fact).labelled
     sample = training.importance_sample(rows, ModelConfig(importance_rows=50))
