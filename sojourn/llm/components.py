@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from sojourn.sources.scratch import materialize
 
 #: Edges that a task looks at together, and those for which a round takes one more task.
-TOGETHER, IN_TASK = 1_000_000, 50_000
+TOGETHER, IN_TASK = 200_000, 50_000
 
 
 def local_stars(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -89,7 +89,11 @@ def connected_components(edges: DataFrame) -> DataFrame:
     Only nodes with an edge to another node come out. Rows stay linear in the edges, each
     round is written to the scratch folder, and rounds grow with the logarithm of the longest path at most.
     """
-    current = materialize(edges.where("u <> v").select("u", "v").mapInArrow(_contract, "u long, v long"), "edges")
+    # Not contracted where they are made: a task that makes them in Python would need a second worker.
+    current = materialize(
+        edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(),
+        "edges",
+    )
     while True:
         # Edges that fit a task need no round; more of them are spread over more tasks.
         rows = current.count()
